@@ -43,7 +43,7 @@ def dotted_levels(c: Column, names: Sequence[str]) -> list[Column]:
 
 def equation_participants(c: Column) -> Column:
     """Distinct names left of ``=`` in ``A + B = C``, in first-seen order; null without ``=``."""
-    names = F.transform(F.split(F.substring_index(c, "=", 1), " \\+ "), F.trim)
+    names = F.transform(F.split(F.substring_index(c, "=", 1), " \\+ "), lambda s: F.trim(s))
     return F.when(F.contains(c, F.lit("=")), F.array_distinct(F.filter(names, lambda n: n != "")))
 
 

@@ -24,7 +24,7 @@ def term_edges(df: DataFrame, stanza: str = "stanza", keep: Sequence[str] = ())
     ``is_a`` lines give the relation ``is_a``, ``relationship`` lines their own type. Other
     stanza kinds are left out, so their ids never leak into a term.
     """
-    lines = F.transform(F.split(F.trim(F.col(stanza)), "\n"), F.rtrim)
+    lines = F.transform(F.split(F.trim(F.col(stanza)), "\n"), lambda s: F.rtrim(s))
     terms = df.select(*keep, lines.alias("_lines")).filter(F.get("_lines", F.lit(0)) == "[Term]")
 
     def edge(s: Column) -> Column:
