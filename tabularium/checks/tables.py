@@ -1,0 +1,238 @@
+"""One query per declared table: raw records made row by row from the given tables, then the plan."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabularium.checks import shapes
+from tabularium.checks.registry import check, table
+from tabularium.plans import studies
+
+c, lit, struct, when, array = F.col, F.lit, F.struct, F.when, F.array
+
+
+def obj(**fields):
+    """Struct literal; a null field will be a missing key."""
+    return struct(*[v.alias(k) for k, v in fields.items()])
+
+
+def text_of(column):
+    return c(column).cast("string")
+
+
+def as_json(df, key, record):
+    """(key, record text) of a table whose records are the given struct."""
+    return df.select(key, F.to_json(record).alias("record"))
+
+
+def paged(df, key, envelope, record):
+    """(key, page text): one envelope per row with the record in a list."""
+    body = F.concat(lit("["), F.to_json(record), lit("]"))
+    for step in reversed(envelope.split(".")):
+        body = F.concat(lit('{"' + step + '":'), body, lit("}"))
+    return df.select(key, body.alias("page"))
+
+
+def day(column="o_orderdate"):
+    return F.date_format(column, "yyyy-MM-dd")
+
+
+# ---- studies ---------------------------------------------------------------
+
+
+@check("table_experiments", """
+SELECT 'E-' || p_partkey AS accession, p_name AS title, NULL::VARCHAR AS organism, NULL::VARCHAR AS experiment_type, NULL::VARCHAR AS technology,
+  NULL::DATE AS submission_date, CASE WHEN p_size NOT IN (20, 21) THEN DATE '2020-01-01' + p_size END::DATE AS release_date,
+  CASE WHEN p_size IN (13, 14) THEN NULL ELSE p_size END AS sample_count FROM part""")
+def _(spark, d):
+    pages = shapes.part_records(spark, d).select(F.concat(lit('{"totalHits":1,"hits":['), c("record"), lit("]}")).alias("page"))
+    return studies.EXPERIMENTS.from_pages(pages)
+
+
+@check("table_image_studies", """
+SELECT o_orderkey, o_orderkey::VARCHAR AS accession, o_orderpriority AS title, NULL::VARCHAR AS author,
+  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate::DATE END AS release_date, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END::INTEGER AS file_count,
+  o_custkey AS views, NULL::VARCHAR AS organism, NULL::VARCHAR AS imaging_method FROM orders""")
+def _(spark, d):
+    bad = c("o_orderstatus") == "P"
+    record = obj(accession=when(bad, text_of("o_orderkey")).otherwise(""), accno=text_of("o_orderkey"), title=c("o_orderpriority"),
+                 release_date=when(bad, lit("soon")).otherwise(day()), files=when(bad, lit("many")).otherwise(text_of("o_custkey")), views=c("o_custkey"))
+    return studies.IMAGE_STUDIES.from_pages(paged(table(spark, d, "orders"), "o_orderkey", "hits", record), keep=["o_orderkey"])
+
+
+@check("table_study_records", """
+SELECT o_orderkey::VARCHAR AS accession, o_orderpriority AS title, 'study' AS study_type, o_orderstatus AS organism, o_orderdate::DATE AS release_date,
+  o_custkey::INTEGER AS file_count, CASE o_orderstatus WHEN 'O' THEN 'A | B' WHEN 'F' THEN 'A' END AS linked_databases FROM orders""")
+def _(spark, d):
+    kind = lambda k: obj(url=lit("u"), type=lit(k))
+    links = when(c("o_orderstatus") == "O", array(kind("A"), kind(""), kind("B"))).when(c("o_orderstatus") == "F", array(kind("A")))
+    record = obj(accession=text_of("o_orderkey"), title=c("o_orderpriority"), type=lit("study"), organism=c("o_orderstatus"),
+                 releaseDate=day(), filesCount=c("o_custkey"), links=links)
+    return studies.STUDY_RECORDS.from_pages(paged(table(spark, d, "orders"), "o_orderkey", "hits", record))
+
+
+@check("table_access_studies", """
+SELECT 'S' || o_orderkey AS study_id, o_orderpriority AS title, 'wgs' AS study_type, o_orderdate::DATE AS submission_date,
+  CASE o_orderstatus WHEN 'O' THEN 3 WHEN 'F' THEN 7 ELSE 0 END AS dataset_count, CASE WHEN o_orderstatus = 'O' THEN 'direct' ELSE o_orderpriority END AS technology,
+  CASE o_orderstatus WHEN 'O' THEN '12 | doi:1' WHEN 'F' THEN '5' END AS pubmed_ids FROM orders""")
+def _(spark, d):
+    s = c("o_orderstatus")
+    tags = array(obj(tag=lit("other"), value=lit("x")), obj(tag=lit("Technology"), value=c("o_orderpriority")))
+    paper = lambda p, q: obj(pubmedId=lit(p), doi=lit(q))
+    record = obj(
+        stableId=when(s == "O", lit("")).otherwise(F.concat(lit("S"), text_of("o_orderkey"))), id=F.concat(lit("S"), text_of("o_orderkey")),
+        title=c("o_orderpriority"), type=lit("wgs"), creationTime=F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"),
+        technology=when(s == "O", lit("direct")), attributes=tags,
+        datasetsCount=when(s == "F", lit(7)), publications=when(s == "O", array(paper("12", "z"), paper("", "doi:1"))).when(s == "F", array(paper("", ""), paper("5", ""))))
+    base = F.to_json(record)
+    withlist = when(s == "O", F.concat(F.regexp_replace(base, "\\}$", ""), lit(',"datasets":["a",{"b":1},3]}'))).otherwise(base)
+    page = when(s == "O", F.concat(lit("["), withlist, lit("]"))).when(s == "F", F.concat(lit('{"response":{"result":['), withlist, lit("]}}"))).otherwise(
+        F.concat(lit('{"result":['), withlist, lit("]}")))
+    return studies.ACCESS_STUDIES.from_pages(table(spark, d, "orders").select(page.alias("page")))
+
+
+@check("table_access_datasets", """
+SELECT o_orderkey, 'D' || o_orderkey AS dataset_id, 'bam' AS data_type, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_custkey END::INTEGER AS file_count,
+  CASE WHEN o_orderstatus = 'P' THEN 'controlled' ELSE o_orderstatus END AS access_status FROM orders""")
+def _(spark, d):
+    ok = c("o_orderstatus") != "P"
+    record = obj(id=F.concat(lit("D"), text_of("o_orderkey")), type=lit("bam"), numberOfFiles=lit(0), fileCount=when(ok, c("o_custkey")),
+                 accessType=when(ok, c("o_orderstatus")))
+    return studies.ACCESS_DATASETS.from_pages(paged(table(spark, d, "orders"), "o_orderkey", "response.result", record), keep=["o_orderkey"])
+
+
+@check("table_archive_studies", """
+SELECT o_orderkey::VARCHAR AS study_accession, o_orderpriority AS study_title, 'RNA-Seq' AS study_type, o_orderdate::DATE AS first_public, NULL::DATE AS last_updated,
+  '' AS center_name, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS tax_id FROM orders""")
+def _(spark, d):
+    record = obj(study_accession=text_of("o_orderkey"), study_title=c("o_orderpriority"), study_type=lit("RNA-Seq"), first_public=day(), last_updated=lit(""),
+                 center_name=lit(""), tax_id=when(c("o_orderstatus") == "P", lit("")).otherwise(text_of("o_custkey")))
+    return studies.ARCHIVE_STUDIES.from_records(as_json(table(spark, d, "orders"), "o_orderkey", record))
+
+
+@check("table_archive_runs", """
+SELECT l_orderkey::VARCHAR AS run_accession, l_partkey::VARCHAR AS experiment_accession, l_returnflag AS instrument_model, l_linestatus AS library_strategy,
+  CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_suppkey END AS read_count, l_linenumber::BIGINT AS base_count FROM lineitem""")
+def _(spark, d):
+    record = obj(run_accession=text_of("l_orderkey"), experiment_accession=text_of("l_partkey"), instrument_model=c("l_returnflag"), library_strategy=c("l_linestatus"),
+                 read_count=when(c("l_returnflag") == "R", lit("")).otherwise(text_of("l_suppkey")), base_count=text_of("l_linenumber"))
+    return studies.ARCHIVE_RUNS.from_records(as_json(table(spark, d, "lineitem"), "l_orderkey", record))
+
+
+@check("table_projects", """
+SELECT o_orderkey::VARCHAR AS accession, 't' AS title, o_orderdate::DATE AS submission_date, NULL::DATE AS publication_date, 'COMPLETE' AS submission_type,
+  o_orderpriority || ' | ' || o_orderstatus AS organisms, NULL::VARCHAR AS organism_parts, NULL::VARCHAR AS diseases, o_orderstatus AS instruments, NULL::VARCHAR AS experiment_types,
+  NULL::VARCHAR AS quant_methods, NULL::VARCHAR AS ptms, 'a | b' AS keywords, CASE WHEN o_orderstatus = 'O' THEN 'UK' END AS countries, o_custkey AS total_downloads FROM orders""")
+def _(spark, d):
+    record = obj(accession=text_of("o_orderkey"), title=lit("t"), submissionDate=day(), publicationDate=lit("n/a"), submissionType=lit("COMPLETE"),
+                 organisms=array(obj(name=c("o_orderpriority")), obj(name=c("o_orderstatus"))), instruments=array(obj(name=c("o_orderstatus"))),
+                 organismParts=F.array().cast("array<struct<name: string>>"),
+                 keywords=array(lit("a"), lit("b")), countries=when(c("o_orderstatus") == "O", array(lit("UK"))), totalFileDownloads=c("o_custkey"))
+    return studies.PROJECTS.from_pages(paged(table(spark, d, "orders"), "o_orderkey", "_embedded.projects", record))
+
+
+@check("table_project_files", """
+SELECT page_id::VARCHAR || '.raw' AS file_name, 'RAW' AS file_type, length(html)::BIGINT AS size_bytes, CASE WHEN url LIKE '%ftp%' THEN url ELSE 'ftp://x/' || page_id END AS download_url FROM pages""")
+def _(spark, d):
+    links = obj(self=obj(href=c("url")), ftp=obj(href=F.concat(lit("ftp://x/"), text_of("page_id"))))
+    record = obj(fileName=F.concat(text_of("page_id"), lit(".raw")), fileCategory=obj(name=lit("RAW")), fileSizeBytes=F.length("html"), _links=links)
+    return studies.PROJECT_FILES.from_pages(paged(table(spark, d, "pages"), "page_id", "_embedded.files", record))
+
+
+@check("table_peptides", """
+SELECT l_orderkey::VARCHAR AS peptide_sequence, l_partkey::VARCHAR AS protein_accession, l_linenumber AS charge, CASE WHEN l_returnflag = 'R' THEN NULL ELSE 1 END AS missed_cleavages,
+  l_extendedprice AS best_search_engine_score, CASE l_returnflag WHEN 'A' THEN 'ox | ' WHEN 'N' THEN 'ph' END AS ptms FROM lineitem""")
+def _(spark, d):
+    flag = c("l_returnflag")
+    ptm = lambda n: obj(name=lit(n))
+    record = obj(peptideSequence=text_of("l_orderkey"), proteinAccession=text_of("l_partkey"), charge=c("l_linenumber"), missedCleavages=when(flag == "R", lit("?")).otherwise(lit("1")),
+                 bestSearchEngineScore=obj(mascot=c("l_extendedprice"), other=lit(1)),
+                 ptms=when(flag == "A", array(ptm("ox"), obj(name=lit("")))).when(flag == "N", array(ptm("ph"))))
+    return studies.PEPTIDES.from_pages(paged(table(spark, d, "lineitem"), "l_orderkey", "_embedded.peptideevidences", record))
+
+
+@check("table_trait_studies", """
+SELECT o_orderkey::VARCHAR AS accession_id, o_custkey::VARCHAR AS pubmed_id, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 't' END AS title, NULL::VARCHAR AS author,
+  strftime(o_orderdate, '%Y-%m-%d') AS publication_date, NULL::VARCHAR AS journal, o_orderpriority AS disease_trait, NULL::VARCHAR AS initial_sample_size, NULL::VARCHAR AS replication_sample_size,
+  o_custkey AS snp_count, o_orderstatus = 'O' AS imputed, NULL::BOOLEAN AS full_pvalue_set FROM orders""")
+def _(spark, d):
+    record = obj(accessionId=text_of("o_orderkey"), publicationInfo=obj(pubmedId=text_of("o_custkey"), title=when(c("o_orderstatus") != "P", lit("t")), publicationDate=day()),
+                 diseaseTrait=obj(trait=c("o_orderpriority")), snpCount=c("o_custkey"), imputed=c("o_orderstatus") == "O")
+    return studies.TRAIT_STUDIES.from_pages(paged(table(spark, d, "orders"), "o_orderkey", "_embedded.studies", record))
+
+
+@check("table_associations", """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN '' ELSE 'rs' || l_partkey END AS snp_id, CASE WHEN l_returnflag = 'R' THEN NULL ELSE 'rs' || l_partkey || '-T' END AS risk_allele,
+  NULL::VARCHAR AS risk_frequency, l_tax AS pvalue, NULL::DOUBLE AS pvalue_mlog, NULL::VARCHAR AS pvalue_description, l_quantity AS or_per_copy, NULL::DOUBLE AS beta_num, NULL::VARCHAR AS beta_unit,
+  NULL::VARCHAR AS beta_direction, NULL::DOUBLE AS standard_error, '[1-2]' AS "range", NULL::VARCHAR AS snp_type, CASE WHEN l_returnflag <> 'R' THEN 'locus' END AS locus_description,
+  CASE l_returnflag WHEN 'A' THEN 'G1, G2' WHEN 'N' THEN NULL END AS genes FROM lineitem""")
+def _(spark, d):
+    flag = c("l_returnflag")
+    genes = when(flag == "A", array(obj(geneName=lit("G1")), obj(geneName=lit("")), obj(geneName=lit("G2"))))
+    locus = obj(description=lit("locus"), strongestRiskAlleles=array(obj(riskAlleleName=F.concat(lit("rs"), text_of("l_partkey"), lit("-T")))), authorReportedGenes=genes)
+    record = obj(loci=when(flag != "R", array(locus)), pvalue=c("l_tax"), orPerCopyNum=c("l_quantity"), range=lit("[1-2]"))
+    body = F.concat(lit('{"_embedded":{"associations":['), F.to_json(record), lit("]}}"))
+    return studies.ASSOCIATIONS.from_pages(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", body.alias("page")), keep=["l_orderkey", "l_linenumber"])
+
+
+@check("table_articles", """
+SELECT doc_id::VARCHAR AS pmid, NULL::VARCHAR AS pmcid, NULL::VARCHAR AS doi, source AS title, text AS abstract, 2020 AS pub_year, NULL::VARCHAR AS journal_title, lang AS source,
+  n_chars::INTEGER AS citation_count, lang = 'en' AS is_open_access, 'Doe J | Roe' AS authors, CASE WHEN lang = 'en' THEN source END AS mesh_terms, NULL::VARCHAR AS grant_ids FROM documents""")
+def _(spark, d):
+    authors = obj(author=array(obj(lastName=lit("Doe"), initials=lit("J")), obj(lastName=lit(""), initials=lit("X")), obj(lastName=lit("Roe"), initials=lit(""))))
+    mesh = when(c("lang") == "en", obj(meshHeading=array(obj(descriptorName=c("source")))))
+    record = obj(pmid=text_of("doc_id"), title=c("source"), abstractText=c("text"), pubYear=lit("2020"), source=c("lang"), citedByCount=c("n_chars"),
+                 isOpenAccess=when(c("lang") == "en", "Y").otherwise("N"), authorList=authors, meshHeadingList=mesh)
+    return studies.ARTICLES.from_pages(paged(table(spark, d, "documents"), "doc_id", "resultList.result", record))
+
+
+@check("table_microbiome_studies", """
+SELECT o_orderkey::VARCHAR AS accession, o_orderpriority AS study_name, NULL::VARCHAR AS study_abstract, o_custkey AS samples_count, NULL::VARCHAR AS centre_name, NULL::VARCHAR AS bioproject,
+  NULL::VARCHAR AS secondary_accession, NULL::VARCHAR AS data_origination, o_orderstatus = 'O' AS is_private, NULL::VARCHAR AS public_release_date, strftime(o_orderdate, '%Y-%m-%d') AS last_update,
+  CASE o_orderstatus WHEN 'O' THEN 'root:a;root:b' WHEN 'F' THEN '' END AS biomes FROM orders""")
+def _(spark, d):
+    s = c("o_orderstatus")
+    biome = lambda v: obj(id=lit(v))
+    data = when(s == "O", array(biome("root:a"), biome(""), biome("root:b"))).when(s == "F", array(biome("")))
+    attrs = obj(**{"study-name": c("o_orderpriority"), "samples-count": c("o_custkey"), "is-private": s == "O", "last-update": day()})
+    record = obj(id=text_of("o_orderkey"), attributes=attrs, relationships=obj(biomes=obj(data=data)))
+    rows = studies.MICROBIOME_STUDIES.from_pages(paged(table(spark, d, "orders"), "o_orderkey", "data", record))
+    return rows.withColumn("biomes", F.array_join("biomes", ";"))
+
+
+@check("table_microbiome_samples", """
+SELECT c_custkey::VARCHAR AS accession, c_name AS sample_name, NULL::VARCHAR AS sample_desc, c_acctbal AS longitude, NULL::DOUBLE AS latitude, NULL::VARCHAR AS collection_date, NULL::VARCHAR AS environment_biome,
+  c_mktsegment AS environment_feature, NULL::VARCHAR AS environment_material, CASE WHEN c_acctbal < 0 THEN NULL ELSE 'root:' || c_nationkey END AS biome FROM customer""")
+def _(spark, d):
+    attrs = obj(**{"sample-name": c("c_name"), "longitude": c("c_acctbal"), "environment-feature": c("c_mktsegment")})
+    data = when(c("c_acctbal") >= 0, obj(id=F.concat(lit("root:"), text_of("c_nationkey"))))
+    record = obj(id=text_of("c_custkey"), attributes=attrs, relationships=obj(biome=obj(data=data)))
+    return studies.MICROBIOME_SAMPLES.from_pages(paged(table(spark, d, "customer"), "c_custkey", "data", record))
+
+
+@check("table_microbiome_analyses", """
+SELECT event_id::VARCHAR AS accession, event_type AS experiment_type, '5.0' AS pipeline_version, 'completed' AS analysis_status, NULL::VARCHAR AS instrument_platform, NULL::VARCHAR AS instrument_model,
+  NULL::VARCHAR AS complete_time, user_id::VARCHAR AS sample_accession, CASE WHEN event_type = 'click' THEN 'R1' END AS run_accession, NULL::VARCHAR AS assembly_accession,
+  CASE WHEN event_type = 'view' THEN '' ELSE 'user=' || user_id || ';flag=true' END AS summary FROM events""")
+def _(spark, d):
+    pair = lambda k, v: obj(key=lit(k), value=v)
+    pairs = when(c("event_type") != "view", array(pair("user", text_of("user_id")), pair("flag", lit("true"))))
+    attrs = obj(**{"experiment-type": c("event_type"), "pipeline-version": lit("5.0"), "analysis-status": lit("completed"), "analysis-summary": pairs})
+    rels = obj(sample=obj(data=obj(id=text_of("user_id"))), run=obj(data=when(c("event_type") == "click", obj(id=lit("R1")))))
+    record = obj(id=text_of("event_id"), attributes=attrs, relationships=rels)
+    rows = studies.MICROBIOME_ANALYSES.from_pages(paged(table(spark, d, "events"), "event_id", "data", record))
+    return rows.withColumn("summary", F.array_join(F.transform("summary", lambda p: F.concat(p["key"], lit("="), p["value"])), ";"))
+
+
+@check("table_taxon_counts", """
+SELECT p_partkey::VARCHAR AS taxon_id, CASE WHEN p_size > 25 THEN p_name ELSE p_type || ';;;' || p_brand || ';;;;' END AS lineage, p_size::BIGINT AS count, p_type AS superkingdom, NULL::VARCHAR AS kingdom,
+  NULL::VARCHAR AS phylum, p_brand AS class_, NULL::VARCHAR AS "order", NULL::VARCHAR AS family, NULL::VARCHAR AS genus, NULL::VARCHAR AS species FROM part""")
+def _(spark, d):
+    attrs = obj(lineage=when(c("p_size") > 25, c("p_name")).otherwise(""), count=c("p_size"), hierarchy=obj(**{"super kingdom": c("p_type"), "class": c("p_brand")}))
+    return studies.TAXON_COUNTS.from_pages(paged(table(spark, d, "part"), "p_partkey", "data", obj(id=text_of("p_partkey"), attributes=attrs)))
+
+
+@check("table_go_slim", "SELECT 'GO:' || p_partkey AS go_id, p_name AS description, p_type AS lineage, p_size::BIGINT AS count FROM part")
+def _(spark, d):
+    record = obj(id=F.concat(lit("GO:"), text_of("p_partkey")), attributes=obj(description=c("p_name"), lineage=c("p_type"), count=c("p_size")))
+    return studies.GO_SLIM.from_pages(paged(table(spark, d, "part"), "p_partkey", "data", record))
