@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabularium.functions.rows import item_rows, struct_rows
+
 
 # ---- variant access -------------------------------------------------------
 
@@ -137,7 +139,7 @@ def pivot_dynamic(df: DataFrame, ids: Sequence[str], attrs: str, prefix: str, na
     can hold as columns is an error, never a silent cut. The lists themselves stay in their
     row: no shuffle carries them.
     """
-    found = (df.select(F.explode(attrs).alias("a")).select(F.col(f"a.{name}").alias("k"))
+    found = (item_rows(df, [], F.col(attrs), "a").select(F.col(f"a.{name}").alias("k"))
                .filter(F.col("k").isNotNull()).distinct().limit(max_columns + 1).collect())
     if len(found) > max_columns:
         raise ValueError(f"more than {max_columns} attribute names; keep them as rows instead")
@@ -164,7 +166,8 @@ def section_rows(df: DataFrame, ids: Sequence[str], record: str) -> DataFrame:
 
     A scalar at the top level has an empty section; an object gives one row per inner key.
     """
-    top = df.select(*ids, F.explode(F.try_variant_get(record, "$", "map<string,variant>")).alias("_k", "_v"))
+    top = struct_rows(df, ids, F.map_entries(F.try_variant_get(record, "$", "map<string,variant>")), ["key", "value"])
+    top = top.withColumnsRenamed({"key": "_k", "value": "_v"})
     inner = F.try_variant_get("_v", "$", "map<string,variant>")
     pairs = F.when(
         inner.isNotNull(),
@@ -172,13 +175,13 @@ def section_rows(df: DataFrame, ids: Sequence[str], record: str) -> DataFrame:
             F.col("_k").alias("section"), e["key"].alias("key"), F.try_variant_get(e["value"], "$", "string").alias("value"))),
     ).otherwise(F.array(F.struct(
         F.lit("").alias("section"), F.col("_k").alias("key"), F.try_variant_get("_v", "$", "string").alias("value"))))
-    return top.select(*ids, F.inline(pairs))
+    return struct_rows(top, ids, pairs, ["section", "key", "value"])
 
 
 def profile_json(df: DataFrame, record: str) -> DataFrame:
     """Field discovery: key, kind, number of records and a sample value per key and kind."""
-    pairs = df.select(F.explode(F.try_variant_get(record, "$", "map<string,variant>")).alias("key", "_v"))
-    return (pairs.select("key", kind_of(F.col("_v")).alias("kind"), F.try_variant_get("_v", "$", "string").alias("_t"))
+    pairs = struct_rows(df, [], F.map_entries(F.try_variant_get(record, "$", "map<string,variant>")), ["key", "value"])
+    return (pairs.select("key", kind_of(F.col("value")).alias("kind"), F.try_variant_get("value", "$", "string").alias("_t"))
                  .groupBy("key", "kind").agg(F.count("*").alias("n_records"), F.min("_t").alias("sample")))
 
 
@@ -239,7 +242,7 @@ def leaf_files(df: DataFrame, ids: Sequence[str], tree: str, depth: int | None =
     The type is the node's own, else the text after the last dot of its name.
     """
     walked = tree_nodes(df, tree, lambda n: items_of(n, "$.files"), lambda n: pick(n, "$.name"), depth)
-    rows = walked.select(*ids, F.inline("nodes"))
+    rows = struct_rows(walked, ids, F.col("nodes"), ["path", "node"])
     is_leaf = F.try_variant_get("node", "$.files", "variant").isNull()
     own_name = F.coalesce(pick(F.col("node"), "$.name"), F.lit(""))
     suffix = F.when(F.contains(own_name, F.lit(".")), F.substring_index(own_name, ".", -1))
@@ -255,7 +258,7 @@ def section_outline(df: DataFrame, ids: Sequence[str], tree: str, depth: int | N
     """Outline rows of section trees: order, depth, type, accession and numbers of parts."""
     walked = tree_nodes(df, tree, lambda n: items_of(n, "$.subsections"), lambda n: pick(n, "$.accno"), depth)
     node = F.col("node")
-    return walked.select(*ids, F.inline("nodes")).select(
+    return struct_rows(walked, ids, F.col("nodes"), ["pos", "depth", "node"]).select(
         *ids, "pos", "depth",
         pick(node, "$.type").alias("type"),
         F.coalesce(pick(node, "$.accno"), F.lit("")).alias("accno"),

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabularium.functions.rows import struct_rows
+
 
 def _literal_pattern(text: str) -> str:
     return "\\Q" + text + "\\E"
@@ -78,8 +80,7 @@ def match_structs(c: Column, pattern: str, groups: Mapping[str, int], unknown: M
 def match_rows(df: DataFrame, c: Column, pattern: str, groups: Mapping[str, int],
                unknown: Mapping[str, str] | None = None) -> DataFrame:
     """One row per match with one column per named group."""
-    return (df.select("*", F.explode(match_structs(c, pattern, groups, unknown)).alias("_match"))
-              .select(*df.columns, *[F.col(f"_match.{n}").alias(n) for n in groups]))
+    return struct_rows(df, df.columns, match_structs(c, pattern, groups, unknown), list(groups))
 
 
 # Fixed value: an archive accession is a letter prefix and a number.

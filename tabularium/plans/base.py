@@ -9,16 +9,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.functions.names import normalise_names
+from tabularium.functions.rows import item_rows
 from tabularium.sources.delimited import null_tokens, parse_lines, read_table
 from tabularium.sources.landed import read_pages
 
 Columns = Callable[[Column, Column], dict[str, Column]]
 
 
-def _nested_field(path: str, inner: str) -> str:
-    """DDL of one field at a dotted path: ``a.b`` becomes ``a: struct<b: inner>``."""
-    head, _, rest = path.partition(".")
-    return f"`{head}`: {inner}" if not rest else f"`{head}`: struct<{_nested_field(rest, inner)}>"
+def _shared_shapes(paths: Sequence[str], inner: str) -> list[tuple[str, list[str]]]:
+    """Struct DDLs that cover dotted paths, each with the paths it covers.
+
+    Paths share one shape, so one parse, unless one is a prefix of another.
+    """
+    groups: list[list[str]] = []
+    for path in paths:
+        for group in groups:
+            if not any(p == path or p.startswith(path + ".") or path.startswith(p + ".") for p in group):
+                group.append(path)
+                break
+        else:
+            groups.append([path])
+
+    def ddl(steps: list[list[str]]) -> str:
+        heads = list(dict.fromkeys(s[0] for s in steps))
+        fields = []
+        for head in heads:
+            rest = [s[1:] for s in steps if s[0] == head]
+            fields.append(f"`{head}`: {inner if rest == [[]] else ddl(rest)}")
+        return f"struct<{', '.join(fields)}>"
+
+    return [(ddl([p.split(".") for p in group]), group) for group in groups]
 
 
 @dataclass(frozen=True)
@@ -40,24 +60,20 @@ class JsonTable:
     items: Callable[[Column], Column] | None = None
     keep_parents: bool = False
 
-    def records(self, page: Column) -> Column:
-        """Record list of a page, from the first envelope path that has one."""
-        shape = f"struct<{self.record}>"
-        lists = []
-        for path in self.envelope:
-            if path == "$":
-                bare = F.when(F.ltrim(page).startswith("["), page)
-                lists.append(F.from_json(bare, f"array<{shape}>"))
-            else:
-                parsed = F.from_json(page, f"struct<{_nested_field(path, f'array<{shape}>')}>")
-                for step in path.split("."):
-                    parsed = parsed[step]
-                lists.append(parsed)
-        return F.coalesce(*[F.when(F.size(a) > 0, a) for a in lists])
-
     def from_pages(self, df: DataFrame, page: str = "page", keep: Sequence[str] = ()) -> DataFrame:
-        """Rows of all records of all pages."""
-        return self._rows(df.select(*keep, F.explode(self.records(F.col(page))).alias("_r")), keep)
+        """Rows of all records of all pages. The first envelope path with records counts."""
+        shape = f"array<struct<{self.record}>>"
+        text, parsed, found = F.col(page), {}, {}
+        if "$" in self.envelope:
+            parsed["_p"] = F.from_json(F.when(F.ltrim(text).startswith("["), text), shape)
+            found["$"] = F.col("_p")
+        for i, (ddl, paths) in enumerate(_shared_shapes([p for p in self.envelope if p != "$"], shape)):
+            parsed[f"_p{i}"] = F.from_json(text, ddl)
+            found.update({p: F.col(".".join(f"`{s}`" for s in [f"_p{i}", *p.split(".")])) for p in paths})
+        lists = [found[p] for p in self.envelope]
+        records = lists[0] if len(lists) == 1 else F.get(F.filter(F.array(*lists), lambda a: F.size(a) > 0), F.lit(0))
+        pages = df.select(*keep, *[c.alias(n) for n, c in parsed.items()])
+        return self._rows(item_rows(pages, keep, records, "_r"), keep)
 
     def from_records(self, df: DataFrame, record: str = "record", keep: Sequence[str] = ()) -> DataFrame:
         """Rows of records that are in a column, one JSON object each."""
@@ -71,8 +87,9 @@ class JsonTable:
         if self.items is None:
             df = df.withColumn("_x", F.lit(None))
         else:
-            spread = F.explode_outer if self.keep_parents else F.explode
-            df = df.select(*keep, "_r", spread(self.items(F.col("_r"))).alias("_x"))
+            df = df.select(*keep, "_r", F.explode_outer(self.items(F.col("_r"))).alias("_x"))
+            if not self.keep_parents:
+                df = df.filter(F.col("_x").isNotNull())
         cols = self.columns(F.col("_r"), F.col("_x"))
         return df.select(*keep, *[c.alias(n) for n, c in cols.items()])
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabularium.functions.casts import safe, truthy_number
 from tabularium.functions.fallback import first_truthy
 from tabularium.functions.nested import count_where, first_item, has_items, join_list, field_list, list_size, pivot_dynamic
+from tabularium.functions.rows import struct_rows
 from tabularium.functions.text import joined_name, scaled, span_length
 from tabularium.plans.base import JsonTable
 
@@ -100,8 +101,8 @@ DIVISION_SPECIES = JsonTable(
 
 def by_species(plan: JsonTable, df: DataFrame, doc: str, keep: Sequence[str] = ()) -> DataFrame:
     """Rows of a document that maps species to record, with the species as a column."""
-    entries = df.select(*keep, F.explode(F.from_json(doc, "map<string,string>")).alias("species", "record"))
-    return plan.from_records(entries, "record", keep=[*keep, "species"])
+    entries = struct_rows(df, keep, F.map_entries(F.from_json(doc, "map<string,string>")), ["key", "value"])
+    return plan.from_records(entries.withColumnRenamed("key", "species"), "value", keep=[*keep, "species"])
 
 
 def _expression_call(r: Column, _: Column) -> dict[str, Column]:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tabularium.functions.casts import blank_to_null, date_prefix, safe, safe_date, strict, trimmed
 from tabularium.functions.fallback import first_truthy
 from tabularium.functions.nested import field_list, first_item, join_list, list_size, matrix_long, pivot_known
-from tabularium.functions.text import dotted_levels, equation_participants, fixed_part, match_structs, span_length, split_once
+from tabularium.functions.rows import item_rows, struct_rows
+from tabularium.functions.text import dotted_levels, equation_participants, fixed_part, match_rows, match_structs, span_length, split_once
 from tabularium.plans.base import JsonTable
 from tabularium.sources.xmlsrc import xml_item, xml_text
 
@@ -102,11 +103,13 @@ ENZYMES = JsonTable("enzymes", f"results: array<struct<{ENZYME_ENTRY}>>", _enzym
 
 def kinetics(df: DataFrame, page: str, ec_number: str) -> DataFrame:
     """One row per kinetic constant in the free text of all entries; malformed numbers are dropped."""
-    entries = df.select(F.col(ec_number).alias("ec_number"), F.inline(F.from_json(page, f"struct<results: array<struct<{ENZYME_ENTRY}>>>")["results"]))
-    texts = entries.select("ec_number", F.coalesce("primaryAccession", F.lit("")).alias("uniprot_id"),
-                           F.coalesce("organism.scientificName", F.lit("unknown")).alias("organism"), F.explode(_texts(F.col("comments"))).alias("_t"))
-    found = texts.select("ec_number", "uniprot_id", "organism", F.inline(match_structs(
-        F.col("_t"), KM_FULL, {"km_value": 1, "km_unit": 2, "substrate": 3}, {"substrate": "unknown"})))
+    keys = ["ec_number", "uniprot_id", "organism"]
+    results = F.from_json(page, f"struct<results: array<struct<{ENZYME_ENTRY}>>>")["results"]
+    entries = struct_rows(df.withColumn("ec_number", F.col(ec_number)), ["ec_number"], results, ["primaryAccession", "organism", "comments"])
+    named = entries.select("ec_number", F.coalesce("primaryAccession", F.lit("")).alias("uniprot_id"),
+                           F.coalesce("organism.scientificName", F.lit("unknown")).alias("organism"), "comments")
+    texts = item_rows(named, keys, _texts(F.col("comments")), "_t")
+    found = match_rows(texts, F.col("_t"), KM_FULL, {"km_value": 1, "km_unit": 2, "substrate": 3}, {"substrate": "unknown"})
     return found.select("ec_number", "uniprot_id", "organism", "substrate", safe("km_value", "double").alias("km_value"),
                         "km_unit").filter(F.col("km_value").isNotNull())
 
@@ -262,8 +265,8 @@ _STRUCTURES = JsonTable(
 
 def structures(df: DataFrame, doc: str = "doc") -> DataFrame:
     """Entries of documents that map an id to a list of records; ids with an empty list are skipped."""
-    entries = df.select(F.explode(F.from_json(doc, "map<string,array<string>>")).alias("pdb_id", "_list"))
-    first = entries.select("pdb_id", F.get("_list", F.lit(0)).alias("record")).filter(F.col("record").isNotNull())
+    entries = struct_rows(df, [], F.map_entries(F.from_json(doc, "map<string,array<string>>")), ["key", "value"])
+    first = entries.select(F.col("key").alias("pdb_id"), F.get("value", F.lit(0)).alias("record")).filter(F.col("record").isNotNull())
     return _STRUCTURES.from_records(first, "record", keep=["pdb_id"])
 
 
@@ -315,7 +318,9 @@ DISORDER_GENE_XML = (
 
 def disorder_genes(disorders: DataFrame) -> DataFrame:
     """Gene associations of disorder elements, the known gene cross-references as columns."""
-    rows = disorders.select("OrphaCode", F.col("Name").alias("_name"), F.inline("DisorderGeneAssociationList.DisorderGeneAssociation"))
+    rows = struct_rows(disorders.withColumnRenamed("Name", "_name"), ["OrphaCode", "_name"],
+                       F.col("DisorderGeneAssociationList.DisorderGeneAssociation"),
+                       ["SourceOfValidation", "Gene", "DisorderGeneAssociationType", "DisorderGeneAssociationStatus"])
     refs = F.col("Gene.ExternalReferenceList.ExternalReference")
     return rows.select(
         safe(trimmed("OrphaCode"), "bigint").alias("orpha_code"), trimmed("_name").alias("disorder_name"),

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabularium.functions.rows import item_rows, struct_rows
+
 
 def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per landed file (file, page text); a file is one JSON document."""
@@ -23,13 +25,13 @@ def read_json(spark: SparkSession, path: str | list[str], schema: str | T.Struct
 def record_list(page: Column, paths: Sequence[str]) -> Column:
     """Record list of an envelope: the first path that holds a non-empty list; ``$`` is a bare list."""
     lists = [F.try_variant_get(page, p, "array<variant>") for p in paths]
-    return F.coalesce(*[F.when(F.size(a) > 0, a) for a in lists])
+    return lists[0] if len(lists) == 1 else F.get(F.filter(F.array(*lists), lambda a: F.size(a) > 0), F.lit(0))
 
 
 def unwrap_pages(df: DataFrame, page: str, paths: Sequence[str], keep: Sequence[str] = (), item: str = "item") -> DataFrame:
     """One row per record of each page; ``page`` is JSON text, unreadable pages give no rows."""
     parsed = df.select(*keep, F.try_parse_json(page).alias("_page"))
-    return parsed.select(*keep, F.explode(record_list(F.col("_page"), paths)).alias(item))
+    return item_rows(parsed, keep, record_list(F.col("_page"), paths), item)
 
 
 def page_audit(df: DataFrame, source: str, page: str, n_records: str, total: str, cursor: str, next_cursor: str,
@@ -88,4 +90,5 @@ def stack_text_pages(df: DataFrame, order: str, text: str, keep: Sequence[str] =
 def keyed_rows(df: DataFrame, doc: str, value_type: str, key: str = "key", value: str = "value",
                keep: Sequence[str] = ()) -> DataFrame:
     """One row per entry of a document that is a map from id to record."""
-    return df.select(*keep, F.explode(F.from_json(doc, f"map<string,{value_type}>")).alias(key, value))
+    entries = F.map_entries(F.from_json(doc, f"map<string,{value_type}>"))
+    return struct_rows(df, keep, entries, ["key", "value"]).withColumnsRenamed({"key": key, "value": value})

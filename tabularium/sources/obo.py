@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabularium.functions.rows import struct_rows
+
 
 def read_stanzas(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per stanza; the blank line between stanzas is the record separator."""
@@ -34,7 +36,8 @@ def term_edges(df: DataFrame, stanza: str = "stanza", keep: Sequence[str] = ())
         return F.struct(F.trim(F.get(parts, F.lit(1))).alias("parent_id"), F.get(parts, F.lit(0)).alias("relation"))
 
     parents = F.transform(F.filter("_lines", lambda s: s.startswith("is_a: ") | s.startswith("relationship: ")), edge)
-    flat = terms.select(*keep, _first_line(F.col("_lines"), "id: ").alias("child_id"),
-                        F.coalesce(_first_line(F.col("_lines"), "name: "), F.lit("")).alias("child_name"),
-                        F.inline(parents))
+    named = terms.select(*keep, _first_line(F.col("_lines"), "id: ").alias("child_id"),
+                         F.coalesce(_first_line(F.col("_lines"), "name: "), F.lit("")).alias("child_name"),
+                         parents.alias("_parents"))
+    flat = struct_rows(named, [*keep, "child_id", "child_name"], F.col("_parents"), ["parent_id", "relation"])
     return flat.filter((F.col("child_id") != "") & F.col("parent_id").isNotNull())
