@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabularium.checks import shapes
-from tabularium.checks.registry import check, table
+from tabularium.checks.registry import check, spread_table, table
 from tabularium.functions import casts, fallback, names, text
 from tabularium.operators import aggregate, indexing, lookup
 
@@ -187,7 +187,7 @@ def _(spark, d):
     return table(spark, d, "orders").select("o_orderkey", lookup.label_by(F.col("o_orderstatus"), ORDER_STATES, F.lit("unknown")).alias("state"))
 
 
-@check("p24_scaled_measure", "SELECT o_orderkey, round(o_totalprice / 1000, 3) AS total_k FROM orders")
+@check("p24_scaled_measure", "SELECT o_orderkey, round(o_totalprice::DECIMAL(18, 2) * 0.001::DECIMAL(4, 3), 3)::DOUBLE AS total_k FROM orders")
 def _(spark, d):
     return table(spark, d, "orders").select("o_orderkey", text.scaled(F.col("o_totalprice"), 1000.0, 3).alias("total_k"))
 
@@ -353,7 +353,7 @@ UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_tax, 'µM', 'unknown' FR
 def _(spark, d):
     note = F.concat(F.lit("Km="), F.col("l_quantity").cast("string"), F.lit(" mM for flag "), F.col("l_returnflag"),
                     F.lit("; then KM = "), F.col("l_tax").cast("string"), F.lit(" µM; Km=1.2.3 mM; Vmax=4"))
-    df = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", note.alias("note"))
+    df = spread_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", note.alias("note"))
     rows = text.match_rows(df, F.col("note"), KM_PATTERN, {"km_value": 1, "km_unit": 2, "substrate": 3}, {"substrate": "unknown"})
     return rows.withColumn("km_value", casts.safe("km_value", "double")).filter("km_value is not null").drop("note")
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tabularium.checks import shapes
-from tabularium.checks.registry import check, table
+from tabularium.checks.registry import check, spread_table, table
 from tabularium.operators import catalogue, manifest, sinks, validate
 from tabularium.session import fresh_path
 from tabularium.sources import archive, delimited, landed, listing, obo, xmlsrc
@@ -120,7 +120,7 @@ def zip_members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 @check("s7_zip_member", """
 SELECT doc_id, unnest(range(len(string_split(text, chr(10)))))::INTEGER AS i, nullif(unnest(string_split(text, chr(10))), '') AS line FROM documents""")
 def _(spark, d):
-    archives = table(spark, d, "documents").select("doc_id", "text").mapInPandas(zip_members, "path string, content binary")
+    archives = spread_table(spark, d, "documents").select("doc_id", "text").mapInPandas(zip_members, "path string, content binary")
     lines = archive.archive_lines(archives, ".tsv")
     return delimited.parse_lines(lines, "line", "doc_id bigint, i int, line string").withColumn("line", F.nullif("line", F.lit("")))
 
@@ -177,7 +177,7 @@ def compound_xml():
 @check("s9_xml_fields", "SELECT 'CHEBI:' || p_partkey AS chebi_id, p_name AS name, p_size::VARCHAR AS charge, '' AS smiles FROM part")
 def _(spark, d):
     doc = F.col("doc")
-    return table(spark, d, "part").select(compound_xml().alias("doc")).select(
+    return spread_table(spark, d, "part").select(compound_xml().alias("doc")).select(
         xmlsrc.xml_text(doc, "chebiId").alias("chebi_id"), xmlsrc.xml_text(doc, "chebiAsciiName").alias("name"),
         xmlsrc.xml_text(doc, "charge").alias("charge"), xmlsrc.xml_text(doc, "smiles").alias("smiles"))
 
@@ -185,7 +185,7 @@ def _(spark, d):
 @check("s10_xml_item", "SELECT p_partkey, CASE WHEN p_type <> 'SMALL' THEN p_retailprice END AS mass FROM part")
 def _(spark, d):
     item = xmlsrc.xml_item(F.col("doc"), "ChemicalDataItem", "datatype", "MONOISOTOPIC MASS", "data")
-    return table(spark, d, "part").select("p_partkey", compound_xml().alias("doc")).select(
+    return spread_table(spark, d, "part").select("p_partkey", compound_xml().alias("doc")).select(
         "p_partkey", F.nullif(item, F.lit("")).try_cast("double").alias("mass"))
 
 
@@ -257,7 +257,7 @@ def _(spark, d):
                                        tag("Image", tag("Dimensions", tag("Channels", channels))),
                                        tag("Instrument", tag("Objectives", objective))))
     doc = tag("ImageDocument", tag("Metadata", F.concat(scaling, info)))
-    df = table(spark, d, "part").select("p_partkey", doc.alias("doc"))
+    df = spread_table(spark, d, "part").select("p_partkey", doc.alias("doc"))
     return xmlsrc.select_acquisition(df, "doc", keep=["p_partkey"]).drop("px_um_y", "na", "error")
 
 

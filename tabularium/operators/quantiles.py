@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The approximate ranks below are good to 1/ACCURACY of the group; the bracket is wider.
-ACCURACY = 50_000
+ACCURACY = 20_000
 MARGIN = 4.0 / ACCURACY
 
 
@@ -16,62 +16,76 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """Linear-interpolated quantiles as rows (by..., column, prob, value).
 
     ``percentile`` keeps every distinct value of a group in one task. Here a first pass finds
-    a narrow bracket around each wanted rank from an approximate summary, and a second pass
-    counts the rows below the bracket and the rows per value inside it. Those counts are
-    partial sums spread by value; only the values inside a bracket, a fixed small share of
-    the group, are put in order. A rank that fell outside its bracket fails the job, so the
+    a narrow bracket around each wanted rank from an approximate summary. A second pass counts
+    rows per value inside the brackets and in one lump per stretch between them; the counts
+    are partial sums spread by value. Only the values inside brackets, a fixed small share of
+    a group, are put in order. A rank that fell outside its bracket fails the job, so the
     result is exact or absent, never near.
     """
-    by = list(by)
+    by, probs = list(by), sorted({float(p) for p in probs})
     keys = [*by, "column"]
-    probs = [float(p) for p in probs]
     long = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in columns
     ]))).filter(F.col("_v").isNotNull())
+    brackets = _brackets(long, keys, probs)
 
-    low = [max(p - MARGIN, 0.0) for p in probs]
-    high = [min(p + MARGIN, 1.0) for p in probs]
-    summary = long.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", low + high, ACCURACY).alias("_q"))
-    brackets = summary.select(*keys, F.array(*[
-        _bracket(i, p, low[i], high[i], len(probs)) for i, p in enumerate(probs)]).alias("_b"))
-
-    # One row per value and bracket it touches; all rows below a bracket share the null value.
-    # A summary without groups has one row per column, so its join is a broadcast by size.
+    # Without groups there is one row of brackets per column of the table; with groups AQE
+    # picks the join from the measured size and splits a hot group.
     shared = F.broadcast(brackets) if not by else brackets
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(f"l.{k}").eqNullSafe(F.col(f"b.{k}"))
-    touched = (long.alias("l").join(shared.alias("b"), cond)
-               .select(*[F.col(f"l.{k}").alias(k) for k in keys], "_v",
-                       F.explode(F.filter("_b", lambda b: F.col("_v") <= b["hi"])).alias("_s"))
-               .select(*keys, F.col("_s.i").alias("_i"), F.col("_s.pos").alias("_pos"),
-                       F.when(F.col("_v") >= F.col("_s.lo"), F.col("_v")).alias("_v")))
-    counts = touched.groupBy(*keys, "_i", "_pos", "_v").agg(F.count("*").alias("_c"))
-    order = Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
+    joined = long.alias("l").join(shared.alias("b"), cond).select(
+        *[F.col(f"l.{k}").alias(k) for k in keys], "_v", *[c for c in brackets.columns if c not in keys])
+
+    v = F.col("_v")
+    inside, lump = F.lit(False), []
+    for i in range(len(probs)):
+        inside = inside | v.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
+        lump.append(F.when(v < F.col(f"_lo{i}"), F.col(f"_lo{i}")))
+    counts = (joined.select(*keys, "_n", inside.alias("_in"), F.when(inside, v).otherwise(F.coalesce(*lump)).alias("_at"))
+              .filter(F.col("_at").isNotNull())
+              .groupBy(*keys, "_n", "_at", "_in").agg(F.count("*").alias("_c")))
+
+    # A lump sorts just before the bracket it lies below (false sorts before true).
+    order = Window.partitionBy(*keys).orderBy("_at", "_in").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counts.withColumn("_upto", F.sum("_c").over(order))
-    floor, ceil = F.floor("_pos"), F.ceil("_pos")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank), F.col("_v")))
+        hit = F.col("_in") & (F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank)
+        return F.max(F.when(hit, F.col("_at")))
+
+    place = [F.lit(p) * (F.col("_n") - 1) for p in probs]
+    picked = ranked.groupBy(*keys).agg(F.first("_n").alias("_n"), *[
+        F.struct(at(F.floor(pos)).alias("lo"), at(F.ceil(pos)).alias("hi")).alias(f"_q{i}") for i, pos in enumerate(place)])
+    return picked.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(p).alias("prob"), _between(F.col(f"_q{i}"), place[i]).alias("value")) for i, p in enumerate(probs)])))
 
-    picked = ranked.groupBy(*keys, "_i", "_pos").agg(at(floor).alias("_lo"), at(ceil).alias("_hi"))
-    missed = F.col("_lo").isNull() | F.col("_hi").isNull()
-    value = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_pos") - F.floor("_pos"))
-    checked = F.when(missed, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")).otherwise(value)
-    prob = F.get(F.array(*[F.lit(p) for p in probs]), F.col("_i"))
-    return picked.select(*keys, prob.alias("prob"), checked.alias("value"))
 
+def _brackets(long: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Row count and one value range per probability that holds the wanted rank of the group.
 
-def _bracket(i: int, p: float, low: float, high: float, n_probs: int) -> Column:
-    """Bracket of one probability. A group of at most ACCURACY rows is its own bracket: there the
-    margin is less than one rank wide."""
+    A group of at most ACCURACY rows is its own bracket: there the margin is less than one
+    rank wide.
+    """
+    low = [max(p - MARGIN, 0.0) for p in probs]
+    high = [min(p + MARGIN, 1.0) for p in probs]
+    summary = long.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", low + high, ACCURACY).alias("_q"))
     whole = F.col("_n") <= ACCURACY
-    lo = F.when(whole | F.lit(low == 0.0), F.col("_min")).otherwise(F.get("_q", F.lit(i)))
-    hi = F.when(whole | F.lit(high == 1.0), F.col("_max")).otherwise(F.get("_q", F.lit(n_probs + i)))
-    return F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("_n") - 1)).alias("pos"), lo.alias("lo"), hi.alias("hi"))
+    ranges = []
+    for i in range(len(probs)):
+        ranges.append(F.when(whole | F.lit(low[i] == 0.0), F.col("_min")).otherwise(F.get("_q", F.lit(i))).alias(f"_lo{i}"))
+        ranges.append(F.when(whole | F.lit(high[i] == 1.0), F.col("_max")).otherwise(F.get("_q", F.lit(len(probs) + i))).alias(f"_hi{i}"))
+    return summary.select(*keys, "_n", *ranges)
+
+
+def _between(pair: Column, place: Column) -> Column:
+    """Linear interpolation between the values of the two ranks around a place."""
+    value = pair["lo"] + (pair["hi"] - pair["lo"]) * (place - F.floor(place))
+    missed = pair["lo"].isNull() | pair["hi"].isNull()
+    return F.when(missed, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")).otherwise(value)
 
 
 def quantile_columns(df: DataFrame, column: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
