@@ -104,8 +104,8 @@ def _(spark, d):
     df = table(spark, d, "events")
     moments = df.agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.round(F.avg("value"), 6).alias("mean"),
                      F.round(F.stddev_pop("value"), 6).alias("std"), F.round(F.sum(F.col("value").cast("decimal(20,2)")), 2).cast("double").alias("total"))
-    middle = quantiles.quantile_columns(df, "value", {"median": 0.5}).select(F.round("median", 6).alias("median"))
-    return moments.withColumn("_one", F.lit(1)).join(middle.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    middle = quantiles.quantile_columns(df, "value", {"median": 0.5}).select("median")
+    return moments.select("*", F.round(middle.scalar(), 6).alias("median"))
 
 
 @check("a8_distinct_count", """

@@ -94,13 +94,13 @@ def listing_lines(spark: SparkSession, folder: str) -> DataFrame:
     bytes_ = (F.col("p_partkey") * 1000 + F.col("p_size")).cast("string")
     line = F.when(F.col("p_size") == 13, F.concat_ws(" ", perms, F.lit("2 ftp ftp"))).otherwise(
         F.concat_ws("  ", perms, F.lit("2 ftp ftp"), bytes_, F.lit("Mar 22 2023"), name))
-    return spread_table(spark, folder, "part").select("p_partkey", line.alias("line"))
+    return spread_table(spark, folder, "part").select("p_partkey", "p_size", line.alias("line"))
 
 
 def geo_edges(spark: SparkSession, folder: str) -> DataFrame:
     """Hierarchy edges: region to root, nation to region, supplier and customer to nation.
 
-    Customers in debt hang on a nation by ``has_part``; nations 0 to 4 also hang on region 0,
+    Customers in debt hang on a nation by ``has_part``; the nations of region 1 also hang on region 0,
     which makes the graph a DAG.
     """
     def edges(df: DataFrame, child: Column, parent: Column, relation: Column) -> DataFrame:
@@ -112,7 +112,7 @@ def geo_edges(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer")
     return (edges(table(spark, folder, "region"), node("R", "r_regionkey"), F.lit("ROOT"), is_a)
             .union(edges(nation, node("N", "n_nationkey"), node("R", "n_regionkey"), is_a))
-            .union(edges(nation.filter("n_nationkey < 5"), node("N", "n_nationkey"), F.lit("R0"), is_a))
+            .union(edges(nation.filter("n_regionkey = 1"), node("N", "n_nationkey"), F.lit("R0"), is_a))
             .union(edges(table(spark, folder, "supplier"), node("S", "s_suppkey"), node("N", "s_nationkey"), is_a))
             .union(edges(customer, node("C", "c_custkey"), node("N", "c_nationkey"),
                          F.when(F.col("c_acctbal") < 0, "has_part").otherwise("is_a"))))
@@ -122,7 +122,7 @@ GEO_EDGES_SQL = """
 edges AS (
   SELECT 'R' || r_regionkey AS child_id, 'ROOT' AS parent_id, 'is_a' AS relation FROM region
   UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey, 'is_a' FROM nation
-  UNION ALL SELECT 'N' || n_nationkey, 'R0', 'is_a' FROM nation WHERE n_nationkey < 5
+  UNION ALL SELECT 'N' || n_nationkey, 'R0', 'is_a' FROM nation WHERE n_regionkey = 1
   UNION ALL SELECT 'S' || s_suppkey, 'N' || s_nationkey, 'is_a' FROM supplier
   UNION ALL SELECT 'C' || c_custkey, 'N' || c_nationkey, CASE WHEN c_acctbal < 0 THEN 'has_part' ELSE 'is_a' END FROM customer
 )"""

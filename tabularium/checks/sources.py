@@ -327,9 +327,9 @@ def _(spark, d):
 
 def landed_manifest(spark, d):
     """Listed files of which those up to size 25 are landed; size 20 is landed with other bytes."""
-    listed = listing.parse_listing(shapes.listing_lines(spark, d), "line", keep=["p_partkey"])
+    listed = listing.parse_listing(shapes.listing_lines(spark, d), "line", keep=["p_size"])
     done = listed.filter(F.col("extension") == "(none)").select(
-        "name", F.when(F.col("size_bytes") % 1000 == 20, F.col("size_bytes") - 1).otherwise(F.col("size_bytes")).alias("size_bytes"))
+        "name", F.when(F.col("p_size") == 20, F.col("size_bytes") - 1).otherwise(F.col("size_bytes")).alias("size_bytes"))
     return listed, done
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,28 +24,37 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """
     by, probs = list(by), sorted({float(p) for p in probs})
     keys = [*by, "column"]
-    long = df.select(*by, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in columns
-    ]))).filter(F.col("_v").isNotNull())
-    brackets = _brackets(long, keys, probs)
-
-    # Without groups there is one row of brackets per column of the table; with groups AQE
-    # picks the join from the measured size and splits a hot group.
-    shared = F.broadcast(brackets) if not by else brackets
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(f"l.{k}").eqNullSafe(F.col(f"b.{k}"))
-    joined = long.alias("l").join(shared.alias("b"), cond).select(
-        *[F.col(f"l.{k}").alias(k) for k in keys], "_v", *[c for c in brackets.columns if c not in keys])
-
-    v = F.col("_v")
-    inside, lump = F.lit(False), []
-    for i in range(len(probs)):
-        inside = inside | v.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
-        lump.append(F.when(v < F.col(f"_lo{i}"), F.col(f"_lo{i}")))
-    counts = (joined.select(*keys, "_n", inside.alias("_in"), F.when(inside, v).otherwise(F.coalesce(*lump)).alias("_at"))
-              .filter(F.col("_at").isNotNull())
-              .groupBy(*keys, "_n", "_at", "_in").agg(F.count("*").alias("_c")))
+    data = df.select(*by, *[F.col(c).cast("double").alias(f"_v{j}") for j, c in enumerate(columns)])
+    summary = _summaries(data, by, len(columns), probs)
+    if by:
+        # One row per group; AQE picks the join from the measured size and splits a hot group.
+        cond = F.lit(True)
+        for k in by:
+            cond = cond & F.col(f"l.{k}").eqNullSafe(F.col(f"b.{k}"))
+        joined = data.alias("l").join(summary.alias("b"), cond).select(
+            *[F.col(f"l.{k}").alias(k) for k in by], *[F.col(f"_v{j}") for j in range(len(columns))],
+            *[F.col(f"_s{j}") for j in range(len(columns))])
+        ranges = [_ranges(lambda f, j=j: F.col(f"_s{j}.{f}"), probs) for j in range(len(columns))]
+    else:
+        # One row in all: its numbers become literals.
+        only, joined = summary.first(), data
+        ranges = [_ranges(lambda f, s=only[f"_s{j}"]: F.lit(s[f]) if f != "q" else F.array(
+            *[F.lit(x) for x in s["q"] or [None] * 2 * len(probs)]), probs) for j in range(len(columns))]
+
+    def place_of(j: int) -> Column:
+        """The value itself inside a bracket, else the lower end of the next bracket, else null."""
+        v, n = F.col(f"_v{j}"), ranges[j][0]
+        inside, lump = F.lit(False), []
+        for lo, hi in ranges[j][1]:
+            inside = inside | v.between(lo, hi)
+            lump.append(F.when(v < lo, lo))
+        return F.struct(n.cast("bigint").alias("n"), F.coalesce(inside, F.lit(False)).alias("in"),
+                        F.when(inside, v).otherwise(F.coalesce(*lump)).cast("double").alias("at"))
+
+    wide = joined.select(*by, *[place_of(j).alias(f"_c{j}") for j in range(len(columns))]).toDF(*by, *columns)
+    counts = (wide.unpivot(by, list(columns), "column", "_p")
+              .select(*keys, F.col("_p.n").alias("_n"), F.col("_p.at").alias("_at"), F.col("_p.in").alias("_in"))
+              .filter(F.col("_at").isNotNull()).groupBy(*keys, "_n", "_at", "_in").agg(F.count("*").alias("_c")))
 
     # A lump sorts just before the bracket it lies below (false sorts before true).
     order = Window.partitionBy(*keys).orderBy("_at", "_in").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -62,23 +71,27 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         F.struct(F.lit(p).alias("prob"), _between(F.col(f"_q{i}"), place[i]).alias("value")) for i, p in enumerate(probs)])))
 
 
-def _brackets(long: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Row count and one value range per probability that holds the wanted rank of the group.
+def _summaries(data: DataFrame, by: list[str], n_columns: int, probs: list[float]) -> DataFrame:
+    """Row count, extremes and approximate bracket ends of every column, one row per group."""
+    ends = [max(p - MARGIN, 0.0) for p in probs] + [min(p + MARGIN, 1.0) for p in probs]
+    return data.groupBy(*by).agg(*[F.struct(
+        F.count(f"_v{j}").alias("n"), F.min(f"_v{j}").alias("min"), F.max(f"_v{j}").alias("max"),
+        F.percentile_approx(f"_v{j}", ends, ACCURACY).alias("q")).alias(f"_s{j}") for j in range(n_columns)])
+
+
+def _ranges(field: Callable[[str], Column], probs: list[float]) -> tuple[Column, list[tuple[Column, Column]]]:
+    """Row count of a summary and, per probability, the value range that holds the wanted rank.
 
     A group of at most ACCURACY rows is its own bracket: there the margin is less than one
     rank wide.
     """
-    low = [max(p - MARGIN, 0.0) for p in probs]
-    high = [min(p + MARGIN, 1.0) for p in probs]
-    summary = long.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", low + high, ACCURACY).alias("_q"))
-    whole = F.col("_n") <= ACCURACY
+    whole = field("n") <= ACCURACY
     ranges = []
-    for i in range(len(probs)):
-        ranges.append(F.when(whole | F.lit(low[i] == 0.0), F.col("_min")).otherwise(F.get("_q", F.lit(i))).alias(f"_lo{i}"))
-        ranges.append(F.when(whole | F.lit(high[i] == 1.0), F.col("_max")).otherwise(F.get("_q", F.lit(len(probs) + i))).alias(f"_hi{i}"))
-    return summary.select(*keys, "_n", *ranges)
+    for i, p in enumerate(probs):
+        lo = F.when(whole | F.lit(p - MARGIN <= 0.0), field("min")).otherwise(F.get(field("q"), F.lit(i)))
+        hi = F.when(whole | F.lit(p + MARGIN >= 1.0), field("max")).otherwise(F.get(field("q"), F.lit(len(probs) + i)))
+        ranges.append((lo, hi))
+    return field("n"), ranges
 
 
 def _between(pair: Column, place: Column) -> Column:
