@@ -100,19 +100,20 @@ def listing_lines(spark: SparkSession, folder: str) -> DataFrame:
 def geo_edges(spark: SparkSession, folder: str) -> DataFrame:
     """Hierarchy edges: region to root, nation to region, supplier and customer to nation.
 
-    Customers in debt hang on a nation by ``has_part``; the nations of region 1 also hang on region 0,
+    Customers in debt hang on a nation by ``has_part``; nations also hang on the region before theirs,
     which makes the graph a DAG.
     """
     def edges(df: DataFrame, child: Column, parent: Column, relation: Column) -> DataFrame:
         return df.select(child.alias("child_id"), parent.alias("parent_id"), relation.alias("relation"))
 
     is_a = F.lit("is_a")
+    root = F.when(F.col("r_regionkey").isNotNull(), "ROOT")
     node = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
     nation = table(spark, folder, "nation")
     customer = table(spark, folder, "customer")
-    return (edges(table(spark, folder, "region"), node("R", "r_regionkey"), F.lit("ROOT"), is_a)
+    return (edges(table(spark, folder, "region"), node("R", "r_regionkey"), root, is_a)
             .union(edges(nation, node("N", "n_nationkey"), node("R", "n_regionkey"), is_a))
-            .union(edges(nation.filter("n_regionkey = 1"), node("N", "n_nationkey"), F.lit("R0"), is_a))
+            .union(edges(nation.filter("n_regionkey > 0"), node("N", "n_nationkey"), F.concat(F.lit("R"), F.expr("string(n_regionkey - 1)")), is_a))
             .union(edges(table(spark, folder, "supplier"), node("S", "s_suppkey"), node("N", "s_nationkey"), is_a))
             .union(edges(customer, node("C", "c_custkey"), node("N", "c_nationkey"),
                          F.when(F.col("c_acctbal") < 0, "has_part").otherwise("is_a"))))
@@ -122,7 +123,7 @@ GEO_EDGES_SQL = """
 edges AS (
   SELECT 'R' || r_regionkey AS child_id, 'ROOT' AS parent_id, 'is_a' AS relation FROM region
   UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey, 'is_a' FROM nation
-  UNION ALL SELECT 'N' || n_nationkey, 'R0', 'is_a' FROM nation WHERE n_regionkey = 1
+  UNION ALL SELECT 'N' || n_nationkey, 'R' || (n_regionkey - 1), 'is_a' FROM nation WHERE n_regionkey > 0
   UNION ALL SELECT 'S' || s_suppkey, 'N' || s_nationkey, 'is_a' FROM supplier
   UNION ALL SELECT 'C' || c_custkey, 'N' || c_nationkey, CASE WHEN c_acctbal < 0 THEN 'has_part' ELSE 'is_a' END FROM customer
 )"""

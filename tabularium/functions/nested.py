@@ -132,18 +132,20 @@ def pivot_known(attrs: Column, columns: Mapping[str, str], keep: str = "last", *
 
 
 def pivot_dynamic(df: DataFrame, ids: Sequence[str], attrs: str, prefix: str, name: str = "name",
-                  value: str = "value", max_columns: int = 10_000) -> DataFrame:
+                  value: str = "value", keys: Sequence[str] | None = None, max_columns: int = 10_000) -> DataFrame:
     """One ``prefix + name`` column per attribute name found in the data, the last value winning.
 
-    The distinct names become columns, so they are looked up first; more names than a table
-    can hold as columns is an error, never a silent cut. The lists themselves stay in their
-    row: no shuffle carries them.
+    The distinct names become columns, so they are looked up first unless given as ``keys``;
+    more names than a table can hold as columns is an error, never a silent cut. The lists
+    themselves stay in their row: no shuffle carries them.
     """
-    found = (item_rows(df, [], F.col(attrs), "a").select(F.col(f"a.{name}").alias("k"))
-               .filter(F.col("k").isNotNull()).distinct().limit(max_columns + 1).collect())
-    if len(found) > max_columns:
-        raise ValueError(f"more than {max_columns} attribute names; keep them as rows instead")
-    names = sorted(r["k"] for r in found)
+    if keys is None:
+        found = (item_rows(df, [], F.col(attrs), "a").select(F.col(f"a.{name}").alias("k"))
+                 .filter(F.col("k").isNotNull()).distinct().limit(max_columns + 1).collect())
+        if len(found) > max_columns:
+            raise ValueError(f"more than {max_columns} attribute names; keep them as rows instead")
+        keys = [r["k"] for r in found]
+    names = sorted(keys)
     return df.select(*ids, *[
         kv_get(F.col(attrs), k, keep="last", name=name, value=value).alias(f"{prefix}{k}") for k in names
     ])

@@ -32,6 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(named)
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:

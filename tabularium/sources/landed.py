@@ -44,7 +44,7 @@ def page_audit(df: DataFrame, source: str, page: str, n_records: str, total: str
     """
     per_page = df.groupBy(source, page).agg(
         F.count("*").alias("_copies"), F.max(n_records).alias("_n"), F.max(total).alias("_total"),
-        F.max(F.expr(f"{cursor} <=> {next_cursor}").cast("int")).alias("_stuck"),
+        F.max(F.coalesce(F.col(cursor) == F.col(next_cursor), F.lit(False)).cast("int")).alias("_stuck"),
         F.max(F.col(next_cursor).isNull().cast("int")).alias("_end"))
     audit = per_page.groupBy(source).agg(
         F.count("*").alias("n_pages"), F.min(page).alias("first_page"), F.max(page).alias("last_page"),

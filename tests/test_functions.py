@@ -175,3 +175,4 @@ def test_dynamic_pivot_limit(spark):
     assert [tuple(r) for r in got] == [(1, "z", "y"), (2, None, None)]
     with pytest.raises(ValueError):
         nested.pivot_dynamic(df, ["id"], "m", "k_", max_columns=1)
+    assert nested.pivot_dynamic(df, ["id"], "m", "k_", keys=["b"]).columns == ["id", "k_b"]

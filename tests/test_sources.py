@@ -27,7 +27,7 @@ def test_page_audit_and_gaps(spark):
     got = {r["source"]: r for r in landed.page_audit(df, "source", "page", "n", "total", "cur", "nxt", 10).collect()}
     s = got["s"]
     assert (s["n_pages"], s["n_records"], s["missing_pages"], s["repeated_pages"], s["stuck_cursors"], s["open_ends"], s["complete"]) == (3, 22, 2, 1, 1, 1, False)
-    assert got["t"]["complete"] and got["t"]["empty_pages"] == 1
+    assert got["t"]["complete"] and got["t"]["empty_pages"] == 1 and got["t"]["stuck_cursors"] == 0
     assert [tuple(r) for r in landed.page_gaps(df, "source", "page").collect()] == [("s", 3, 4)]
 
 
