@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -25,26 +26,50 @@ def build_session(app: str = "tabularium", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach.
+    """The folder every executor can reach, as ``spark.checkpoint.dir`` names it.
 
-    Read from ``spark.checkpoint.dir``; only a session that names none (a local test) gets
-    a folder of its own.
+    Only a session whose executors run inside the driver (a local test) may leave it unset; it then gets a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
-        return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
+    if not named and current is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="tabularium-")
     if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabularium-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+        spark.sparkContext.setCheckpointDir(named)
+    return (named or current).rstrip("/")
+
+
+_made: list[tuple[SparkSession, str]] = []
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses; the driver removes it when it exits or on clear_work."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
+def clear_work() -> None:
+    """Remove every folder that fresh_path has named. Frames that still read them must not be used afterwards."""
+    while _made:
+        spark, path = _made.pop()
+        context = spark.sparkContext
+        if context._jsc is None or context._jsc.sc().isStopped():
+            continue
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+atexit.register(clear_work)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame written as Parquet below the shared folder and read again: evaluated once, survives lost executors."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
