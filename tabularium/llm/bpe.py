@@ -4,13 +4,15 @@ In byte-level BPE the encoding of a prefix, cut at its last token, is the encodi
 sequence is an encoding exactly when each neighbouring pair is one. So a transducer can read a piece byte by byte. Its state
 is the last token that is certain and the bytes after it; a byte leads to a new state and emits the tokens on which all
 readings that a longer token could still bring agree. No token is longer than the longest of the vocabulary, so the
-lookahead is bounded. States and transitions are made when first met.
+lookahead is bounded. States and transitions are made when first met; once the table is full, a piece that leaves it is read to its end
+by following all open readings at once, which is what a state stands for.
 """
 
 from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -19,8 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-#: Entries of a worker's memo tables; beyond it the table starts anew, which costs time and changes no result.
-MEMO = 300_000
+#: Entries of a worker's tables of pieces, states and pairs; beyond it a table starts anew, which costs time and changes no result.
+MEMO, STATES, PAIRS = 150_000, 30_000, 400_000
+#: With a full table, pieces up to so many bytes are read without making states from the first unknown move on.
+SHORT = 256
+_NEVER = 1 << 62
 #: Ids decoded at once.
 CHUNK = 1 << 16
 
@@ -30,111 +35,172 @@ def load_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines.splitlines() if line)}
 
 
+@dataclass(slots=True)
+class _State:
+    """What a reader knows after some bytes. Places count the bytes that are not certain yet.
+
+    last: for each place, the last token of the encoding up to it (at 0 the last certain token; -1 if no token ends there);
+    first: where the first token of that encoding ends (-1: none); starts: places where an unfinished token may start, with
+    its node in the trie, the longest token first; end: the ids these bytes come to if the piece ends here.
+    """
+
+    last: list[int]
+    first: list[int]
+    starts: list[tuple[int, int]]
+    end: bytes | None = None
+
+
 class MergeTransducer:
     """Encodes one piece at a time; see the module's text."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
+        self.tokens = dict(enumerate(ranks))
+        self.sizes = [len(t) for t in ranks]
         self.packed = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
-        self.longest = max(map(len, ranks))
-        self.open_prefixes = {token[:i] for token in ranks for i in range(1, len(token))}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.ids = list(self.packed.values())
+        self.nothing = len(self.sizes)
+        self.children: dict[int, int] = {}
+        self.token_at, self.open = [-1], [True]
+        for number, token in enumerate(ranks):
+            node = 0
+            for byte in token:
+                self.open[node] = True
+                node = self.children.setdefault(node << 8 | byte, len(self.open))
+                if node == len(self.open):
+                    self.open.append(False)
+                    self.token_at.append(-1)
+            self.token_at[node] = number
+        self.pairs: dict[int, bool] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.numbers = {(b"", b""): 0}
-        self.states = [(b"", b"")]
-        self.moves: list[dict[int, tuple[int, bytes]]] = [{}]
-        self.ends: list[bytes | None] = [b""]
+        self.numbers: dict[tuple[int, bytes], int] = {}
+        self.states: list[_State] = []
+        self.pending: list[bytes] = []
+        self.moves: dict[int, tuple[int, bytes]] = {}
+        self._number(b"", _State([self.nothing], [0], [(0, 0)], b""))
+
+    def _number(self, pending: bytes, state: _State) -> int:
+        number = self.numbers.setdefault((state.last[0], pending), len(self.states))
+        if number == len(self.states):
+            self.states.append(state)
+            self.pending.append(pending)
+        return number
 
     def merged(self, data: bytes) -> list[bytes]:
         """The encoding by its definition: join the neighbours whose join has the lowest rank, leftmost first."""
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, 1 << 62), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
-            if rank == 1 << 62:
+        rank = self.ranks.get
+        joins = [rank(data[i:i + 2], _NEVER) for i in range(len(data) - 1)]
+        while joins:
+            best = min(joins)
+            if best == _NEVER:
                 break
+            at = joins.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del joins[at]
+            if at:
+                joins[at - 1] = rank(parts[at - 1] + parts[at], _NEVER)
+            if at < len(joins):
+                joins[at] = rank(parts[at] + parts[at + 1], _NEVER)
         return parts
 
-    def _fits(self, left: bytes, right: bytes) -> bool:
-        """Whether right can follow left; with nothing on the left, whether right is its own encoding."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) > 4 * MEMO:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+    def _fits(self, left: int, right: int) -> bool:
+        """Whether token right can follow token left; after nothing, whether right is its own encoding."""
+        if len(self.pairs) > PAIRS:
+            self.pairs.clear()
+        token = self.tokens[right]
+        own = [token] if left == self.nothing else [self.tokens[left], token]
+        known = self.pairs[left << 20 | right] = self.merged(b"".join(own)) == own
         return known
 
-    def _last(self, before: bytes, pending: bytes) -> list[bytes | None]:
-        """The last token of each prefix of pending; None where its encoding does not end a token at the certain boundary."""
-        last: list[bytes | None] = [before]
-        for end in range(1, len(pending) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = pending[start:end]
-                if last[start] is not None and token in self.ranks and self._fits(last[start], token):
-                    last.append(token)
-                    break
-            else:
-                last.append(None)
-        return last
-
-    @staticmethod
-    def _chain(last: list[bytes], end: int) -> list[bytes]:
-        out = []
-        while end:
-            out.append(last[end])
-            end -= len(last[end])
-        return out[::-1]
-
-    def _move(self, state: int, byte: int) -> tuple[int, bytes]:
-        before, pending = self.states[state]
-        pending += bytes((byte,))
-        last = self._last(before, pending)
-        starts = [i for i in range(max(0, len(pending) - self.longest), len(pending)) if last[i] is not None and pending[i:] in self.open_prefixes]
-        if last[-1] is not None:
-            starts.append(len(pending))
+    def _move(self, number: int, byte: int) -> tuple[int, bytes]:
+        """The move of a state by a byte, worked out once."""
+        state = self.states[number]
+        here, token, starts = len(state.last), -1, []
+        for place, node in state.starts:
+            child = self.children.get(node << 8 | byte)
+            if child is None:
+                continue
+            found = self.token_at[child]
+            if token < 0 <= found:
+                fits = self.pairs.get(state.last[place] << 20 | found)
+                if fits is None:
+                    fits = self._fits(state.last[place], found)
+                if fits:
+                    token = found
+            if self.open[child]:
+                starts.append((place, child))
+        last, first = [*state.last, token], [*state.first, -1]
+        if token >= 0:
+            begin = here - self.sizes[token]
+            first[here] = first[begin] if begin else here
+            starts.append((here, 0))
         if not starts:
             raise ValueError("the vocabulary lacks a byte")
-        chains = [self._chain(last, i) for i in starts]
-        agreed = 0
-        while all(len(c) > agreed for c in chains) and len({c[agreed] for c in chains}) == 1:
-            agreed += 1
-        if agreed:
-            sure = chains[-1][:agreed]
-            before, pending = sure[-1], pending[sum(map(len, sure)):]
-            emitted = b"".join(self.packed[t] for t in sure)
-        else:
-            emitted = b""
-        key = (before, pending)
-        target = self.numbers.get(key)
-        if target is None:
-            target = self.numbers[key] = len(self.states)
-            self.states.append(key)
-            self.moves.append({})
-            self.ends.append(None)
-        self.moves[state][byte] = target, emitted
+        pending, emitted = self.pending[number] + bytes((byte,)), b""
+        # What all readings that are still open agree on is certain.
+        while (cut := first[starts[0][0]]) > 0 and all(first[place] == cut for place, _ in starts):
+            emitted += self.ids[last[cut]]
+            last, pending = last[cut:], pending[cut:]
+            starts = [(place - cut, node) for place, node in starts]
+            first = [0] + [-1] * (len(last) - 1)
+            for place in range(1, len(last)):
+                if last[place] >= 0 and (begin := place - self.sizes[last[place]]) >= 0:
+                    first[place] = first[begin] if begin else place
+        target = self._number(pending, _State(last, first, starts))
+        self.moves[number << 8 | byte] = target, emitted
         return target, emitted
 
+    def _read_on(self, number: int, rest: bytes) -> bytes:
+        """The ids of what a state holds and of the bytes after it, without making states."""
+        last, starts = list(self.states[number].last), self.states[number].starts
+        children, token_at, open_, pairs, sizes = self.children.get, self.token_at, self.open, self.pairs.get, self.sizes
+        for byte in rest:
+            token, going = -1, []
+            for start in starts:
+                child = children(start[1] << 8 | byte)
+                if child is not None:
+                    found = token_at[child]
+                    if token < 0 <= found:
+                        fits = pairs(last[start[0]] << 20 | found)
+                        if fits or fits is None and self._fits(last[start[0]], found):
+                            token = found
+                    if open_[child]:
+                        going.append((start[0], child))
+            if token >= 0:
+                going.append((len(last), 0))
+            last.append(token)
+            starts = going
+        place, out = len(last) - 1, []
+        while place:
+            out.append(self.ids[last[place]])
+            place -= sizes[last[place]]
+        return b"".join(out[::-1])
+
     def encode(self, piece: bytes) -> bytes:
         """The ids of a piece, each as four bytes, lowest first."""
         if piece in self.packed:
             return self.packed[piece]
-        if len(self.states) > MEMO:
-            self._clear()
-        state, out, moves = 0, [], self.moves
-        for byte in piece:
-            move = moves[state].get(byte)
+        number, out, moves = 0, [], self.moves.get
+        full = len(self.states) >= STATES and len(piece) <= SHORT
+        for at, byte in enumerate(piece):
+            move = moves(number << 8 | byte)
             if move is None:
-                move = self._move(state, byte)
-            state = move[0]
+                if full:
+                    out.append(self._read_on(number, piece[at:]))
+                    return b"".join(out)
+                move = self._move(number, byte)
+            number = move[0]
             if move[1]:
                 out.append(move[1])
-        end = self.ends[state]
-        if end is None:
-            before, pending = self.states[state]
-            end = self.ends[state] = b"".join(self.packed[t] for t in self._chain(self._last(before, pending), len(pending)))
-        out.append(end)
+        state = self.states[number]
+        if state.end is None:
+            state.end = self._read_on(number, b"")
+        out.append(state.end)
+        if len(self.states) > 2 * STATES:
+            self._clear()
         return b"".join(out)
 
 
@@ -143,13 +209,17 @@ class Encoder(dict):
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
+        self.before: dict[str, bytes] = {}
         self.find = regex.compile(pattern).findall
         self.transducer = MergeTransducer(ranks)
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) > MEMO:
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self.transducer.encode(piece.encode("utf-8", "replace"))
+        if len(self) > MEMO // 2:
+            self.before = dict(self)
             self.clear()
-        ids = self.transducer.encode(piece.encode("utf-8", "replace"))
         if len(piece) <= 64:
             self[piece] = ids
         return ids

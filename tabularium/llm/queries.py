@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import attribution, bpe, langid, sharding
+from tabularium.llm import attribution, bpe, langid, near_vectors, ngram_join, sharding, suffix_repeats
 
 SHARD_BYTES = 1 << 20
 
@@ -46,6 +46,19 @@ def extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.extendible_shards(_table(spark, folder, "documents"), "doc_id", F.octet_length("text"), SHARD_BYTES)
 
 
+def near_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(_table(spark, folder, "embeddings"), "vec_id", "embedding", 0.95)
+
+
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_repeats.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text", 400)
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_components(_table(spark, folder, "documents"), "doc_id", "text", words=5, percent=80)
+
+
 SHARDING_SQL = f"""
 WITH r AS (
   SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes,
@@ -67,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id,
     "op4_byte_bpe": byte_bpe,
     "op5_token_attribution": token_attribution,
+    "op6_near_embeddings": near_embeddings,
+    "op7_suffix_dedup": suffix_dedup,
     "op8_extendible_sharding": extendible_sharding,
+    "op9_ngram_jaccard": ngram_jaccard,
 }
 ORACLES: dict[str, str] = {"op8_extendible_sharding": SHARDING_SQL}
