@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import attribution, bpe, langid, near_vectors, ngram_join, sharding, suffix_repeats
+from tabularium.llm import attribution, bpe, langid, licenses, near_vectors, ngram_join, sharding, suffix_repeats, templates, warc
+from tabularium.llm.license_texts import TEMPLATES
 
 SHARD_BYTES = 1 << 20
 
@@ -29,6 +30,23 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return said.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def warc_packages(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
+    packages = warc.write_packages(warc.with_revisits(pages, "page_id", "payload", least=0), "page_id", "url", "payload")
+    return warc.read_packages(packages).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = templates.find_leaks(_table(spark, folder, "documents").select("doc_id", "text"), "text", _table(spark, folder, "benchmark"), "item_id", "text")
+    return (found.select("doc_id", F.explode("leaks").alias("leak"))
+            .select("doc_id", F.col("leak.item").alias("item_id"), "leak.covered", "leak.tokens", "leak.changed_slots", "leak.first_word", "leak.last_word"))
+
+
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, folder, "documents").select("doc_id", "text"), "text", TEMPLATES)
+    return found.select("doc_id", F.explode("licenses").alias("found")).select("doc_id", "found.*")
+
+
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = tokenizer("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), "text", ranks, public_tokenizers.PATTERN)
@@ -78,11 +96,14 @@ FROM f JOIN s ON s.d = f.d AND s.p = f.c >> (16 - f.d)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id,
+    "op2_warc_packages": warc_packages,
+    "op3_template_decontamination": template_decontamination,
     "op4_byte_bpe": byte_bpe,
     "op5_token_attribution": token_attribution,
     "op6_near_embeddings": near_embeddings,
     "op7_suffix_dedup": suffix_dedup,
     "op8_extendible_sharding": extendible_sharding,
     "op9_ngram_jaccard": ngram_jaccard,
+    "op10_license_scan": license_scan,
 }
 ORACLES: dict[str, str] = {"op8_extendible_sharding": SHARDING_SQL}

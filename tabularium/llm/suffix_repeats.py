@@ -330,12 +330,26 @@ def merge_spans(spans: list[dict] | None, size: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(df: DataFrame, key: str, text: str, length: int = 400) -> DataFrame:
+def _whole(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs drawn in to the borders of characters."""
+    out = []
+    for a, b in runs:
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while a < b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            out.append((a, b))
+    return out
+
+
+def remove_repeats(df: DataFrame, key: str, text: str, length: int = 400, whole_characters: bool = False) -> DataFrame:
     """df with kept (the bytes that stay), n_bytes, n_removed and removed (the byte spans cut out).
 
     A byte goes if a string of length bytes that covers it starts anywhere else as well, in the same text or another; all
     strings are judged on the input. Text counts as UTF-8; null counts as empty and stays so. A text shorter than length has
     no repeat. Repeated rows repeat each other. Keys may be null or shared. Columns of these names are replaced.
+    With whole_characters, a character that a cut would split stays whole, so kept is text again.
     """
     names = ("kept", "n_bytes", "n_removed", "removed")
     spans = repeated_spans(df, key, text, length).select(F.col("key").alias("__key"), F.col("version").alias("__version"), F.col("spans").alias("__spans"))
@@ -349,6 +363,7 @@ def remove_repeats(df: DataFrame, key: str, text: str, length: int = 400) -> Dat
             for t, s in zip(texts, lists, strict=True):
                 data = (t or "").encode("utf-8", "replace")
                 runs = merge_spans(s, len(data))
+                runs = _whole(data, runs) if whole_characters else runs
                 keep, at = [], 0
                 for a, b in runs:
                     keep.append(data[at:a])
