@@ -19,7 +19,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +35,8 @@ SALTS = 64
 HOT, PARTS = 64, 32
 #: Nodes in a block of a group of which pairs are made.
 GROUP = 2000
+#: Pairs looked at at once.
+PAIRS = 1 << 20
 
 
 def digest(shingles: np.ndarray) -> int:
@@ -170,22 +171,54 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
     dealt = homes.select("shingle", "component", "node", "n", "place", "home", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("shingle", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "home", "component", "node", "n", "place")
 
-    def pairs(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("component", kind="stable")
-        home, component, node, n, place = (frame[k].to_numpy() for k in ("home", "component", "node", "n", "place"))
-        n, single = n.astype(np.int64), frame["i"].iloc[0] == frame["j"].iloc[0]
-        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for at in range(len(node)):
-            later = slice(np.searchsorted(component, component[at], "right"), None)
-            go = _allowed(n[at], place[at], n[later], place[later], percent)
-            if not single:
-                go &= home[later] != home[at]
-            partner = node[later][go]
-            left.append(np.maximum(partner, node[at]))
-            right.append(np.minimum(partner, node[at]))
-        return pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)}).drop_duplicates()
-
-    return dealt.groupBy("shingle", "i", "j").applyInPandas(pairs, "a long, b long").distinct()
+    names = ("shingle", "i", "j", "home", "component", "node", "n", "place")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, stops in _whole_groups(batches, names, 3):
+            component, node, home, place = rows["component"], rows["node"], rows["home"], rows["place"]
+            n, crossing = rows["n"].astype(np.int64), rows["i"] != rows["j"]
+            partners = stops - np.arange(len(stops)) - 1
+            done = np.concatenate([[0], np.cumsum(partners)])
+            begin = 0
+            while begin < len(node):
+                end = max(begin + 1, int(np.searchsorted(done, done[begin] + PAIRS, "right")) - 1)
+                a = np.repeat(np.arange(begin, end), partners[begin:end])
+                b = a + 1 + np.arange(len(a)) - (done[a] - done[begin])
+                go = (component[a] != component[b]) & ~(crossing[a] & (home[a] == home[b]))
+                a, b = a[go], b[go]
+                go = _allowed(n[a], place[a], n[b], place[b], percent)
+                a, b = node[a[go]], node[b[go]]
+                if len(a):
+                    pair = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+                    yield pa.RecordBatch.from_pydict({"a": pair[0], "b": pair[1]})
+                begin = end
+
+    return dealt.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j").mapInArrow(scan, "a long, b long").distinct()
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], key: int) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
+    """Sorted rows in runs of whole groups, with the end of each row's group; the first key columns make a group.
+
+    A group that goes over batches is held until it ends; here its size has a bound.
+    """
+    held: list[dict[str, np.ndarray]] = []
+
+    def ready() -> tuple[dict[str, np.ndarray], np.ndarray]:
+        rows = {k: np.concatenate([h[k] for h in held]) for k in names}
+        new = np.logical_or.reduce([rows[k][1:] != rows[k][:-1] for k in names[:key]])
+        stops = np.append(np.flatnonzero(new) + 1, len(new) + 1)
+        return rows, np.repeat(stops, np.diff(np.concatenate([[0], stops])))
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append({k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)})
+            rows, stops = ready()
+            last = int(np.searchsorted(stops, stops[-1], "left"))
+            if last:
+                yield {k: v[:last] for k, v in rows.items()}, stops[:last]
+            held = [{k: v[last:] for k, v in rows.items()}]
+    if held:
+        yield ready()
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
