@@ -34,7 +34,7 @@ from tabularium.session import cut_lineage, stored
 #: Bytes hashed at once; longer texts go in overlapping pieces, so memory does not grow with the text.
 PIECE = 1 << 20
 #: Leaves in a partition of a sorted array.
-LEAVES = 20_000
+LEAVES = 10_000
 
 
 def _seed_bits(length: int) -> int:
@@ -261,13 +261,13 @@ def _windows(leaves: DataFrame, forward: bool, length: int) -> DataFrame:
                         row.append(i)
                         shift.append(s)
                         repeat.append(hashlib.blake2b(before[:s][::-1] + after[:length - s], digest_size=16).digest())
-            taken = batch.take(pa.array(row, pa.int64()))
+            taken = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_pydict({
-                "seed": taken.column(0), "shift": pa.array(shift, pa.int32()), "repeat": pa.array(repeat, pa.binary()),
-                **{c: taken.column(taken.schema.get_field_index(c)) for c in ("key", "version", "place", "copies")}})
+                "shift": pa.array(shift, pa.int32()), "repeat": pa.array(repeat, pa.binary()),
+                **{c: batch.column(batch.schema.get_field_index(c)).take(taken) for c in ("seed", "key", "version", "place", "copies")}})
 
     kind = dict(leaves.dtypes)["key"]
-    return leaves.mapInArrow(scan, f"seed long, shift int, repeat binary, key {kind}, version long, place int, copies long")
+    return leaves.mapInArrow(scan, f"shift int, repeat binary, seed long, key {kind}, version long, place int, copies long")
 
 
 def repeated_spans(df: DataFrame, key: str, text: str, length: int = 400) -> DataFrame:
@@ -305,9 +305,9 @@ def repeated_spans(df: DataFrame, key: str, text: str, length: int = 400) -> Dat
                     copies.append(x["copies"])
                     before.append(data[max(0, p - reach):p][::-1])
                     after.append(data[p:p + length])
-            taken = batch.take(pa.array(row, pa.int64()))
+            taken = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_pydict({
-                "seed": pa.array(seed, pa.int64()), "key": taken.column(0), "version": taken.column(1), "place": pa.array(at, pa.int32()),
+                "seed": pa.array(seed, pa.int64()), "key": batch.column(0).take(taken), "version": batch.column(1).take(taken), "place": pa.array(at, pa.int32()),
                 "copies": pa.array(copies, pa.int64()), "before": pa.array(before, pa.binary()), "after": pa.array(after, pa.binary())})
 
     kind = dict(rows.dtypes)["key"]
