@@ -10,6 +10,7 @@ from tabularium.checks.sources import landed_manifest, some_orders
 from tabularium.functions import casts, nested, text
 from tabularium.operators import (aggregate, catalogue, correlate, hierarchy, histogram, lookup, profile, quantiles, sinks,
                                   topk, validate)
+from tabularium.plans.base import JsonTable
 from tabularium.session import fresh_path
 from tabularium.sources import landed
 
@@ -137,9 +138,9 @@ def _(spark, d):
 
 
 @check("a13_lower_triangle", " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem WHERE l_quantity >= 25" for i, a in enumerate(MEASURES) for b in MEASURES[:i + 1]))
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem" for i, a in enumerate(MEASURES) for b in MEASURES[:i + 1]))
 def _(spark, d):
-    return correlate.corr_matrix(table(spark, d, "lineitem").filter("l_quantity >= 25"), MEASURES, lower_only=True)
+    return correlate.corr_matrix(table(spark, d, "lineitem"), MEASURES, lower_only=True)
 
 
 @check("a14_percentiles", """
@@ -175,8 +176,8 @@ SELECT l_partkey, (SELECT count(DISTINCT l_suppkey) FROM lineitem x WHERE x.l_pa
 def _(spark, d):
     lines = table(spark, d, "lineitem")
     return aggregate.entity_rollup(lines, "l_partkey", {
-        "n_suppliers": (lines, "l_suppkey"), "n_return_days": (lines.filter("l_returnflag = 'R'"), "l_shipdate"),
-        "n_final_orders": (lines.filter("l_linestatus = 'F'"), "l_orderkey")})
+        "n_suppliers": F.col("l_suppkey"), "n_return_days": F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")),
+        "n_final_orders": F.when(F.col("l_linestatus") == "F", F.array("l_orderkey", "l_orderkey"))})
 
 
 @check("a18_source_counts", "SELECT CASE WHEN grouping(source) = 1 THEN 'total' ELSE source END AS source, count(*) AS n_rows FROM documents GROUP BY ROLLUP (source)")
@@ -200,9 +201,9 @@ def _(spark, d):
 # ---- ordering --------------------------------------------------------------
 
 
-@check("o1_sorted", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey LIMIT 20")
+@check("o1_sorted", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey")
 def _(spark, d):
-    return topk.ordered(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", descending=True, ties=["o_orderkey"]).limit(20)
+    return topk.ordered(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", descending=True, ties=["o_orderkey"])
 
 
 @check("o2_head", "SELECT event_id, user_id, value FROM events ORDER BY event_id LIMIT 10")
@@ -365,11 +366,22 @@ def _(spark, d):
     return landed.unwrap_pages(pages, "page", ["$.data"], keep=["p_partkey"]).select("p_partkey", F.variant_get("item", "$.id", "string").alias("go_id"))
 
 
-@check("q7_stored_size")
+@check("q2_rejected_records", """
+SELECT p_partkey, CASE WHEN p_size = 13 THEN 'unreadable' WHEN p_size IN (14, 15) THEN 'wrong shape' WHEN p_size = 16 THEN 'unreadable' ELSE 'E-' || p_partkey END AS outcome FROM part""")
+def _(spark, d):
+    plan = JsonTable("record", "accession: string", lambda r, _: {"accession": r["accession"]})
+    record = F.to_json(F.struct(F.concat(F.lit("E-"), F.col("p_partkey").cast("string")).alias("accession")))
+    for size, text in {13: '{"accession":', 14: "[1]", 15: '"text"', 16: None}.items():
+        record = F.when(F.col("p_size") == size, F.lit(text)).otherwise(record)
+    records = table(spark, d, "part").select("p_partkey", record.alias("record"))
+    return plan.from_records(records, keep=["p_partkey"]).union(plan.rejected_records(records, keep=["p_partkey"])).select("p_partkey", F.col("accession").alias("outcome"))
+
+
+@check("q7_stored_size", "SELECT true AS has_files, count(*) AS n_rows, true AS has_bytes FROM orders")
 def _(spark, d):
     path = fresh_path(spark, "size")
     sinks.write_parquet(some_orders(spark, d), path)
-    return catalogue.stored_size(spark, path)
+    return catalogue.stored_size(spark, path).select((F.col("n_files") > 0).alias("has_files"), "n_rows", (F.col("n_bytes") > 0).alias("has_bytes"))
 
 
 # ---- flagship --------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabularium.checks import shapes
-from tabularium.checks.registry import check, spread_table, table
+from tabularium.checks.registry import check, table
 from tabularium.functions import nested, text
 
 LINES = "list_filter(string_split(text, chr(10)), lambda s: trim(s, ' ') <> '')"
@@ -38,7 +38,7 @@ def _(spark, d):
     count = F.when(F.col("lang") == "en", F.to_json(lines)).otherwise(F.col("n_chars").cast("string"))
     doc = F.concat(F.lit('{"lines":'), body, F.lit(',"size":'), count, F.lit("}"))
     v = F.col("v")
-    return spread_table(spark, d, "documents").select("doc_id", F.parse_json(doc).alias("v")).select(
+    return table(spark, d, "documents").select("doc_id", F.parse_json(doc).alias("v")).select(
         "doc_id", nested.item_or_first(v, "$.lines", ".t").alias("first_line"), nested.list_or_count(v, "$.size").alias("n"),
         nested.kind_of(F.try_variant_get(v, "$.lines", "variant")).alias("kind"))
 
@@ -70,7 +70,7 @@ def _(spark, d):
     section_attr = F.when(F.col("lang").isin("en", "fr"), none).otherwise(organism(F.col("lang")))
     tree = F.struct(F.array(none, root_attr).alias("attributes"),
                     node([section_attr], subsections=subs).alias("section"))
-    docs = spread_table(spark, d, "documents").select("doc_id", F.parse_json(F.to_json(tree)).alias("tree"))
+    docs = table(spark, d, "documents").select("doc_id", F.parse_json(F.to_json(tree)).alias("tree"))
     return nested.find_attribute(docs, "tree", "Organism", "organism").select("doc_id", "organism")
 
 
@@ -80,7 +80,7 @@ SELECT doc_id, nullif(array_to_string({LINES}, ' | '), '') AS lines, array_to_st
 def _(spark, d):
     t = F.col("text")
     words = F.regexp_extract_all(t, F.lit("[A-Z][a-z]+"), F.lit(0))
-    return spread_table(spark, d, "documents").select(
+    return table(spark, d, "documents").select(
         "doc_id", nested.join_list(F.filter(F.split(t, "\n"), lambda s: F.trim(s) != "")).alias("lines"),
         nested.join_list(F.split(t, "\n"), keep_blank=True).alias("with_blanks"),
         nested.join_list(words, ", ", distinct=True, order=True).alias("words"))
@@ -140,7 +140,14 @@ SELECT event_id, CASE event_type WHEN 'click' THEN value END AS str_click, CASE
 def _(spark, d):
     attrs = F.array(F.struct(F.col("event_type").alias("id"), F.col("value").alias("alleles")))
     df = table(spark, d, "events").select("event_id", attrs.alias("marker"))
-    return nested.pivot_dynamic(df, ["event_id"], "marker", "str_", name="id", value="alleles")
+    names = [r["key"] for r in nested.attribute_names(df, "marker", name="id").collect()]
+    return nested.pivot_keys(df, ["event_id"], "marker", "str_", names, name="id", value="alleles")
+
+
+@check("n13_attribute_rows", "SELECT event_id, event_type AS key, value FROM events")
+def _(spark, d):
+    attrs = F.array(F.struct(F.col("event_type").alias("id"), F.lit(-1.0).alias("alleles")), F.struct(F.col("event_type").alias("id"), F.col("value").alias("alleles")))
+    return nested.attribute_rows(table(spark, d, "events").select("event_id", attrs.alias("marker")), ["event_id"], "marker", name="id", value="alleles")
 
 
 @check("n14_stringified_pairs", """
@@ -180,7 +187,7 @@ def _(spark, d):
     body = F.struct(F.col("lang").alias("type"), files.alias("files"), lines.alias("subsections"))
     root = F.struct(F.lit("Study").alias("type"), F.col("source").alias("accno"), F.array(pair, pair).alias("attributes"),
                     F.array(body).alias("subsections"))
-    docs = spread_table(spark, d, "documents").select("doc_id", F.parse_json(F.to_json(root)).alias("tree"))
+    docs = table(spark, d, "documents").select("doc_id", F.parse_json(F.to_json(root)).alias("tree"))
     return nested.section_outline(docs, ["doc_id"], "tree").select("doc_id", "depth", "type", "accno", "n_attributes", "n_files")
 
 
@@ -247,7 +254,7 @@ SELECT p_partkey, p_type AS superkingdom, NULL::VARCHAR AS kingdom, NULL::VARCHA
 def _(spark, d):
     doc = F.to_json(F.struct(F.col("p_type").alias("super kingdom"), F.col("p_brand").alias("class"),
                              F.when(F.col("p_size") > 25, F.col("p_name")).alias("genus")))
-    return spread_table(spark, d, "part").select("p_partkey", F.parse_json(doc).alias("h")).select(
+    return table(spark, d, "part").select("p_partkey", F.parse_json(doc).alias("h")).select(
         "p_partkey", *nested.rank_columns(F.col("h"), nested.TAXON_LEVELS))
 
 
@@ -263,7 +270,7 @@ def _(spark, d):
     doc = F.when(F.col("p_size") > 25, new).otherwise(old)
     from tabularium.functions.fallback import first_truthy
     r = F.col("r")
-    return spread_table(spark, d, "part").select("p_partkey", F.parse_json(doc).alias("r")).select(
+    return table(spark, d, "part").select("p_partkey", F.parse_json(doc).alias("r")).select(
         "p_partkey", nested.pick(r, "$.gene.geneId").alias("gene_id"),
         first_truthy(nested.pick(r, "$.gene.geneName"), nested.pick(r, "$.gene.name")).alias("gene_name"),
         F.coalesce(nested.pick(r, "$.condition.anatomicalEntity.name"), nested.pick(r, "$.condition.anatEntityName"), F.lit("")).alias("anatomical_entity_name"),
@@ -284,7 +291,7 @@ UNION ALL SELECT p_partkey, 'meta', 'brand', p_brand FROM part""")
 def _(spark, d):
     doc = F.to_json(F.struct(F.col("p_name").alias("title"),
                              F.struct(F.col("p_size").alias("size"), F.col("p_brand").alias("brand")).alias("meta")))
-    return nested.section_rows(spread_table(spark, d, "part").select("p_partkey", F.parse_json(doc).alias("r")), ["p_partkey"], "r")
+    return nested.section_rows(table(spark, d, "part").select("p_partkey", F.parse_json(doc).alias("r")), ["p_partkey"], "r")
 
 
 @check("n28_relationship_id", "SELECT p_partkey, CASE WHEN p_size > 25 THEN p_brand END AS sample_id FROM part")

@@ -7,8 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabularium.session import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -34,8 +32,3 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same for queries that build and parse raw records: a small file is spread over the cores."""
-    return spread(table(spark, folder, name))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.checks.registry import spread_table, table
+from tabularium.checks.registry import table
 
 
 def attr(name: str, value: Column) -> Column:
@@ -42,7 +42,7 @@ def part_records(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("p_size") == 20, "2020-1-2").when(F.col("p_size") != 21, day).alias("releaseDate"),
         F.when(F.col("p_size") > 45, F.col("p_size")).alias("numberOfComponents"),
         part_attributes().alias("attributes"))
-    return spread_table(spark, folder, "part").select("p_partkey", F.to_json(record).alias("record"))
+    return table(spark, folder, "part").select("p_partkey", F.to_json(record).alias("record"))
 
 
 ORDER_PAGE = 10
@@ -83,7 +83,7 @@ def file_tree_docs(spark: SparkSession, folder: str) -> DataFrame:
     summary = F.struct(F.lit("README").alias("name"), F.col("n_chars").alias("size"))
     tree = F.concat(F.lit('{"name":"'), F.col("source"), F.lit('","files":['), F.to_json(inner), F.lit(","),
                     F.to_json(summary), F.lit("]}"))
-    return spread_table(spark, folder, "documents").select("doc_id", F.parse_json(tree).alias("tree"))
+    return table(spark, folder, "documents").select("doc_id", F.parse_json(tree).alias("tree"))
 
 
 def listing_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,7 +94,7 @@ def listing_lines(spark: SparkSession, folder: str) -> DataFrame:
     bytes_ = (F.col("p_partkey") * 1000 + F.col("p_size")).cast("string")
     line = F.when(F.col("p_size") == 13, F.concat_ws(" ", perms, F.lit("2 ftp ftp"))).otherwise(
         F.concat_ws("  ", perms, F.lit("2 ftp ftp"), bytes_, F.lit("Mar 22 2023"), name))
-    return spread_table(spark, folder, "part").select("p_partkey", "p_size", line.alias("line"))
+    return table(spark, folder, "part").select("p_partkey", "p_size", line.alias("line"))
 
 
 def geo_edges(spark: SparkSession, folder: str) -> DataFrame:

@@ -131,24 +131,26 @@ def pivot_known(attrs: Column, columns: Mapping[str, str], keep: str = "last", *
     return [kv_get(attrs, key, keep=keep, **names).alias(column) for key, column in columns.items()]
 
 
-def pivot_dynamic(df: DataFrame, ids: Sequence[str], attrs: str, prefix: str, name: str = "name",
-                  value: str = "value", keys: Sequence[str] | None = None, max_columns: int = 10_000) -> DataFrame:
-    """One ``prefix + name`` column per attribute name found in the data, the last value winning.
+def attribute_rows(df: DataFrame, ids: Sequence[str], attrs: str, name: str = "name", value: str = "value") -> DataFrame:
+    """The long form of attribute lists: (ids..., key, value), the last value of a name winning."""
+    last = F.transform(F.array_distinct(F.transform(F.filter(attrs, lambda a: a[name].isNotNull()), lambda a: a[name])),
+                       lambda k: F.struct(k.alias("key"), F.element_at(F.filter(attrs, lambda a: a[name] == k), -1)[value].alias("value")))
+    return struct_rows(df, ids, last, ["key", "value"])
 
-    The distinct names become columns, so they are looked up first unless given as ``keys``;
-    more names than a table can hold as columns is an error, never a silent cut. The lists
-    themselves stay in their row: no shuffle carries them.
+
+def attribute_names(df: DataFrame, attrs: str, name: str = "name") -> DataFrame:
+    """The distinct attribute names (key): the step that finds the columns of a pivot, when the format does not fix them."""
+    return item_rows(df, [], F.col(attrs), "a").select(F.col(f"a.{name}").alias("key")).filter(F.col("key").isNotNull()).distinct()
+
+
+def pivot_keys(df: DataFrame, ids: Sequence[str], attrs: str, prefix: str, keys: Sequence[str], name: str = "name",
+               value: str = "value") -> DataFrame:
+    """One ``prefix + name`` column per given attribute name, the last value winning.
+
+    The lists stay in their row: no shuffle carries them. Names that are not given are ignored;
+    ``attribute_rows`` keeps them all.
     """
-    if keys is None:
-        found = (item_rows(df, [], F.col(attrs), "a").select(F.col(f"a.{name}").alias("k"))
-                 .filter(F.col("k").isNotNull()).distinct().limit(max_columns + 1).collect())
-        if len(found) > max_columns:
-            raise ValueError(f"more than {max_columns} attribute names; keep them as rows instead")
-        keys = [r["k"] for r in found]
-    names = sorted(keys)
-    return df.select(*ids, *[
-        kv_get(F.col(attrs), k, keep="last", name=name, value=value).alias(f"{prefix}{k}") for k in names
-    ])
+    return df.select(*ids, *[kv_get(F.col(attrs), k, keep="last", name=name, value=value).alias(f"{prefix}{k}") for k in sorted(set(keys))])
 
 
 # ---- maps -----------------------------------------------------------------

@@ -33,9 +33,9 @@ def distinct_count(c: str, count_null: bool = False) -> Column:
 
 
 def true_share(flag: str, out_count: str, out_pct: str, digits: int = 1) -> list[Column]:
-    """Number of rows where a flag holds, and that as a percentage of all rows."""
+    """Number of rows where a flag holds, and that as a percentage of all rows (null of no rows)."""
     n = F.count_if(F.col(flag))
-    return [n.alias(out_count), F.round(n * F.lit(100.0) / F.count("*"), digits).alias(out_pct)]
+    return [n.alias(out_count), F.round(F.try_divide(n * F.lit(100.0), F.count("*")), digits).alias(out_pct)]
 
 
 def threshold_report(df: DataFrame, measure: str, threshold: float) -> DataFrame:
@@ -45,7 +45,7 @@ def threshold_report(df: DataFrame, measure: str, threshold: float) -> DataFrame
     return df.agg(
         F.count("*").alias("n_total"), F.count_if(kept).alias("n_kept"),
         (F.count("*") - F.count_if(kept)).alias("n_removed"),
-        F.round(F.count_if(kept) / F.count("*"), 6).alias("fraction"),
+        F.round(F.try_divide(F.count_if(kept).cast("double"), F.count("*")), 6).alias("fraction"),
         F.min(inside).alias("min_kept"), F.max(inside).alias("max_kept"))
 
 
@@ -75,16 +75,20 @@ def source_counts(df: DataFrame, source: str, total_label: str = "total") -> Dat
               .select(F.when(F.col("_all") == 1, F.lit(total_label)).otherwise(F.col(source)).alias(source), "n_rows"))
 
 
-def entity_rollup(df: DataFrame, key: str, branches: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Distinct values per key from several exploded branches of the same records.
+def entity_rollup(df: DataFrame, key: str, branches: Mapping[str, Column]) -> DataFrame:
+    """Distinct values per key of several branches of the same records, from one scan.
 
-    Each branch ``out: (frame, column)`` is reduced to one number per key before the branches
-    meet, so no product of branches arises. Distinct counting first groups by (key, value),
-    which spreads a key that holds most of the rows. Keys without a branch value count 0.
+    A branch is a column: a value, or a list of them, null where the row has none. The values
+    are stacked as (key, branch, value), made distinct, which spreads a key that holds most of
+    the rows, and then counted. Null is a key like others; keys without a value count 0.
     """
-    result = df.select(key).distinct()
-    for out, (frame, column) in branches.items():
-        counted = (frame.filter(F.col(column).isNotNull()).groupBy(key, column).agg(F.lit(1).alias("_one"))
-                        .groupBy(key).agg(F.count("*").alias(out)))
-        result = result.join(counted, key, "left")
-    return result.select(key, *[F.coalesce(F.col(o), F.lit(0)).alias(o) for o in branches])
+    def entries(number: int, c: Column) -> Column:
+        many = df.select(c.alias("c")).schema["c"].dataType.typeName() == "array"
+        return F.transform(c if many else F.array(c), lambda v: F.struct(F.lit(number).alias("branch"), v.cast("string").alias("value")))
+
+    lists = [F.coalesce(entries(i, c), F.array().cast("array<struct<branch:int,value:string>>")) for i, c in enumerate(branches.values())]
+    # The entry without a branch keeps keys that have no value at all.
+    none = F.array(F.struct(F.lit(-1).alias("branch"), F.lit(None).cast("string").alias("value")))
+    stacked = df.select(key, F.explode(F.concat(none, *lists)).alias("_e")).select(key, "_e.*")
+    distinct = stacked.where((F.col("branch") == -1) | F.col("value").isNotNull()).groupBy(key, "branch", "value").agg(F.lit(1).alias("_one"))
+    return distinct.groupBy(key).agg(*[F.count_if(F.col("branch") == i).alias(out) for i, out in enumerate(branches)])

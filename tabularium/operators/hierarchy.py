@@ -23,7 +23,9 @@ def descendants(edges: DataFrame, roots: DataFrame, relation: str = "is_a", fold
     level; the levels are folded into one table every ``fold_every`` rounds to keep the plan
     short. Only whether a level is empty reaches the driver.
     """
-    down = cut_lineage(of_relation(edges, relation).select("parent_id", "child_id").distinct())
+    # Dealt by parent once; the checkpoint keeps the partitioning, so the joins below move the frontier only.
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    down = cut_lineage(of_relation(edges, relation).select("parent_id", "child_id").distinct().repartition(parts, "parent_id"))
     frontier = roots.select("id").distinct()
     visited: DataFrame | None = None
     depth = 0

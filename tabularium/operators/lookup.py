@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast hint behind a check of the side's size; beyond it a shuffle join takes over."""
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
-
-
 def lookup_join(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
     """Attributes of a dimension added by key; rows without a match stay with nulls.
 

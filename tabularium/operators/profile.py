@@ -20,7 +20,7 @@ def null_rates(df: DataFrame, only_with_nulls: bool = False, digits: int = 1) ->
     """Nulls per column as (column, nulls, null_pct), the share rounded."""
     wide = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     long = wide.unpivot(["_rows"], df.columns, "column", "nulls").select(
-        "column", "nulls", F.round(F.col("nulls") * F.lit(100.0) / F.col("_rows"), digits).alias("null_pct"))
+        "column", "nulls", F.round(F.try_divide(F.col("nulls") * F.lit(100.0), F.col("_rows")), digits).alias("null_pct"))
     return long.filter(F.col("nulls") > 0) if only_with_nulls else long
 
 
@@ -59,4 +59,4 @@ def profile(df: DataFrame) -> DataFrame:
         F.col(f"`{f.name}`.n").alias("nulls"), F.col(f"`{f.name}`.lo").alias("min_text"),
         F.col(f"`{f.name}`.hi").alias("max_text")) for i, f in enumerate(fields)]))).select(
         "position", "column", "dtype", F.col("_rows").alias("n_rows"), "nulls",
-        F.round(F.col("nulls") * F.lit(100.0) / F.col("_rows"), 1).alias("null_pct"), "min_text", "max_text")
+        F.round(F.try_divide(F.col("nulls") * F.lit(100.0), F.col("_rows")), 1).alias("null_pct"), "min_text", "max_text")

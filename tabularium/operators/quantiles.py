@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # The approximate ranks below are good to 1/ACCURACY of the group; the bracket is wider.
 ACCURACY = 20_000
 MARGIN = 4.0 / ACCURACY
+# Join keys that a group's rows are dealt over when its limits are joined back.
+SALTS = 64
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -67,8 +69,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     place = [F.lit(p) * (F.col("_n") - 1) for p in probs]
     picked = ranked.groupBy(*keys).agg(F.first("_n").alias("_n"), *[
         F.struct(at(F.floor(pos)).alias("lo"), at(F.ceil(pos)).alias("hi")).alias(f"_q{i}") for i, pos in enumerate(place)])
-    return picked.select(*keys, F.inline(F.array(*[
+    values = picked.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(p).alias("prob"), _between(F.col(f"_q{i}"), place[i]).alias("value")) for i, p in enumerate(probs)])))
+    # A group without a value has no rank to find; its quantiles are null.
+    bare = F.filter(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_s{j}.n").alias("n")) for j, c in enumerate(columns)]), lambda s: s["n"] == 0)
+    empty = summary.select(*by, F.explode(bare).alias("_e")).select(*by, "_e.column", F.explode(F.array(*[F.lit(p) for p in probs])).alias("prob"))
+    return values.unionByName(empty.withColumn("value", F.lit(None).cast("double")))
 
 
 def _summaries(data: DataFrame, by: list[str], n_columns: int, probs: list[float]) -> DataFrame:
@@ -111,10 +117,19 @@ def quantile_columns(df: DataFrame, column: str, probs: dict[str, float], by: Se
 def stretch(df: DataFrame, column: str, by: Sequence[str], low: float, high: float, out: str) -> DataFrame:
     """Values rescaled so that the group's low and high quantile become 0 and 1, clipped outside.
 
-    The two quantiles per group are joined back; the join side has one row per group and AQE
-    decides from its size whether to broadcast it and how to split a hot group.
+    The two quantiles per group are joined back on the group and a salt, so a group with most
+    of the rows is dealt over many tasks. A null value stays null, and so do the values of a
+    group that has none; null is a group. A column named out is replaced.
     """
     limits = quantile_columns(df, column, {"_p_lo": low, "_p_hi": high}, by)
     width = F.greatest(F.col("_p_hi") - F.col("_p_lo"), F.lit(1e-9))
-    value = F.least(F.greatest((F.col(column) - F.col("_p_lo")) / width, F.lit(0.0)), F.lit(1.0))
-    return df.join(limits, list(by), "left").withColumn(out, value).drop("_p_lo", "_p_hi")
+    scaled = F.least(F.greatest((F.col(column) - F.col("_p_lo")) / width, F.lit(0.0)), F.lit(1.0))
+    value = F.when(F.col(column).isNotNull() & F.col("_p_lo").isNotNull(), scaled)
+    # Rows of a group are dealt over SALTS join keys, and so is its one row of limits.
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    limits = limits.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], "_p_lo", "_p_hi",
+                           F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("_part"))
+    match = F.col("_salt") == F.col("_part")
+    for i, k in enumerate(by):
+        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return salted.join(limits, match, "left").withColumn(out, value).select(*[c for c in df.columns if c != out], out)

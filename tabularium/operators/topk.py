@@ -23,11 +23,13 @@ def extreme_row(df: DataFrame, measure: str, columns: Sequence[str], largest: bo
                 default: dict[str, object] | None = None, ties: str | None = None) -> DataFrame:
     """The row with the largest or smallest measure (nulls left out), or the default when there is none.
 
-    A partial extreme per task, one row in the end. Equal measures go to the smallest ``ties``.
+    The measure is compared in its own type. Equal measures go to the smallest ``ties``; both
+    steps keep one row per task. A null field of a row that exists stays null.
     """
-    sign = F.col(measure).cast("double") * F.lit(-1.0 if largest else 1.0)
-    rank = F.struct(sign.alias("m"), *([F.col(ties).alias("t")] if ties else []))
-    picked = df.filter(F.col(measure).isNotNull()).agg(F.min_by(F.struct(*columns), rank).alias("_r"))
+    extreme = df.agg((F.max if largest else F.min)(measure).alias("_extreme"))
+    # One row on the broadcast side.
+    best = df.join(F.broadcast(extreme), F.col(measure) == F.col("_extreme"))
+    picked = best.agg(F.min_by(F.struct(*columns), F.struct(F.col(ties) if ties else F.lit(0))).alias("_r"))
     fill = default or {}
     return picked.select(*[
-        (F.coalesce(F.col(f"_r.{c}"), F.lit(fill[c])) if c in fill else F.col(f"_r.{c}")).alias(c) for c in columns])
+        (F.when(F.col("_r").isNull(), F.lit(fill[c])).otherwise(F.col(f"_r.{c}")) if c in fill else F.col(f"_r.{c}")).alias(c) for c in columns])

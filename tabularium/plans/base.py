@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabularium.functions.names import normalise_names
 from tabularium.functions.rows import item_rows
 from tabularium.sources.delimited import null_tokens, parse_lines, read_table
-from tabularium.sources.landed import read_pages
+from tabularium.sources.landed import page_fault, read_pages, refuse, rejected_pages
 
 Columns = Callable[[Column, Column], dict[str, Column]]
 
@@ -41,6 +41,12 @@ def _shared_shapes(paths: Sequence[str], inner: str) -> list[tuple[str, list[str
     return [(ddl([p.split(".") for p in group]), group) for group in groups]
 
 
+def _record_fault(record: str) -> Column:
+    """Why a text is no record: it cannot be read, or it is not an object."""
+    return (F.when(F.try_parse_json(record).isNull(), "unreadable")
+             .when(~F.ltrim(record).startswith("{"), "wrong shape"))
+
+
 @dataclass(frozen=True)
 class JsonTable:
     """Table from JSON records.
@@ -60,8 +66,24 @@ class JsonTable:
     items: Callable[[Column], Column] | None = None
     keep_parents: bool = False
 
-    def from_pages(self, df: DataFrame, page: str = "page", keep: Sequence[str] = ()) -> DataFrame:
-        """Rows of all records of all pages. The first envelope path with records counts."""
+    def _paths(self) -> list[str]:
+        return [p if p == "$" else f"$.{p}" for p in self.envelope]
+
+    def rejected_pages(self, df: DataFrame, page: str = "page", keep: Sequence[str] = ()) -> DataFrame:
+        """Pages that cannot be read or have none of the envelopes, with the reason."""
+        return rejected_pages(df, page, self._paths(), keep)
+
+    def rejected_records(self, df: DataFrame, record: str = "record", keep: Sequence[str] = ()) -> DataFrame:
+        """Records that cannot be read or are no object, with the reason."""
+        return df.select(*keep, _record_fault(record).alias("reason")).where(F.col("reason").isNotNull())
+
+    def from_pages(self, df: DataFrame, page: str = "page", keep: Sequence[str] = (), strict: bool = False) -> DataFrame:
+        """Rows of all records of all pages. The first envelope path with records counts.
+
+        Pages that ``rejected_pages`` lists give no rows; with ``strict`` they fail the job.
+        """
+        if strict:
+            df = refuse(df, page_fault(F.try_parse_json(page), self._paths()))
         shape = f"array<struct<{self.record}>>"
         text, parsed, found = F.col(page), {}, {}
         if "$" in self.envelope:
@@ -75,13 +97,18 @@ class JsonTable:
         pages = df.select(*keep, *[c.alias(n) for n, c in parsed.items()])
         return self._rows(item_rows(pages, keep, records, "_r"), keep)
 
-    def from_records(self, df: DataFrame, record: str = "record", keep: Sequence[str] = ()) -> DataFrame:
-        """Rows of records that are in a column, one JSON object each."""
+    def from_records(self, df: DataFrame, record: str = "record", keep: Sequence[str] = (), strict: bool = False) -> DataFrame:
+        """Rows of records that are in a column, one JSON object each.
+
+        Those that ``rejected_records`` lists give no rows; with ``strict`` they fail the job.
+        """
+        fault = _record_fault(record)
+        df = refuse(df, fault) if strict else df.where(fault.isNull())
         return self._rows(df.select(*keep, F.from_json(record, f"struct<{self.record}>").alias("_r")), keep)
 
-    def read(self, spark: SparkSession, path: str | list[str]) -> DataFrame:
+    def read(self, spark: SparkSession, path: str | list[str], strict: bool = False) -> DataFrame:
         """Rows of landed page files."""
-        return self.from_pages(read_pages(spark, path))
+        return self.from_pages(read_pages(spark, path), strict=strict)
 
     def _rows(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         if self.items is None:

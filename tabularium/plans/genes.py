@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabularium.functions.casts import safe, truthy_number
 from tabularium.functions.fallback import first_truthy
-from tabularium.functions.nested import count_where, first_item, has_items, join_list, field_list, list_size, pivot_dynamic
+from tabularium.functions.nested import count_where, first_item, has_items, join_list, field_list, list_size, pivot_keys
 from tabularium.functions.rows import struct_rows
 from tabularium.functions.text import joined_name, scaled, span_length
 from tabularium.plans.base import JsonTable
@@ -201,10 +201,10 @@ _CELL_PANEL = JsonTable(
     })
 
 
-def cell_panel(df: DataFrame, record: str = "record") -> DataFrame:
-    """Panel rows with one ``str_`` column per locus found in the data."""
+def cell_panel(df: DataFrame, loci: Sequence[str], record: str = "record") -> DataFrame:
+    """Panel rows with one ``str_`` column per given locus."""
     flat = _CELL_PANEL.from_records(df, record)
-    return pivot_dynamic(flat, [c for c in flat.columns if c != "_markers"], "_markers", "str_", name="id", value="alleles")
+    return pivot_keys(flat, [c for c in flat.columns if c != "_markers"], "_markers", "str_", loci, name="id", value="alleles")
 
 
 def _ortholog(r: Column, full: bool) -> dict[str, Column]:

@@ -76,14 +76,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores spread over all cores, before CPU-heavy expressions.
-
-    A file with one row group, a gzip file or a few landed pages are read by one task each.
-    The number of splits is known from the file listing; a table with enough splits, so any
-    large one, is returned as it is and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

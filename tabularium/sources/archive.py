@@ -18,7 +18,7 @@ def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def archive_lines(archives: DataFrame, suffix: str, batch: int = 20_000) -> DataFrame:
-    """Lines of the first member with the suffix in each archive; archives without one give none.
+    """Lines of every member with the suffix in each archive, named by ``member``; archives without one give none.
 
     Spark has no zip codec, so this is the one Python step. A task holds one archive at a
     time and hands its lines on in batches while it inflates; the lines are parsed by the
@@ -28,18 +28,16 @@ def archive_lines(archives: DataFrame, suffix: str, batch: int = 20_000) -> Data
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    member = next((n for n in archive.namelist() if n.endswith(suffix)), None)
-                    if member is None:
-                        continue
-                    with archive.open(member) as raw:
-                        start, rows = 0, []
-                        for line in io.TextIOWrapper(raw, encoding="utf-8", newline="\n"):
-                            rows.append(line.rstrip("\r\n"))
-                            if len(rows) == batch:
+                    for member in dict.fromkeys(n for n in archive.namelist() if n.endswith(suffix)):
+                        with archive.open(member) as raw:
+                            start, rows = 0, []
+                            for line in io.TextIOWrapper(raw, encoding="utf-8", newline="\n"):
+                                rows.append(line.rstrip("\r\n"))
+                                if len(rows) == batch:
+                                    yield _frame(path, member, start, rows)
+                                    start, rows = start + batch, []
+                            if rows:
                                 yield _frame(path, member, start, rows)
-                                start, rows = start + batch, []
-                        if rows:
-                            yield _frame(path, member, start, rows)
 
     return archives.select("path", "content").mapInPandas(lines, LINES_SCHEMA)
 

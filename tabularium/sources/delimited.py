@@ -42,16 +42,32 @@ def read_table(spark: SparkSession, path: str | list[str], schema: str | T.Struc
                partitions: int | None = None) -> DataFrame:
     """Delimited file (plain or gzip) with a declared schema.
 
-    Surplus fields are dropped and short rows filled with nulls. A gzip file cannot be split
-    and is read by one task; ``partitions`` spreads its rows right after the read.
+    With a header, values go to columns by name: a declared column that the file lacks is null,
+    a value that does not parse is null, and columns that are not declared follow as text. All
+    files of one read must have the same header; another one fails the job. Without a header
+    the declared order counts. Surplus fields of a row are dropped and short rows filled with
+    nulls. A gzip file cannot be split and is read by one task; ``partitions`` spreads its rows
+    right after the read.
     """
-    df = spark.read.schema(schema).options(header=header, enforceSchema=True, **_options(sep, comment, quote)).csv(path)
+    options = _options(sep, comment, quote)
+    df = _by_name(spark, path, schema, options) if header else spark.read.schema(schema).options(header=False, **options).csv(path)
     if partitions:
         df = df.repartition(partitions)
     tokens = list(null_values)
     return null_tokens(df, tokens) if tokens else df
 
 
+def _by_name(spark: SparkSession, path: str | list[str], schema: str | T.StructType, options: dict[str, str]) -> DataFrame:
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    found = spark.read.options(header=True, **options).csv(path).columns
+    if not found:
+        return spark.createDataFrame([], declared)
+    rows = spark.read.schema(text_schema(found)).options(header=True, enforceSchema=False, **options).csv(path)
+    named = {f.name for f in declared.fields}
+    return rows.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in found else F.lit(None).cast(f.dataType)).alias(f.name) for f in declared.fields],
+                       *[F.col(f"`{n}`") for n in found if n not in named])
+
+
 def parse_lines(df: DataFrame, line: str, schema: str | T.StructType, sep: str = "\t", quote: str | None = None,
                 keep: Sequence[str] = ()) -> DataFrame:
     """The same for lines that are already in a column."""

@@ -28,19 +28,47 @@ def record_list(page: Column, paths: Sequence[str]) -> Column:
     return lists[0] if len(lists) == 1 else F.get(F.filter(F.array(*lists), lambda a: F.size(a) > 0), F.lit(0))
 
 
-def unwrap_pages(df: DataFrame, page: str, paths: Sequence[str], keep: Sequence[str] = (), item: str = "item") -> DataFrame:
-    """One row per record of each page; ``page`` is JSON text, unreadable pages give no rows."""
+def page_fault(parsed: Column, paths: Sequence[str]) -> Column:
+    """Why a parsed page has no record list, or null if it has one, if only an empty one."""
+    lists = [F.try_variant_get(parsed, p, "array<variant>").isNotNull() for p in paths]
+    named = [F.try_variant_get(parsed, p, "variant").isNotNull() for p in paths if p != "$"]
+    any_of = lambda tests: F.exists(F.array(F.lit(False), *tests), lambda t: t)
+    return (F.when(parsed.isNull(), "unreadable").when(any_of(lists), None)
+             .when(any_of(named), "wrong shape").otherwise("no known envelope"))
+
+
+def unwrap_pages(df: DataFrame, page: str, paths: Sequence[str], keep: Sequence[str] = (), item: str = "item",
+                 strict: bool = False) -> DataFrame:
+    """One row per record of each page; ``page`` is JSON text.
+
+    A page that cannot be read or has none of the envelopes gives no rows here and one in
+    ``rejected_pages``; with ``strict`` it fails the job. Only a known empty list is silent.
+    """
     parsed = df.select(*keep, F.try_parse_json(page).alias("_page"))
+    if strict:
+        parsed = refuse(parsed, page_fault(F.col("_page"), paths))
     return item_rows(parsed, keep, record_list(F.col("_page"), paths), item)
 
 
+def rejected_pages(df: DataFrame, page: str, paths: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The pages that ``unwrap_pages`` can make nothing of, with the reason."""
+    parsed = df.select(*keep, F.try_parse_json(page).alias("_page"))
+    return parsed.select(*keep, page_fault(F.col("_page"), paths).alias("reason")).where(F.col("reason").isNotNull())
+
+
+def refuse(df: DataFrame, fault: Column) -> DataFrame:
+    """The same rows; one with a fault fails the job."""
+    return df.where(F.when(fault.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("rejected: "), fault)).cast("boolean")))
+
+
 def page_audit(df: DataFrame, source: str, page: str, n_records: str, total: str, cursor: str, next_cursor: str,
                page_size: int) -> DataFrame:
     """One row per source that says whether its landed page set is complete.
 
     All measures are sums, extremes and counts over pages, so a source with most of the
     pages is aggregated in parallel. ``stuck_cursors`` counts pages whose next cursor is
-    their own; ``open_ends`` pages without a next cursor (a finished set has one).
+    their own; ``open_ends`` pages without a next cursor (a finished set has one). A page whose
+    number of records is null could not be read; with one, the set is not complete.
     """
     per_page = df.groupBy(source, page).agg(
         F.count("*").alias("_copies"), F.max(n_records).alias("_n"), F.max(total).alias("_total"),
@@ -49,30 +77,38 @@ def page_audit(df: DataFrame, source: str, page: str, n_records: str, total: str
     audit = per_page.groupBy(source).agg(
         F.count("*").alias("n_pages"), F.min(page).alias("first_page"), F.max(page).alias("last_page"),
         F.sum("_n").alias("n_records"), F.max("_total").alias("total"),
-        F.sum((F.col("_n") == 0).cast("int")).alias("empty_pages"),
-        F.sum((F.col("_n") < page_size).cast("int")).alias("short_pages"),
+        F.sum(F.col("_n").isNull().cast("int")).alias("unreadable_pages"),
+        F.sum(F.coalesce(F.col("_n") == 0, F.lit(False)).cast("int")).alias("empty_pages"),
+        F.sum(F.coalesce(F.col("_n") < page_size, F.lit(False)).cast("int")).alias("short_pages"),
         F.sum(F.col("_copies") - 1).alias("repeated_pages"),
         F.sum("_stuck").alias("stuck_cursors"), F.sum("_end").alias("open_ends"))
     missing = F.col("last_page") - F.col("first_page") + 1 - F.col("n_pages")
     return audit.select("*", missing.alias("missing_pages"),
-                        ((missing == 0) & (F.col("n_records") == F.col("total"))).alias("complete"))
+                        ((missing == 0) & (F.col("unreadable_pages") == 0)
+                         & F.coalesce(F.col("n_records") == F.col("total"), F.lit(False))).alias("complete"))
 
 
-def page_gaps(df: DataFrame, source: str, page: str) -> DataFrame:
-    """Runs of missing page numbers per source (first_missing, last_missing).
+def page_gaps(df: DataFrame, source: str, page: str, bucket: int = 100_000) -> DataFrame:
+    """Runs of missing page numbers per source (first_missing, last_missing), from one pass.
 
-    Only the edges of the gaps are ordered; whether a page has a neighbour is a join on
-    (source, page number), which spreads a source with many pages over all tasks.
+    A page adds 1 at its number and takes 1 at the next; what does not cancel is the start of a
+    run of pages or the place after one. These are paired per source and bucket of page
+    numbers, so a source with most of the pages is dealt over many tasks; of each bucket only
+    the outer two meet those of its neighbours.
     """
-    pages = df.select(F.col(source), F.col(page).cast("bigint").alias("_p")).distinct()
-    after = pages.select(source, (F.col("_p") - 1).alias("_p"))
-    before = pages.select(source, (F.col("_p") + 1).alias("_p"))
-    ends = pages.join(after, [source, "_p"], "left_anti").select(source, F.col("_p").alias("_e"), F.lit(0).alias("_start"))
-    starts = pages.join(before, [source, "_p"], "left_anti").select(source, F.col("_p").alias("_e"), F.lit(1).alias("_start"))
-    edge = Window.partitionBy(source).orderBy("_e", F.col("_start").desc())
-    edges = ends.union(starts).select(source, "_e", "_start", F.lead("_e").over(edge).alias("_next"))
-    return (edges.filter((F.col("_start") == 0) & F.col("_next").isNotNull())
-                 .select(source, (F.col("_e") + 1).alias("first_missing"), (F.col("_next") - 1).alias("last_missing")))
+    pages = df.select(F.col(source), F.col(page).cast("bigint").alias("_p")).where(F.col("_p").isNotNull()).distinct()
+    step = F.array(F.struct(F.col("_p").alias("at"), F.lit(1).alias("d")), F.struct((F.col("_p") + 1).alias("at"), F.lit(-1).alias("d")))
+    edges = (pages.select(source, F.explode(step).alias("_s")).groupBy(source, F.col("_s.at").alias("_at")).agg(F.sum("_s.d").alias("_d"))
+             .where("_d <> 0").withColumn("_b", F.floor(F.col("_at") / bucket)))
+    inside = Window.partitionBy(source, "_b").orderBy("_at")
+    paired = edges.withColumn("_next", F.lead("_at").over(inside))
+    gaps = paired.where("_d < 0 AND _next IS NOT NULL").select(source, "_at", "_next")
+    # One row per bucket with an edge: does it end in an open gap, and where does its first run start.
+    outer = edges.groupBy(source, "_b").agg(F.max(F.struct("_at", "_d")).alias("_last"), F.min("_at").alias("_first"))
+    across = outer.select(source, F.col("_last._at").alias("_at"), F.col("_last._d").alias("_d"),
+                          F.lead("_first").over(Window.partitionBy(source).orderBy("_b")).alias("_next"))
+    border = across.where("_d < 0 AND _next IS NOT NULL").select(source, "_at", "_next")
+    return gaps.union(border).select(source, F.col("_at").alias("first_missing"), (F.col("_next") - 1).alias("last_missing"))
 
 
 def read_by_category(spark: SparkSession, paths: str | list[str], schema: str | T.StructType, pattern: str) -> DataFrame:

@@ -11,8 +11,15 @@ from tabularium.functions.rows import struct_rows
 
 
 def read_stanzas(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per stanza; the blank line between stanzas is the record separator."""
-    return spark.read.option("lineSep", "\n\n").text(path).withColumnRenamed("value", "stanza")
+    """One row per stanza; the blank line between stanzas is the record separator.
+
+    A file whose lines end in CR LF has no such separator and is one record, which is split here; large ones should be
+    landed with plain line feeds, so that tasks can share a file.
+    """
+    text = F.regexp_replace("value", "\r\n?", "\n")
+    parts = F.split(text, "\n[ \t]*\n")
+    return (spark.read.option("lineSep", "\n\n").text(path).select(F.explode(parts).alias("stanza"))
+            .where(F.trim("stanza") != ""))
 
 
 def _first_line(lines: Column, prefix: str) -> Column:

@@ -169,10 +169,10 @@ def test_matrix_rules(spark):
         nested.matrix_long(df, ["id"], strict=True).collect()
 
 
-def test_dynamic_pivot_limit(spark):
+def test_pivot_and_long_form_of_attributes(spark):
     df = spark.createDataFrame([(1, [("a", "x"), ("b", "y"), ("a", "z")]), (2, [])], "id int, m array<struct<name: string, value: string>>")
-    got = nested.pivot_dynamic(df, ["id"], "m", "k_").orderBy("id").collect()
+    names = [r["key"] for r in nested.attribute_names(df, "m").collect()]
+    got = nested.pivot_keys(df, ["id"], "m", "k_", names).orderBy("id").collect()
     assert [tuple(r) for r in got] == [(1, "z", "y"), (2, None, None)]
-    with pytest.raises(ValueError):
-        nested.pivot_dynamic(df, ["id"], "m", "k_", max_columns=1)
-    assert nested.pivot_dynamic(df, ["id"], "m", "k_", keys=["b"]).columns == ["id", "k_b"]
+    assert nested.pivot_keys(df, ["id"], "m", "k_", ["b"]).columns == ["id", "k_b"]
+    assert sorted(tuple(r) for r in nested.attribute_rows(df, ["id"], "m").collect()) == [(1, "a", "z"), (1, "b", "y")]

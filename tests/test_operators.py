@@ -71,7 +71,7 @@ def test_quantile_brackets_do_not_depend_on_group_size(spark, monkeypatch):
 def test_quantiles_skip_nulls_and_keep_null_groups(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", None), ("b", 2.0)], "g string, v double")
     got = {r["g"]: r["value"] for r in quantiles.exact_quantiles(df, ["v"], [0.5], by=["g"]).collect()}
-    assert got == {None: 2.0, "b": 2.0}
+    assert got == {None: 2.0, "b": 2.0, "a": None}
 
 
 def test_describe_and_profile(spark):
@@ -108,7 +108,6 @@ def test_primary_else_and_anti(spark):
     b = spark.createDataFrame([(1, "f"), (2, "f")], "k int, v string")
     assert {tuple(r) for r in lookup.primary_else(a, b, "k", ("A", "B")).collect()} == {(1, "p", "A"), (2, "f", "B")}
     assert [r["k"] for r in lookup.not_yet(b, a, ["k"]).collect()] == [2]
-    assert lookup.broadcast_if_small(b, max_rows=1) is b
 
 
 def test_land_report(spark):
@@ -143,3 +142,23 @@ def test_validation(spark):
         validate.require(df.filter("id = 3"), {"small": rules["small"]}).collect()
     guard = validate.prefix_guard(spark.createDataFrame([("S-A1",), ("X",)], "k string"), "k", ["S-"]).first()
     assert tuple(guard) == (2, 1, False)
+
+
+def test_nulls_empty_tables_and_types(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", None), (None, 2.0), (None, 4.0)], "g string, v double")
+    got = sorted((str(r["g"]), str(r["s"])) for r in quantiles.stretch(df, "v", ["g"], 0.0, 1.0, "s").collect())
+    assert got == [("None", "0.0"), ("None", "1.0"), ("a", "0.0"), ("a", "1.0"), ("a", "None"), ("b", "None")]
+    none = df.limit(0)
+    assert tuple(none.withColumn("f", F.lit(True)).agg(*aggregate.true_share("f", "n", "pct")).first()) == (0, None)
+    assert aggregate.threshold_report(none, "v", 1.0).first()["fraction"] is None
+    assert [r["null_pct"] for r in profile.null_rates(none).collect()] == [None, None]
+    assert [r["null_pct"] for r in profile.profile(none).collect()] == [None, None]
+    big = spark.createDataFrame([("x", 2**53, None), ("y", 2**53 + 1, None)], "k string, m bigint, d date")
+    assert topk.extreme_row(big, "m", ["k", "d"], default={"k": "none", "d": "never"}, ties="k").first()["k"] == "y"
+    assert topk.extreme_row(big, "m", ["k", "d"]).first()["d"] is None
+    assert topk.extreme_row(big.withColumn("d", F.lit("2020-01-01").cast("date")), "d", ["k"], ties="k").first()["k"] == "x"
+    odd = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "v double")
+    assert [(r["bin"], r["n_rows"]) for r in histogram.histogram(odd, "v", 2).collect()] == [(0, 1), (1, 1), (None, 1)]
+    keyed = spark.createDataFrame([(None, 1, [1, 2]), (None, 1, []), ("k", None, None)], "k string, a int, b array<int>")
+    rolled = {r["k"]: (r["x"], r["y"]) for r in aggregate.entity_rollup(keyed, "k", {"x": F.col("a"), "y": F.col("b")}).collect()}
+    assert rolled == {None: (1, 2), "k": (0, 0)}

@@ -3,6 +3,8 @@ import io
 import json
 import zipfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tabularium.plans import files, genes, molecules, studies
@@ -19,6 +21,31 @@ def test_page_files_with_several_envelopes(spark, tmp_path):
     assert pages.count() == 4
     items = landed.unwrap_pages(pages, "page", ["$.hits", "$.response.result", "$"], keep=["file"])
     assert sorted(r[0] for r in items.select(F.variant_get("item", "$.id", "int")).collect()) == [1, 2, 3, 4]
+    paths = ["$.hits", "$.response.result", "$"]
+    rejected = landed.rejected_pages(pages, "page", paths, keep=["file"]).collect()
+    assert [(r["file"].rsplit("/", 1)[1], r["reason"]) for r in rejected] == [("d.json", "unreadable")]
+    with pytest.raises(Exception, match="rejected: unreadable"):
+        landed.unwrap_pages(pages, "page", paths, strict=True).collect()
+    odd = spark.createDataFrame([('{"error":1}',), ('{"hits":{"a":1}}',), ('{"hits":[]}',), (None,), ("[]",)], "page string")
+    assert [r["reason"] for r in landed.rejected_pages(odd, "page", ["$.hits"]).collect()] == ["no known envelope", "wrong shape", "unreadable", "no known envelope"]
+    assert [r["reason"] for r in landed.rejected_pages(odd, "page", ["$.hits", "$"]).collect()] == ["no known envelope", "wrong shape", "unreadable"]
+
+
+def test_header_counts_by_name(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.csv").write_text("b,more,a\ntwo,m,1\nq,n,bad\n")
+    rows = delimited.read_table(spark, str(tmp_path / "a"), "a int, b string, c date", sep=",")
+    assert rows.columns == ["a", "b", "c", "more"] and [tuple(r) for r in rows.collect()] == [(1, "two", None, "m"), (None, "q", None, "n")]
+    (tmp_path / "a" / "y.csv").write_text("a,b,more\n1,two,m\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        delimited.read_table(spark, str(tmp_path / "a"), "a int, b string, c date", sep=",").collect()
+
+
+def test_gaps_over_bucket_borders(spark):
+    rows = [("s", p) for p in (1, 2, 9, 10, 11, 30, 31, 99)] + [("t", 5), ("u", None)]
+    df = spark.createDataFrame(rows, "source string, page int")
+    for bucket in (1, 3, 10, 1000):
+        assert sorted(tuple(r) for r in landed.page_gaps(df, "source", "page", bucket).collect()) == [("s", 3, 8), ("s", 12, 29), ("s", 32, 98)]
 
 
 def test_page_audit_and_gaps(spark):
@@ -50,14 +77,14 @@ def test_annotation_file(spark, tmp_path):
 
 
 def test_zip_member(spark, tmp_path):
-    for name, members in {"a.zip": {"README": "x", "d.tsv": "h\n1\tä\n2\tb"}, "b.zip": {"only.md": "x"}}.items():
+    for name, members in {"a.zip": {"README": "x", "d.tsv": "h\n1\tä\n2\tb", "sub/e.tsv": "z"}, "b.zip": {"only.md": "x"}}.items():
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w") as z:
             for member, body in members.items():
                 z.writestr(member, body)
         (tmp_path / name).write_bytes(buffer.getvalue())
     lines = archive.archive_lines(archive.read_archives(spark, str(tmp_path)), ".tsv", batch=2)
-    assert [(r["line_no"], r["line"]) for r in lines.orderBy("line_no").collect()] == [(0, "h"), (1, "1\tä"), (2, "2\tb")]
+    assert [(r["member"], r["line_no"], r["line"]) for r in lines.orderBy("member", "line_no").collect()] == [("d.tsv", 0, "h"), ("d.tsv", 1, "1\tä"), ("d.tsv", 2, "2\tb"), ("sub/e.tsv", 0, "z")]
 
 
 def test_xml_rows(spark, tmp_path):
