@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from tabularium.llm.batches import small_batches
 from tabularium.llm.bpe import Encoder, load_ranks
 
 Spans = tuple[np.ndarray, np.ndarray]
@@ -62,6 +63,8 @@ def attribute(df: DataFrame, text: str, rank_lines: bytes, pattern: str, section
     outside all sections give a row with section null. Columns of these names are replaced; repeated rows count each.
     """
 
+    small_batches(df.sparkSession)
+
     @pandas_udf("array<struct<section:int,section_start:int,section_end:int,n_tokens:long,n_crossing:long>>")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ranks = load_ranks(rank_lines)

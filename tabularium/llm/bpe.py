@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from tabularium.llm.batches import small_batches
+
 #: Entries of a worker's tables of pieces, states and pairs; beyond it a table starts anew, which costs time and changes no result.
-MEMO, STATES, PAIRS = 150_000, 30_000, 400_000
+MEMO, STATES, PAIRS = 150_000, 20_000, 300_000
 #: With a full table, pieces up to so many bytes are read without making states from the first unknown move on.
 SHORT = 256
 _NEVER = 1 << 62
@@ -268,6 +270,8 @@ def encode(df: DataFrame, text: str, lines: bytes, pattern: str, out: str = "ids
     and an empty table pass as they are. lines is the content of a rank file: fixed in size, it travels with the task.
     """
 
+    small_batches(df.sparkSession)
+
     @pandas_udf("binary")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(load_ranks(lines), pattern)
@@ -280,6 +284,8 @@ def encode(df: DataFrame, text: str, lines: bytes, pattern: str, out: str = "ids
 def decode(df: DataFrame, ids: str, lines: bytes, out: str = "decoded") -> DataFrame:
     """df with the text of packed ids; null counts as no ids, an id outside the vocabulary fails the job."""
 
+    small_batches(df.sparkSession)
+
     @pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ranks = load_ranks(lines)

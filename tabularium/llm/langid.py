@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from tabularium.llm.batches import small_batches
+
 UNKNOWN = "und"
 BUCKET_BITS, DIMENSIONS, ORDERS = 15, 16, (2, 3)
 #: Training documents per language (in expectation), and the share of them kept for calibration.
@@ -162,6 +164,8 @@ def identify(df: DataFrame, text: str, model: LanguageModel) -> DataFrame:
     rows and an empty table pass as they are. The model has a fixed number of buckets and travels with the task.
     """
 
+    small_batches(df.sparkSession)
+
     @pandas_udf("lang_pred string, score double")
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from tabularium.llm.batches import small_batches
 from tabularium.llm.hashing import mix, word_hashes, word_spans
 
 #: Words in a fingerprint, fingerprints in a winnowing window, half the width of the band, least share of matched words.
@@ -157,6 +158,7 @@ def scan_licenses(df: DataFrame, text: str, templates: dict[str, str]) -> DataFr
     A null or empty text has none. The templates are a parameter of fixed size that travels with the task. A column named
     licenses is replaced; repeated rows are reported each; an empty table passes as it is. No template finds nothing.
     """
+    small_batches(df.sparkSession)
     index = LicenseIndex.build(templates)
 
     @pandas_udf(FOUND)

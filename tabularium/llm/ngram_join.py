@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabularium.llm.batches import small_batches
 from tabularium.llm.components import connected
 from tabularium.llm.hashing import shingle_hashes
 from tabularium.session import stored
@@ -264,6 +265,7 @@ def jaccard_components(df: DataFrame, key: str, text: str, words: int = 5, perce
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be above 0 and at most 100")
+    small_batches(df.sparkSession)
     both = survey(df, key, text, words)
     sets = both.where("kind = 0").select("key", "n", "node")
     slots = np.zeros(1 << SLOT_BITS, np.int64)

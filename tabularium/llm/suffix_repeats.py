@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from tabularium.llm.batches import small_batches
 from tabularium.llm.hashing import window_hashes
 from tabularium.session import cut_lineage, stored
 
@@ -351,6 +352,7 @@ def remove_repeats(df: DataFrame, key: str, text: str, length: int = 400, whole_
     no repeat. Repeated rows repeat each other. Keys may be null or shared. Columns of these names are replaced.
     With whole_characters, a character that a cut would split stays whole, so kept is text again.
     """
+    small_batches(df.sparkSession)
     names = ("kept", "n_bytes", "n_removed", "removed")
     spans = repeated_spans(df, key, text, length).select(F.col("key").alias("__key"), F.col("version").alias("__version"), F.col("spans").alias("__spans"))
     rest = df.select(*(c for c in df.columns if c not in names))

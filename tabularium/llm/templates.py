@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from tabularium.llm.batches import small_batches
 from tabularium.llm.hashing import mix
 
 #: Tokens in a window, and the share of them that must be literal words.
@@ -188,6 +189,7 @@ def find_leaks(df: DataFrame, text: str, benchmark: DataFrame, item: str, item_t
     items = benchmark.select(F.col(item).cast("long").alias("key"), F.col(item_text).alias("text")).where("text IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
+    small_batches(df.sparkSession)
     out = df.drop("leaks").withColumn("leaks", F.array().cast(LEAK))
     for block in range(blocks):
         some = items.where(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)) == block)

@@ -24,6 +24,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabularium.llm.batches import small_batches
 from tabularium.session import fresh_path, stored
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.tsv"
@@ -211,6 +212,7 @@ def write_packages(pages: DataFrame, key: str, url: str, payload: str, folder: s
     Evaluated once. A task that is run again writes packages of new names, and only those of the attempt that counts are
     returned. An empty table gives no package. A null payload is an empty one.
     """
+    small_batches(pages.sparkSession)
     folder = folder or fresh_path(pages.sparkSession, "warc")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
