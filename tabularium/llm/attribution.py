@@ -78,7 +78,7 @@ def attribute(df: DataFrame, text: str, rank_lines: bytes, pattern: str, section
     names = ("section", "section_start", "section_end", "n_tokens", "n_crossing")
     kept = [c for c in df.columns if c not in (*names, text, "__sections", "__each")]
     return (df.select(*kept, counted(F.col(text)).alias("__sections"))
-            .select(*kept, F.explode("__sections").alias("__each"))
+            .select(*kept, F.explode_outer("__sections").alias("__each")).where("__each IS NOT NULL")
             .select(*kept, "__each.*"))
 
 

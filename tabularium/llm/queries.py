@@ -38,13 +38,13 @@ def warc_packages(spark: SparkSession, folder: str) -> DataFrame:
 
 def template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = templates.find_leaks(_table(spark, folder, "documents").select("doc_id", "text"), "text", _table(spark, folder, "benchmark"), "item_id", "text")
-    return (found.select("doc_id", F.explode("leaks").alias("leak"))
+    return (found.select("doc_id", F.explode_outer("leaks").alias("leak")).where("leak IS NOT NULL")
             .select("doc_id", F.col("leak.item").alias("item_id"), "leak.covered", "leak.tokens", "leak.changed_slots", "leak.first_word", "leak.last_word"))
 
 
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan_licenses(_table(spark, folder, "documents").select("doc_id", "text"), "text", TEMPLATES)
-    return found.select("doc_id", F.explode("licenses").alias("found")).select("doc_id", "found.*")
+    return found.select("doc_id", F.explode_outer("licenses").alias("found")).where("found IS NOT NULL").select("doc_id", "found.*")
 
 
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
