@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -83,6 +84,20 @@ def match_rows(df: DataFrame, c: Column, pattern: str, groups: Mapping[str, int]
     return struct_rows(df, df.columns, match_structs(c, pattern, groups, unknown), list(groups))
 
 
+def stated_quantity(name: str, units: Sequence[str], of: str | None = None) -> str:
+    """Pattern of ``name = number unit`` in prose: group 1 the number as written, group 2 the unit.
+
+    The name is read in any case. With ``of``, group 3 is what follows that word up to a stop
+    (a bracket, comma, full stop or semicolon), and the statement as a whole must run up to a
+    comma, full stop, semicolon or the end of the text.
+    """
+    unit = "|".join(sorted(map(re.escape, units), key=len, reverse=True))
+    head = f"(?i:{re.escape(name)})\\s*=\\s*([0-9.]+)\\s*({unit})"
+    if of is None:
+        return head
+    return head + f"(?:\\s+{re.escape(of)}\\s+([^(,.;]*[^(,.;\\s]))?(?=\\s*(?:[,.;]|$))"
+
+
 # Fixed value: an archive accession is a letter prefix and a number.
 ACCESSION = "^(S-[A-Z]+)([0-9]+)"
 
@@ -102,8 +117,15 @@ def accession_path(c: Column, strict: bool = False) -> Column:
 
 
 def next_link(header: Column) -> Column:
-    """Next-page address in a ``Link`` header, null on the last page."""
-    return extract(header, '<([^>]+)>;\\s*rel="next"', 1)
+    """Next-page address in a ``Link`` header, null on the last page.
+
+    A header holds targets in angle brackets, each with parameters in any order; ``rel`` may
+    be quoted, list several relations, and come after other parameters.
+    """
+    links = F.regexp_extract_all(header, F.lit("<[^>]*>[^<]*"), F.lit(0))
+    relation = '(?i);\\s*rel\\s*=\\s*(?:"(?:[^"]*\\s)?next(?:\\s[^"]*)?"|next\\s*(?:[;,]|$))'
+    found = F.get(F.filter(links, lambda link: link.rlike(relation)), F.lit(0))
+    return F.nullif(F.substring_index(F.substring_index(found, ">", 1), "<", -1), F.lit(""))
 
 
 def fixed_part(c: Column, start: int, length: int) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -41,6 +42,10 @@ def _shared_shapes(paths: Sequence[str], inner: str) -> list[tuple[str, list[str
     return [(ddl([p.split(".") for p in group]), group) for group in groups]
 
 
+#: Leaves that are read as text first and cast after, so that a number sent as text keeps its value.
+_TYPED = re.compile(r"\b(bigint|int|double|boolean)\b(?=\s*(?:[,>]|$))")
+
+
 def _record_fault(record: str) -> Column:
     """Why a text is no record: it cannot be read, or it is not an object."""
     return (F.when(F.try_parse_json(record).isNull(), "unreadable")
@@ -51,8 +56,9 @@ def _record_fault(record: str) -> Column:
 class JsonTable:
     """Table from JSON records.
 
-    ``record`` is the DDL of the fields that are read; leaves are text and are cast by the
-    column expressions, so a value of another type becomes null instead of losing its record.
+    ``record`` is the DDL of the fields that are read. Every leaf is read as text; those that
+    declare a number or a boolean are then cast, so ``"97.5"`` counts as 97.5 and a value of
+    another type becomes null instead of losing its record.
     ``envelope`` lists the dotted paths where a page keeps its records (``$`` for a bare list).
     ``items`` gives the child list of a record for tables with one row per child; records
     without children give no row, or one with null children when ``keep_parents``.
@@ -84,7 +90,7 @@ class JsonTable:
         """
         if strict:
             df = refuse(df, page_fault(F.try_parse_json(page), self._paths()))
-        shape = f"array<struct<{self.record}>>"
+        shape = f"array<struct<{self._text_record}>>"
         text, parsed, found = F.col(page), {}, {}
         if "$" in self.envelope:
             parsed["_p"] = F.from_json(F.when(F.ltrim(text).startswith("["), text), shape)
@@ -104,13 +110,19 @@ class JsonTable:
         """
         fault = _record_fault(record)
         df = refuse(df, fault) if strict else df.where(fault.isNull())
-        return self._rows(df.select(*keep, F.from_json(record, f"struct<{self.record}>").alias("_r")), keep)
+        return self._rows(df.select(*keep, F.from_json(record, f"struct<{self._text_record}>").alias("_r")), keep)
 
     def read(self, spark: SparkSession, path: str | list[str], strict: bool = False) -> DataFrame:
         """Rows of landed page files."""
         return self.from_pages(read_pages(spark, path), strict=strict)
 
+    @property
+    def _text_record(self) -> str:
+        return _TYPED.sub("string", self.record)
+
     def _rows(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        if self._text_record != self.record:
+            df = df.select(*keep, F.col("_r").try_cast(f"struct<{self.record}>").alias("_r"))
         if self.items is None:
             df = df.withColumn("_x", F.lit(None))
         else:

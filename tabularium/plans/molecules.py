@@ -9,7 +9,7 @@ from tabularium.functions.casts import blank_to_null, date_prefix, safe, safe_da
 from tabularium.functions.fallback import first_truthy
 from tabularium.functions.nested import field_list, first_item, join_list, list_size, matrix_long, pivot_known
 from tabularium.functions.rows import item_rows, struct_rows
-from tabularium.functions.text import dotted_levels, equation_participants, fixed_part, match_rows, match_structs, span_length, split_once
+from tabularium.functions.text import dotted_levels, equation_participants, fixed_part, match_rows, match_structs, stated_quantity, span_length, split_once
 from tabularium.plans.base import JsonTable
 from tabularium.sources.xmlsrc import xml_item, xml_text
 
@@ -59,9 +59,8 @@ def compounds(df: DataFrame, doc: str) -> DataFrame:
     })
 
 
-# A kinetic constant in free text, without and with its substrate.
-KM_SHORT = r"[Kk][Mm]\s*=\s*([\d.]+)\s*(m?M|µM|uM)"
-KM_FULL = r"[Kk][Mm]\s*=\s*([\d.]+)\s*(m?M|µM|uM|nM)(?:\s+for\s+([^(;.,]+?))?(?:\s*[;.,]|$)"
+# Units of concentration in summaries of kinetic constants; the long form also knows the last.
+MOLAR_UNITS = ("M", "mM", "µM", "uM", "nM")
 
 ENZYME_ENTRY = (
     "primaryAccession: string, organism: struct<scientificName: string>, "
@@ -84,7 +83,7 @@ def _enzyme(r: Column, _: Column) -> dict[str, Column]:
     reactions = F.filter(comments, lambda k: (k["commentType"] == "CATALYTIC ACTIVITY") & F.contains(k["reaction"]["name"], F.lit("=")))
     substrates = F.array_distinct(F.flatten(F.transform(reactions, lambda k: equation_participants(k["reaction"]["name"]))))
     km = F.flatten(F.transform(_texts(comments), lambda t: F.transform(
-        match_structs(t, KM_SHORT, {"v": 1, "u": 2}), lambda m: F.concat(m["v"], F.lit(" "), m["u"]))))
+        match_structs(t, stated_quantity("km", MOLAR_UNITS[:-1]), {"v": 1, "u": 2}), lambda m: F.concat(m["v"], F.lit(" "), m["u"]))))
     papers = F.flatten(F.transform(entries, lambda e: F.flatten(F.transform(
         F.coalesce(e["references"], F.array()), lambda p: F.coalesce(p["citation"]["citationCrossReferences"], F.array())))))
     pubmed = F.array_distinct(F.transform(F.filter(papers, lambda p: p["database"] == "PubMed"), lambda p: p["id"]))
@@ -109,7 +108,7 @@ def kinetics(df: DataFrame, page: str, ec_number: str) -> DataFrame:
     named = entries.select("ec_number", F.coalesce("primaryAccession", F.lit("")).alias("uniprot_id"),
                            F.coalesce("organism.scientificName", F.lit("unknown")).alias("organism"), "comments")
     texts = item_rows(named, keys, _texts(F.col("comments")), "_t")
-    found = match_rows(texts, F.col("_t"), KM_FULL, {"km_value": 1, "km_unit": 2, "substrate": 3}, {"substrate": "unknown"})
+    found = match_rows(texts, F.col("_t"), stated_quantity("km", MOLAR_UNITS, of="for"), {"km_value": 1, "km_unit": 2, "substrate": 3}, {"substrate": "unknown"})
     return found.select("ec_number", "uniprot_id", "organism", "substrate", safe("km_value", "double").alias("km_value"),
                         "km_unit").filter(F.col("km_value").isNotNull())
 

@@ -92,9 +92,10 @@ def test_accession_path(spark):
 
 
 def test_optional_regex_group(spark):
-    from tabularium.plans.molecules import KM_FULL
+    from tabularium.plans.molecules import MOLAR_UNITS
+    pattern = text.stated_quantity("km", MOLAR_UNITS, of="for")
     note = "Km=0.15 mM for ethanol (pH 7); KM = 2 µM; km=1.2.3 nM for x, done"
-    got = one(spark, (note,), "s string", text.match_structs(F.col("s"), KM_FULL, {"v": 1, "u": 2, "s": 3}, {"s": "unknown"}))[0]
+    got = one(spark, (note,), "s string", text.match_structs(F.col("s"), pattern, {"v": 1, "u": 2, "s": 3}, {"s": "unknown"}))[0]
     # The first value is followed by a bracket, which the pattern does not end on.
     assert [tuple(g) for g in got] == [("2", "µM", "unknown"), ("1.2.3", "nM", "x")]
 
@@ -176,3 +177,10 @@ def test_pivot_and_long_form_of_attributes(spark):
     assert [tuple(r) for r in got] == [(1, "z", "y"), (2, None, None)]
     assert nested.pivot_keys(df, ["id"], "m", "k_", ["b"]).columns == ["id", "k_b"]
     assert sorted(tuple(r) for r in nested.attribute_rows(df, ["id"], "m").collect()) == [(1, "a", "z"), (1, "b", "y")]
+
+
+def test_link_header_grammar(spark):
+    link = lambda h: one(spark, (h,), "s string", text.next_link(F.col("s")))[0]
+    assert link('<https://x/1,2>; title="a"; rel=next, <https://x/0>; rel="prev"') == "https://x/1,2"
+    assert link('<https://x/0>; rel="prev", <https://x/2>; REL="last next"') == "https://x/2"
+    assert link('<https://x/0>; rel="nextish"') is None and link("") is None and link(None) is None

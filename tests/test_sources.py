@@ -149,3 +149,9 @@ def test_every_text_table_reads_an_empty_folder_of_lines(spark, tmp_path):
     (tmp_path / "empty.txt").write_text("")
     for table in (t for t in vars(files).values() if isinstance(t, files.TextTable)):
         assert table.read(spark, str(tmp_path)).count() == 0, table.name
+
+
+def test_number_sent_as_text(spark):
+    pages = spark.createDataFrame([('{"calls":[{"gene":{"geneId":"g"},"expressionScore":"97.5","rank":"x","condition":{"anatEntityId":"a"}}]}',)], "page string")
+    row = genes.EXPRESSION_CALLS.from_pages(pages).first()
+    assert (row["gene_id"], row["expression_score"], row["expression_rank"]) == ("g", 97.5, None)
