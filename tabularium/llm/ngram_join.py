@@ -9,8 +9,10 @@
 4. The remaining pairs of a group are made only between nodes that are not connected yet, again behind the length and
    positional filters, and each is verified once. So all links between classes are found, and copies are not expanded.
 
-Verification groups pairs by pivot, salted by the partner, and holds one pivot's set at a time. A suffix filter (overlap
-bounded by the counts in slices of the hash range) stands before the count of common shingles.
+Before texts are fetched for a pair, a suffix filter bounds what the sets can have in common: a signature holds, per slice of
+the hashes, whether the number of shingles is odd, and each slice where two signatures differ is a shingle that only one has.
+It has about as many bits as the set has shingles and never drops a similar pair. Verification groups pairs by pivot, salted
+by the partner, and holds one pivot's set at a time.
 """
 
 from __future__ import annotations
@@ -54,38 +56,55 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -((-percent * n) // 100) + 1
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """The parities of the slices of a set, by the low bits of its hashes; a power of two of bits, 64 at least."""
+    slices = 1 << max(6, (len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(slices - 1)).astype(np.int64), minlength=slices) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def may_be_similar(n: int, a: bytes, m: int, b: bytes, percent: int) -> bool:
+    """Whether two signatures leave it open that sets of n and m reach the similarity."""
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    p, q = 8 * len(a), 8 * len(b)
+    while p > q:
+        p //= 2
+        x = (x >> p) ^ (x & ((1 << p) - 1))
+    while q > p:
+        q //= 2
+        y = (y >> q) ^ (y & ((1 << q) - 1))
+    return (x ^ y).bit_count() <= n + m - 2 * int(least_overlap(n, m, percent))
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets reach the similarity."""
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
     need = least_overlap(len(a), len(b), percent)
-    cuts = a[len(a) // 8::max(1, len(a) // 8)]
-    slices = np.minimum(np.diff(np.r_[0, np.searchsorted(a, cuts), len(a)]), np.diff(np.r_[0, np.searchsorted(b, cuts), len(b)]))
-    if slices.sum() < need:
-        return False
     both = np.concatenate([a, b])
     both.sort()
     return int((both[1:] == both[:-1]).sum()) >= need
 
 
 def survey(documents: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Rows (kind 0: key, set size, node) per document and (kind 1: slot, count) per task."""
+    """Rows (kind 0: key, set size, node, signature) per document and (kind 1: slot, count) per task."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
-            sizes, nodes, used = [], [], [np.empty(0, np.int64)]
+            sizes, nodes, marks, used = [], [], [], [np.empty(0, np.int64)]
             for t in batch.column(1).to_pylist():
                 s = shingle_hashes(t, words)
                 used.append((s >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
                 sizes.append(len(s))
                 nodes.append(digest(s))
+                marks.append(signature(s) if len(s) else None)
             slots += np.bincount(np.concatenate(used), minlength=len(slots))
-            yield pa.RecordBatch.from_pydict({"kind": np.zeros(len(sizes), np.int32), "key": batch.column(0), "n": pa.array(sizes, pa.int64()), "node": pa.array(nodes, pa.int64())})
+            yield pa.RecordBatch.from_pydict({"kind": np.zeros(len(sizes), np.int32), "key": batch.column(0), "n": pa.array(sizes, pa.int64()), "node": pa.array(nodes, pa.int64()), "mark": pa.array(marks, pa.binary())})
         used = np.flatnonzero(slots)
-        yield pa.RecordBatch.from_pydict({"kind": np.ones(len(used), np.int32), "key": pa.array(used, pa.int64()), "n": slots[used], "node": np.zeros(len(used), np.int64)})
+        yield pa.RecordBatch.from_pydict({"kind": np.ones(len(used), np.int32), "key": pa.array(used, pa.int64()), "n": slots[used], "node": np.zeros(len(used), np.int64), "mark": pa.nulls(len(used), pa.binary())})
 
-    return stored(documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(scan, "kind int, key long, n long, node long"), "shingle-sets")
+    return stored(documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(scan, "kind int, key long, n long, node long, mark binary"), "shingle-sets")
 
 
 def prefixes(documents: DataFrame, text: str, slots: np.ndarray, words: int, percent: int) -> DataFrame:
@@ -222,12 +241,27 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], key
         yield ready()
 
 
+def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the suffix filter lets pass; nodes: node, n, mark and others."""
+    sides = pairs
+    for side in ("a", "b"):
+        sides = sides.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n"), F.col("mark").alias(f"{side}_mark")), side)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(2, 6)]
+            keep = [may_be_similar(n, x, m, y, percent) for n, x, m, y in zip(*columns, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return sides.select("a", "b", "a_n", "a_mark", "b_n", "b_mark").mapInArrow(scan, "a long, b long")
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that reach the similarity; nodes: (node, key of one document that has the set)."""
     salted = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(SALTS)).alias("salt"))
     wanted = (salted.select(F.col("a").alias("node"), "b", "salt", F.lit(1).alias("role"))
               .union(salted.select(F.col("b").alias("node"), "b", "salt", F.lit(0).alias("role")).distinct()))
-    wanted = wanted.join(nodes, "node").select(F.col("low").alias("__key"), "node", "b", "salt", "role")
+    wanted = wanted.join(nodes.select("node", "low"), "node").select(F.col("low").alias("__key"), "node", "b", "salt", "role")
     texts = documents.select(F.col(key).cast("long").alias("__own"), F.col(text).alias("text"))
     dealt = (texts.join(wanted, F.col("__own").eqNullSafe(F.col("__key"))).select("b", "salt", "role", "node", "text")
              .repartition("b", "salt").sortWithinPartitions("b", "salt", "role"))
@@ -271,19 +305,19 @@ def jaccard_components(df: DataFrame, key: str, text: str, words: int = 5, perce
     slots = np.zeros(1 << SLOT_BITS, np.int64)
     for r in both.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).collect():
         slots[r["key"]] = r["n"]
-    nodes = sets.where("n > 0").groupBy("node").agg(F.min("key").alias("low"))
+    nodes = stored(both.where("kind = 0 AND n > 0").groupBy("node").agg(F.min("key").alias("low"), F.max("n").alias("n"), F.max("mark").alias("mark")), "shingle-nodes")
     rows = stored(_with_pivots(prefixes(df, text, slots, words, percent), percent), "prefix-rows")
     heads = rows.select("shingle", F.col("pivot").alias("node"), F.col("pivot_n").alias("n"), F.col("pivot_place").alias("place"))
     first = rows.where("ok").groupBy(F.col("node").alias("a")).agg(F.min("pivot").alias("b"))
-    first = stored(first, "first-pairs")
+    first = stored(plausible(first, nodes, percent), "first-pairs")
     links = stored(verified(first, nodes, df, key, text, words, percent), "first-links")
     parts = connected(links, "a", "b")
     every = rows.select("shingle", "node", "n", "place").union(heads.distinct())
     open_rows = every.join(parts, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"), "node", "n", "place")
     rest = _across(open_rows, percent).join(first, ["a", "b"], "left_anti")
-    links = links.union(verified(stored(rest, "rest-pairs"), nodes, df, key, text, words, percent))
+    links = links.union(verified(stored(plausible(rest, nodes, percent), "rest-pairs"), nodes, df, key, text, words, percent))
     parts = connected(links, "a", "b")
-    named = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = nodes.select("node", "low").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = named.join(named.groupBy("component").agg(F.min("low").alias("component_id")), "component").select("node", "component_id")
     with_set = sets.where("n > 0").join(named, "node").select("key", "n", "component_id")
     empty = sets.where("n = 0").select("key", "n", F.col("key").alias("component_id"))

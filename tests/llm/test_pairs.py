@@ -98,12 +98,14 @@ def test_jaccard_query_and_odd_rows(spark):
 
 def test_filters_keep_similar_pairs():
     rng = np.random.default_rng(2)
-    for _ in range(300):
-        base = rng.integers(0, 1 << 60, rng.integers(1, 60), dtype=np.uint64)
+    for _ in range(600):
+        base = rng.integers(0, 1 << 60, rng.integers(1, 300), dtype=np.uint64)
         other = np.concatenate([base[rng.random(len(base)) < 0.9], rng.integers(0, 1 << 60, rng.integers(0, 4), dtype=np.uint64)])
         a, b = np.unique(base), np.unique(other)
         both = len(np.intersect1d(a, b))
         assert ngram_join.similar(a, b, 80) == (len(b) > 0 and 100 * both >= 80 * (len(a) + len(b) - both))
+        if ngram_join.similar(a, b, 80):
+            assert ngram_join.may_be_similar(len(a), ngram_join.signature(a), len(b), ngram_join.signature(b), 80)
         assert ngram_join.least_overlap(len(a), len(b), 80) == next(o for o in range(999) if 100 * o >= 80 * (len(a) + len(b) - o))
 
 
