@@ -8,8 +8,9 @@ in 137.
    reach). An anchor whose context occurs again is covered as far as its context goes; equal contexts are one leaf from here.
 2. Anchors that share the K bytes but not the context are leaves of two sorted arrays, of what follows and of what precedes.
    A stack scan of the common prefix lengths of neighbours visits the interval tree; the stack at a leaf holds the depths of
-   the intervals that contain it. Arrays are range-partitioned, so one K-gram may fill many tasks; what a partition needs of
-   its neighbours is the stack at their border, at most L numbers.
+   the intervals that contain it. All leaves of a K-gram meet in one task, unless there are more than LEAVES of them: the
+   arrays of such K-grams are range-partitioned, and what a partition needs of its neighbours is the stack at their border,
+   at most L numbers.
 3. An interval of depth d to the right is a repeat of L bytes for those of its leaves that agree on L - d bytes to the left
    (and the mirror of it). That is the test of left extensions: leaves of one interval are grouped by the bytes before them,
    and groups with two occurrences or more are repeats, with all of their occurrences. Leftmost and rightmost such window
@@ -34,7 +35,7 @@ from tabularium.session import cut_lineage, stored
 
 #: Bytes hashed at once; longer texts go in overlapping pieces, so memory does not grow with the text.
 PIECE = 1 << 20
-#: Leaves in a partition of a sorted array.
+#: Leaves of a seed that a task takes at most, and leaves in a partition of the arrays of larger seeds.
 LEAVES = 10_000
 
 
@@ -224,15 +225,78 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> tuple[list[int], list[bytes],
     return seeds, strings, part
 
 
+def _all_depths(seeds: list[int], strings: list[bytes], width: int) -> list[set[int]]:
+    """The depths of the intervals of each leaf, for leaves in any order whose seeds are complete."""
+    order = sorted(range(len(seeds)), key=lambda i: (seeds[i], strings[i]))
+    common = _neighbours([seeds[i] for i in order], [strings[i] for i in order], width)
+    out: list[set[int]] = [set() for _ in seeds]
+    for i, depths in zip(order, depths_on_the_left(common, []), strict=True):
+        out[i].update(depths)
+    for i, depths in zip(order[::-1], depths_on_the_left([-1, *common[:0:-1]], []), strict=True):
+        out[i].update(depths)
+    return out
+
+
+def _spans_of_seeds(rows: list[tuple], length: int) -> list[tuple]:
+    """(key, version, start, stop) that the repeats of whole seeds cover; rows: seed, key, version, place, copies, before, after."""
+    rows = list({r[:4]: r for r in rows}.values())
+    seeds = [r[0] for r in rows]
+    reach = length - (1 << _seed_bits(length))
+    forward = _all_depths(seeds, [r[6] for r in rows], length)
+    backward = _all_depths(seeds, [r[5] for r in rows], reach)
+    found: dict[tuple, int] = {}
+    mine: list[list[tuple]] = []
+    for (seed, _, _, _, copies, before, after), ahead, back in zip(rows, forward, backward, strict=True):
+        shifts = [s for s in {*(length - d for d in ahead), *back} if s <= len(before) and length - s <= len(after)]
+        windows = [(seed, s, hashlib.blake2b(before[:s][::-1] + after[:length - s], digest_size=16).digest()) for s in shifts]
+        mine.append(windows)
+        for w in windows:
+            found[w] = found.get(w, 0) + copies
+    out = []
+    for (_, key, version, place, copies, _, _), windows in zip(rows, mine, strict=True):
+        shared = [w[1] for w in windows if found[w] > 1] if copies == 1 else []
+        if shared:
+            out.append((key, version, place - max(shared), place - min(shared) + length))
+    return out
+
+
+def seed_spans(leaves: DataFrame, length: int) -> DataFrame:
+    """(key, version, start, stop) of the repeats of seeds with few leaves; each seed is dealt with in one task."""
+    kind = dict(leaves.dtypes)["key"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        schema = None
+
+        def spans(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*_spans_of_seeds(rows, length), strict=True)) or [()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], schema.field(1).type), pa.array(columns[1], pa.int64()),
+                                               pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32())], ["key", "version", "start", "stop"])
+
+        for batch in batches:
+            schema = batch.schema
+            held += zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True)
+            if len(held) > LEAVES:
+                cut = next((i for i in range(len(held) - 1, -1, -1) if held[i][0] != held[-1][0]), -1) + 1
+                if cut:
+                    yield spans(held[:cut])
+                    held = held[cut:]
+        if held:
+            yield spans(held)
+
+    dealt = leaves.select("seed", "key", "version", "place", "copies", "before", "after").repartition("seed").sortWithinPartitions("seed")
+    return dealt.mapInArrow(scan, f"key {kind}, version long, start int, stop int")
+
+
 def repeat_groups(leaves: DataFrame, length: int) -> DataFrame:
-    """(seed, shift, repeat, key, version, place, copies): the repeats of length bytes that begin shift before an anchor.
+    """(shift, repeat, seed, key, version, place, copies): the repeats of length bytes that begin shift before an anchor.
 
     leaves: seed, key, version, place, copies, before (reversed), after. Rows with the same seed, shift and repeat are the
     occurrences of one string; a leaf that stands for several equal contexts counts as so many.
     """
     n = leaves.count()
     if not n:
-        return leaves.select("seed", F.lit(0).alias("shift"), F.lit(b"").alias("repeat"), "key", "version", "place", "copies")
+        return leaves.select(F.lit(0).alias("shift"), F.lit(b"").alias("repeat"), "seed", "key", "version", "place", "copies")
     parts = max(1, -(-n // LEAVES))
     out = None
     for side, width in (("after", length), ("before", length - (1 << _seed_bits(length)))):
@@ -288,14 +352,16 @@ def repeated_spans(df: DataFrame, key: str, text: str, length: int = 400) -> Dat
     span = lambda a, b: F.struct(a.cast("int").alias("start"), b.cast("int").alias("stop"))
     place = F.col("place")
     covered = found.join(again, ["seed", "context"], "left_semi").select("key", "version", span(F.greatest(place - reach, F.lit(0)), place + length).alias("span"))
-    mixed = leaves.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
-    mixed = leaves.join(mixed, "seed", "left_semi").groupBy("key", "version").agg(F.collect_list(F.struct("seed", "place", "copies")).alias("some"))
+    mixed = stored(leaves.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "seeds")
+    large = mixed.where(F.col("n") > LEAVES).limit(1).count() > 0
+    mixed = leaves.join(mixed, "seed").groupBy("key", "version").agg(
+        F.collect_list(F.struct("seed", "place", "copies", (F.col("n") > LEAVES).alias("large"))).alias("some"))
     same = lambda a: (F.col("key").eqNullSafe(F.col(f"{a}_key"))) & (F.col("version") == F.col(f"{a}_version"))
     texts = rows.join(mixed.select(F.col("key").alias("m_key"), F.col("version").alias("m_version"), "some"), same("m"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, seed, at, copies, before, after = [], [], [], [], [], []
+            row, seed, at, copies, large_, before, after = [], [], [], [], [], [], []
             for i, (text_, some) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 data = (text_ or "").encode("utf-8", "replace")
                 for x in some:
@@ -304,19 +370,24 @@ def repeated_spans(df: DataFrame, key: str, text: str, length: int = 400) -> Dat
                     seed.append(x["seed"])
                     at.append(p)
                     copies.append(x["copies"])
+                    large_.append(x["large"])
                     before.append(data[max(0, p - reach):p][::-1])
                     after.append(data[p:p + length])
             taken = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_pydict({
                 "seed": pa.array(seed, pa.int64()), "key": batch.column(0).take(taken), "version": batch.column(1).take(taken), "place": pa.array(at, pa.int32()),
-                "copies": pa.array(copies, pa.int64()), "before": pa.array(before, pa.binary()), "after": pa.array(after, pa.binary())})
+                "copies": pa.array(copies, pa.int64()), "large": pa.array(large_, pa.bool_()), "before": pa.array(before, pa.binary()), "after": pa.array(after, pa.binary())})
 
     kind = dict(rows.dtypes)["key"]
-    strings = texts.select("key", "version", "text", "some").mapInArrow(cut, f"seed long, key {kind}, version long, place int, copies long, before binary, after binary")
-    strings = stored(strings, "anchor-strings")
-    groups = repeat_groups(strings, length)
-    edges = (groups.where("copies = 1").groupBy("key", "version", "place").agg(F.max("shift").alias("most"), F.min("shift").alias("least"))
-             .select("key", "version", span(place - F.col("most"), place - F.col("least") + length).alias("span")))
+    strings = texts.select("key", "version", "text", "some").mapInArrow(
+        cut, f"seed long, key {kind}, version long, place int, copies long, large boolean, before binary, after binary")
+    if large:
+        strings = stored(strings, "anchor-strings")
+    edges = seed_spans(strings.where("NOT large"), length).select("key", "version", F.struct("start", "stop").alias("span"))
+    if large:
+        groups = repeat_groups(strings.where("large").drop("large"), length)
+        most = groups.where("copies = 1").groupBy("key", "version", "place").agg(F.max("shift").alias("most"), F.min("shift").alias("least"))
+        edges = edges.union(most.select("key", "version", span(place - F.col("most"), place - F.col("least") + length).alias("span")))
     return covered.union(edges).groupBy("key", "version").agg(F.collect_set("span").alias("spans"))
 
 
