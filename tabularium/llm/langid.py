@@ -25,7 +25,7 @@ BUCKET_BITS, DIMENSIONS, ORDERS = 15, 16, (2, 3)
 #: Training documents per language (in expectation), and the share of them kept for calibration.
 SAMPLE, CALIBRATION = 1000, 0.2
 #: The confidence below which a text is rejected is at most this, and rejects at most such a share of right calibration texts.
-CEILING, LOSS = 0.5, 0.001
+CEILING, LOSS = 0.4, 0.001
 _LETTER: np.ndarray | None = None
 
 
@@ -85,7 +85,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def train(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 2.0, seed: int = 7) -> LanguageModel:
+def train(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 1.0, seed: int = 7) -> LanguageModel:
     """Fit by stochastic gradient descent, one text a step; then calibrate on texts that were kept apart."""
     languages = sorted(set(labels))
     if not languages:
@@ -106,9 +106,11 @@ def train(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 2.
             error[y] -= 1
             step = rate * (1 - (epoch + at / max(1, len(fit))) / epochs)
             back = w @ error
+            back /= max(1.0, float(np.linalg.norm(back)))
             w -= step * np.outer(hidden, error)
             bias -= 0.1 * step * error
-            e[ids] -= np.outer(step * share * min(50.0, len(ids)), back)
+            # Scaled by the shares, so that a step moves the average by the same length for short and long texts.
+            e[ids] -= np.outer(0.1 * step * share / (share @ share), back)
     model = LanguageModel(languages, (e @ w).astype(np.float32), bias)
     _calibrate(model, [data[i] for i in held])
     return model

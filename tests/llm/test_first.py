@@ -142,6 +142,16 @@ def test_language_accuracy_and_rejection(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_training_settles_on_a_large_sample(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.learn(documents)
+    assert abs(model.table).max() < 1000 and 0 < model.threshold <= langid.CEILING
+    rows = documents.where(langid.held_out(F.col("doc_id"))).select("text", "lang").collect()
+    said = [(*model.predict(r.text), r.lang) for r in rows]
+    assert sum(a == b for a, _, b in said) >= 0.97 * len(said)
+    assert sum(p < model.threshold for _, p, _ in said) <= 0.002 * len(said)
+
+
 def test_language_of_odd_texts(spark):
     model = langid.train(["the and of"] * 20 + ["der und die"] * 20, ["en"] * 20 + ["de"] * 20)
     df = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (3, "123 $$ ½", "c"), (4, "the of", "d"), (5, "the of" * 9999, "e")], "doc_id long, text string, score string")
