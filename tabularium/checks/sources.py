@@ -127,8 +127,10 @@ def _(spark, d):
     return null_tokens(table(spark, d, "part").select("p_partkey", name.alias("p_name"), "p_brand"), ["", "NA", "N/A", "-"])
 
 
-@check("s6_annotation_file", """
-SELECT 'DB' AS db, 'O' || p_partkey AS db_object_id, p_name AS db_object_symbol, p_brand AS go_id, 'IEA' AS evidence_code, '2023' AS date FROM part""")
+ANNOTATION_SQL = {"db": "'DB'", "db_object_id": "'O' || p_partkey", "db_object_symbol": "p_name", "go_id": "p_brand", "evidence_code": "'IEA'", "date": "'2023'"}
+
+
+@check("s6_annotation_file", f"SELECT {', '.join(f'{ANNOTATION_SQL.get(n, 'NULL::VARCHAR')} AS {n}' for n in delimited.GAF_COLUMNS)} FROM part")
 def _(spark, d):
     path = fresh_path(spark, "gaf")
     fields = {"db": F.lit("DB"), "db_object_id": F.concat(F.lit("O"), F.col("p_partkey").cast("string")), "db_object_symbol": F.col("p_name"),
@@ -136,7 +138,7 @@ def _(spark, d):
     line = F.concat_ws("\t", *[fields.get(c, F.lit("")) for c in delimited.GAF_COLUMNS])
     lines = F.when(F.col("p_size") > 45, F.array(F.lit("!comment\twith tab"), line)).otherwise(F.array(line))
     table(spark, d, "part").select(F.explode(lines).alias("value")).write.option("compression", "gzip").text(path)
-    return delimited.read_annotations(spark, path).select(*fields)
+    return delimited.read_annotations(spark, path)
 
 
 def zip_members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -277,7 +279,8 @@ def _(spark, d):
 @check("s17_acquisition_xml", """
 SELECT p_partkey, CASE WHEN p_size > 25 THEN 2 ELSE 1 END AS n_channels, 'DAPI (405)' || CASE WHEN p_size > 25 THEN ' | ' || p_brand ELSE '' END AS channels,
        round(p_size * 1e-7 * 1e6, 4) AS px_um_x, CASE WHEN p_size > 40 THEN 2.0 END::DOUBLE AS px_um_z,
-       TIMESTAMP '2020-01-01 10:30:15.123456' + INTERVAL 1 DAY * p_size AS created, p_type AS objective, CASE WHEN p_type = 'SMALL' THEN NULL ELSE '20' END AS magnification FROM part""")
+       TIMESTAMP '2020-01-01 10:30:15.123456' + INTERVAL 1 DAY * p_size AS created, p_type AS objective, CASE WHEN p_type = 'SMALL' THEN NULL ELSE '20' END AS magnification,
+       NULL::DOUBLE AS px_um_y, NULL::VARCHAR AS na, NULL::VARCHAR AS error FROM part""")
 def _(spark, d):
     size = F.col("p_size")
     dist = lambda a, v: F.concat(F.lit(f'<Distance Id="{a}"><Value>'), v, F.lit("</Value></Distance>"))
@@ -293,7 +296,7 @@ def _(spark, d):
                                        tag("Instrument", tag("Objectives", objective))))
     doc = tag("ImageDocument", tag("Metadata", F.concat(scaling, info)))
     df = table(spark, d, "part").select("p_partkey", doc.alias("doc"))
-    return xmlsrc.select_acquisition(df, "doc", keep=["p_partkey"]).drop("px_um_y", "na", "error")
+    return xmlsrc.select_acquisition(df, "doc", keep=["p_partkey"])
 
 
 # Handling days per order priority.

@@ -608,13 +608,12 @@ def _(spark, d):
     return files.INTERACTIONS.from_lines(lines(table(spark, d, "lineitem"), "\t", F.concat(lit("uniprotkb:P"), text_of("l_partkey")), b, *[lit("-")] * 12, c("l_tax")), "value")
 
 
-@check("table_annotations", "SELECT p_type AS aspect, count(*) AS n, count(DISTINCT p_brand) AS n_terms FROM part GROUP BY 1")
+@check("table_annotations", f"SELECT {', '.join({'aspect': 'p_type', 'go_id': 'p_brand', 'db_object_id': 'p_partkey::VARCHAR'}.get(n, "'x'") + f' AS {n}' for n in files.GAF_COLUMNS)} FROM part")
 def _(spark, d):
     values = {"aspect": c("p_type"), "go_id": c("p_brand"), "db_object_id": c("p_partkey")}
     raw = lines(table(spark, d, "part"), "\t", *[values.get(n, lit("x")) for n in files.GAF_COLUMNS])
     both = raw.select(F.explode(array(lit("! a comment"), c("value"))).alias("value"))
-    rows = files.ANNOTATIONS.from_lines(both, "value")
-    return rows.groupBy("aspect").agg(F.count("*").alias("n"), F.count_distinct("go_id").alias("n_terms"))
+    return files.ANNOTATIONS.from_lines(both, "value")
 
 
 @check("table_fission_genes", """
@@ -634,11 +633,10 @@ def _(spark, d):
 
 
 @check("table_protein_overview", """
-SELECT p_name AS "Gene", NULL::VARCHAR AS "Gene synonym", p_brand AS "Ensembl", CASE WHEN p_size = 13 THEN NULL ELSE p_type END AS "Uniprot", '1' AS "Chromosome" FROM part""")
+SELECT p_name AS "Gene", NULL::VARCHAR AS "Gene synonym", p_brand AS "Ensembl", CASE WHEN p_size = 13 THEN NULL ELSE p_type END AS "Uniprot", '1' AS "Chromosome", NULL::VARCHAR AS "Position", NULL::VARCHAR AS "Protein class", 'e' AS "Evidence" FROM part""")
 def _(spark, d):
     raw = lines(table(spark, d, "part"), "\t", c("p_name"), lit("N/A"), c("p_brand"), when(c("p_size") == 13, lit("-")).otherwise(c("p_type")), lit("1"), lit("NA"), lit(""), lit("e"))
-    rows = files.PROTEIN_OVERVIEW.from_lines(raw, "value")
-    return rows.select(rows.columns[:5])
+    return files.PROTEIN_OVERVIEW.from_lines(raw, "value")
 
 
 @check("table_taxon_names", """
