@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabularium.operators.indexing import running_total
+
 # The approximate ranks below are good to 1/ACCURACY of the group; the bracket is wider.
 ACCURACY = 20_000
 MARGIN = 4.0 / ACCURACY
@@ -59,8 +61,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
               .filter(F.col("_at").isNotNull()).groupBy(*keys, "_n", "_at", "_in").agg(F.count("*").alias("_c")))
 
     # A lump sorts just before the bracket it lies below (false sorts before true).
-    order = Window.partitionBy(*keys).orderBy("_at", "_in").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("_upto", F.sum("_c").over(order))
+    ranked = running_total(counts, keys, ["_at", "_in"], "_c", "_upto")
 
     def at(rank: Column) -> Column:
         hit = F.col("_in") & (F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank)

@@ -162,3 +162,23 @@ def test_nulls_empty_tables_and_types(spark):
     keyed = spark.createDataFrame([(None, 1, [1, 2]), (None, 1, []), ("k", None, None)], "k string, a int, b array<int>")
     rolled = {r["k"]: (r["x"], r["y"]) for r in aggregate.entity_rollup(keyed, "k", {"x": F.col("a"), "y": F.col("b")}).collect()}
     assert rolled == {None: (1, 2), "k": (0, 0)}
+
+
+def test_running_total_of_hot_and_null_keys(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, "a", "a", "a", "b"]), i, rng.randrange(9)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, o int, v bigint").repartition(7)
+    got = {(r["k"], r["o"]): r["t"] for r in indexing.running_total(df, ["k"], ["o"], "v", "t").collect()}
+    total = {}
+    for k, o, v in rows:
+        total[k] = total.get(k, 0) + v
+        assert got[k, o] == total[k]
+    text = indexing.running_total(df, ["k"], ["o"], "v", "t")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" not in text.split("Exchange")[1]
+
+
+def test_quantile_plan_has_no_window_per_group(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    text = quantiles.stretch(df, "v", ["g"], 0.1, 0.9, "s")._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(_part" in text
+    assert "windowspecdefinition(g#" not in text or "_share" in text
