@@ -317,6 +317,16 @@ def _(spark, d):
     return source_counts(rows, "c_mktsegment").withColumnsRenamed({"c_mktsegment": "division", "n_rows": "species_count"})
 
 
+@check("table_expression_calls_asked", """
+SELECT CASE WHEN p_size > 25 THEN 'G' || p_partkey ELSE 'asked ' || p_partkey END AS gene_id, '' AS gene_name, p_type AS anatomical_entity_id, '' AS anatomical_entity_name,
+  97.5::DOUBLE AS expression_score, NULL::DOUBLE AS expression_rank, 'EXPRESSED' AS call_type FROM part""")
+def _(spark, d):
+    gene = when(c("p_size") > 25, obj(geneId=F.concat(lit("G"), text_of("p_partkey"))))
+    call = F.to_json(obj(gene=gene, condition=obj(anatEntityId=c("p_type")), expressionScore=lit("97.5"), callType=lit("EXPRESSED")))
+    pages = table(spark, d, "part").select(F.concat(lit("asked "), text_of("p_partkey")).alias("wanted"), F.concat(lit('{"calls":['), call, lit("]}")).alias("page"))
+    return genes.expression_calls(pages, "wanted")
+
+
 @check("table_expression_calls", """
 SELECT 'G' || p_partkey AS gene_id, CASE WHEN p_size > 25 THEN p_name ELSE '' END AS gene_name, CASE WHEN p_size > 25 THEN p_brand ELSE p_type END AS anatomical_entity_id,
   CASE WHEN p_size > 25 THEN '' ELSE 'n' END AS anatomical_entity_name, CASE WHEN p_size > 25 THEN p_retailprice ELSE 7.0 END AS expression_score, NULL::DOUBLE AS expression_rank, 'EXPRESSED' AS call_type FROM part""")

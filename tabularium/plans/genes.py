@@ -131,6 +131,13 @@ EXPRESSION_CALLS = JsonTable(
     _expression_call, ("data.expressionCalls", "expressionCalls", "data", "calls", "$"))
 
 
+def expression_calls(df: DataFrame, gene_id: str, page: str = "page", keep: Sequence[str] = ()) -> DataFrame:
+    """Calls of pages that were asked for by gene: a call that names no gene has the one asked for, in column ``gene_id``."""
+    asked = df.withColumn("_asked", F.col(gene_id).cast("string"))
+    rows = EXPRESSION_CALLS.from_pages(asked, page, keep=[*keep, "_asked"])
+    return rows.withColumn("gene_id", F.coalesce(F.nullif("gene_id", F.lit("")), "_asked")).drop("_asked")
+
+
 def _strain(r: Column, _: Column) -> dict[str, Column]:
     """Sections hold one block or a list of blocks; the first block is read."""
     def block(section: str, name: str, fields: str) -> Column:
