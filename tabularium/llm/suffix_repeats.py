@@ -35,8 +35,8 @@ from tabularium.session import cut_lineage, stored
 
 #: Bytes hashed at once; longer texts go in overlapping pieces, so memory does not grow with the text.
 PIECE = 1 << 20
-#: Leaves of a seed that a task takes at most, and leaves in a partition of the arrays of larger seeds.
-LEAVES = 10_000
+#: Leaves of a seed that a task takes at most (about a kilobyte each), and leaves in a partition of the arrays of larger seeds.
+LEAVES, PART_LEAVES = 50_000, 10_000
 
 
 def _seed_bits(length: int) -> int:
@@ -225,35 +225,51 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> tuple[list[int], list[bytes],
     return seeds, strings, part
 
 
-def _all_depths(seeds: list[int], strings: list[bytes], width: int) -> list[set[int]]:
-    """The depths of the intervals of each leaf, for leaves in any order whose seeds are complete."""
+def _sorted_by(seeds: list[int], strings: list[bytes], width: int) -> tuple[list[int], list[int], np.ndarray]:
+    """The order of the leaves in a sorted array, the common prefixes of neighbours there, and the longest of each leaf."""
     order = sorted(range(len(seeds)), key=lambda i: (seeds[i], strings[i]))
     common = _neighbours([seeds[i] for i in order], [strings[i] for i in order], width)
-    out: list[set[int]] = [set() for _ in seeds]
-    for i, depths in zip(order, depths_on_the_left(common, []), strict=True):
-        out[i].update(depths)
-    for i, depths in zip(order[::-1], depths_on_the_left([-1, *common[:0:-1]], []), strict=True):
-        out[i].update(depths)
-    return out
+    longest = np.empty(len(seeds), np.int64)
+    longest[order] = np.maximum(common, [*common[1:], -1])
+    return order, common, longest
+
+
+def _depths_from(order: list[int], common: list[int], least: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(leaf, depth) for the intervals of each leaf that are at least so deep."""
+    for some, along in ((order, common), (order[::-1], [-1, *common[:0:-1]])):
+        for i, stack in zip(some, depths_on_the_left(along, []), strict=True):
+            for d in reversed(stack):
+                if d < least[i]:
+                    break
+                yield i, d
 
 
 def _spans_of_seeds(rows: list[tuple], length: int) -> list[tuple]:
-    """(key, version, start, stop) that the repeats of whole seeds cover; rows: seed, key, version, place, copies, before, after."""
+    """(key, version, start, stop) that the repeats of whole seeds cover; rows: seed, key, version, place, copies, before, after.
+
+    A leaf agrees with no other on more bytes ahead, or back, than with its neighbour in that array; only intervals that
+    reach length together with that are looked at.
+    """
     rows = list({r[:4]: r for r in rows}.values())
     seeds = [r[0] for r in rows]
-    reach = length - (1 << _seed_bits(length))
-    forward = _all_depths(seeds, [r[6] for r in rows], length)
-    backward = _all_depths(seeds, [r[5] for r in rows], reach)
+    ahead, common_ahead, far = _sorted_by(seeds, [r[6] for r in rows], length)
+    back, common_back, near = _sorted_by(seeds, [r[5] for r in rows], length - (1 << _seed_bits(length)))
+    shifts: dict[int, set[int]] = {}
+    for i, d in _depths_from(ahead, common_ahead, np.where(near >= 0, length - near, length + 1)):
+        shifts.setdefault(i, set()).add(length - d)
+    for i, d in _depths_from(back, common_back, np.where(far >= 0, length - far, length + 1)):
+        shifts.setdefault(i, set()).add(d)
     found: dict[tuple, int] = {}
-    mine: list[list[tuple]] = []
-    for (seed, _, _, _, copies, before, after), ahead, back in zip(rows, forward, backward, strict=True):
-        shifts = [s for s in {*(length - d for d in ahead), *back} if s <= len(before) and length - s <= len(after)]
-        windows = [(seed, s, hashlib.blake2b(before[:s][::-1] + after[:length - s], digest_size=16).digest()) for s in shifts]
-        mine.append(windows)
-        for w in windows:
+    mine: dict[int, list[tuple]] = {}
+    for i, some in shifts.items():
+        seed, _, _, _, copies, before, after = rows[i]
+        mine[i] = [(seed, s, hashlib.blake2b(before[:s][::-1] + after[:length - s], digest_size=16).digest())
+                   for s in some if s <= len(before) and length - s <= len(after)]
+        for w in mine[i]:
             found[w] = found.get(w, 0) + copies
     out = []
-    for (_, key, version, place, copies, _, _), windows in zip(rows, mine, strict=True):
+    for i, windows in mine.items():
+        _, key, version, place, copies, _, _ = rows[i]
         shared = [w[1] for w in windows if found[w] > 1] if copies == 1 else []
         if shared:
             out.append((key, version, place - max(shared), place - min(shared) + length))
@@ -276,7 +292,7 @@ def seed_spans(leaves: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             schema = batch.schema
             held += zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True)
-            if len(held) > LEAVES:
+            if len(held) > PART_LEAVES:
                 cut = next((i for i in range(len(held) - 1, -1, -1) if held[i][0] != held[-1][0]), -1) + 1
                 if cut:
                     yield spans(held[:cut])
@@ -297,7 +313,7 @@ def repeat_groups(leaves: DataFrame, length: int) -> DataFrame:
     n = leaves.count()
     if not n:
         return leaves.select(F.lit(0).alias("shift"), F.lit(b"").alias("repeat"), "seed", "key", "version", "place", "copies")
-    parts = max(1, -(-n // LEAVES))
+    parts = max(1, -(-n // PART_LEAVES))
     out = None
     for side, width in (("after", length), ("before", length - (1 << _seed_bits(length)))):
         other = "before" if side == "after" else "after"
@@ -345,19 +361,23 @@ def repeated_spans(df: DataFrame, key: str, text: str, length: int = 400) -> Dat
     reach = length - (1 << _seed_bits(length))
     rows = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
     found = stored(scan_anchors(rows, length), "anchors")
-    leaves = found.groupBy("seed", "context").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("key").alias("key"), F.first("version").alias("version"), F.first("place").alias("place"))
-    leaves = stored(leaves, "anchor-leaves")
-    again = leaves.where("copies > 1").select("seed", "context")
+    seeds = (found.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
+             .where("n > 1").select("seed", (F.col("low") != F.col("high")).alias("mixed")))
+    found = stored(found.join(seeds, "seed"), "repeated-anchors")
     span = lambda a, b: F.struct(a.cast("int").alias("start"), b.cast("int").alias("stop"))
     place = F.col("place")
-    covered = found.join(again, ["seed", "context"], "left_semi").select("key", "version", span(F.greatest(place - reach, F.lit(0)), place + length).alias("span"))
-    mixed = stored(leaves.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "seeds")
-    large = mixed.where(F.col("n") > LEAVES).limit(1).count() > 0
-    mixed = leaves.join(mixed, "seed").groupBy("key", "version").agg(
+    whole = ["key", "version", span(F.greatest(place - reach, F.lit(0)), place + length).alias("span")]
+    mixed = found.where("mixed")
+    leaves = stored(mixed.groupBy("seed", "context").agg(
+        F.count(F.lit(1)).alias("copies"), F.first("key").alias("key"), F.first("version").alias("version"), F.first("place").alias("place")), "anchor-leaves")
+    again = leaves.where("copies > 1").select("seed", "context")
+    covered = found.where("NOT mixed").select(*whole).union(mixed.join(again, ["seed", "context"], "left_semi").select(*whole))
+    sizes = stored(leaves.groupBy("seed").agg(F.count(F.lit(1)).alias("n")), "seeds")
+    large = sizes.where(F.col("n") > LEAVES).limit(1).count() > 0
+    some = leaves.join(sizes, "seed").groupBy("key", "version").agg(
         F.collect_list(F.struct("seed", "place", "copies", (F.col("n") > LEAVES).alias("large"))).alias("some"))
     same = lambda a: (F.col("key").eqNullSafe(F.col(f"{a}_key"))) & (F.col("version") == F.col(f"{a}_version"))
-    texts = rows.join(mixed.select(F.col("key").alias("m_key"), F.col("version").alias("m_version"), "some"), same("m"))
+    texts = rows.join(some.select(F.col("key").alias("m_key"), F.col("version").alias("m_version"), "some"), same("m"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

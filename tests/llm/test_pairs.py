@@ -137,9 +137,10 @@ def passages(rng, alphabet, length, n):
     return texts
 
 
-@pytest.mark.parametrize(("length", "alphabet"), [(400, "abcdefghij é"), (40, "ab"), (24, "a"), (64, "ab😀")])
-def test_repeats_by_brute_force(spark, monkeypatch, length, alphabet):
-    monkeypatch.setattr(suffix_repeats, "LEAVES", 40)
+@pytest.mark.parametrize(("length", "alphabet", "leaves"), [(400, "abcdefghij é", 40), (40, "ab", 4), (40, "ab", 1000), (24, "a", 40), (64, "ab😀", 100)])
+def test_repeats_by_brute_force(spark, monkeypatch, length, alphabet, leaves):
+    monkeypatch.setattr(suffix_repeats, "LEAVES", leaves)
+    monkeypatch.setattr(suffix_repeats, "PART_LEAVES", 40)
     rng = random.Random(length)
     texts = passages(rng, alphabet, length, 60) + ["", None, "x", "ab" * (2 * length), "q" * length, "r" * (length + 1)]
     texts += texts[:3]
