@@ -12,12 +12,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from tabularium.llm.batches import small_batches
-from tabularium.llm.bpe import Encoder, load_ranks
+from tabularium.llm.bpe import load_ranks
 
 Spans = tuple[np.ndarray, np.ndarray]
 
@@ -71,7 +72,7 @@ def attribute(df: DataFrame, text: str, rank_lines: bytes, pattern: str, section
         lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             lengths[rank] = len(token)
-        encoder = Encoder(ranks, pattern)
+        encoder = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for texts in batches:
             yield pd.Series([_rows(t, encoder, lengths, sectioner) for t in texts], dtype=object)
 
@@ -82,11 +83,11 @@ def attribute(df: DataFrame, text: str, rank_lines: bytes, pattern: str, section
             .select(*kept, "__each.*"))
 
 
-def _rows(text: str | None, encoder: Encoder, lengths: np.ndarray, sectioner: Callable[[str], Spans]) -> list[tuple]:
+def _rows(text: str | None, encoder: tiktoken.Encoding, lengths: np.ndarray, sectioner: Callable[[str], Spans]) -> list[tuple]:
     if not text:
         return []
     starts, ends = sectioner(text)
-    owner, crossing = allocate(token_spans(text, np.frombuffer(encoder.encode(text), "<u4"), lengths), (starts, ends))
+    owner, crossing = allocate(token_spans(text, np.array(encoder.encode_ordinary(text)), lengths), (starts, ends))
     n = np.bincount(owner + 1, minlength=len(starts) + 1)
     x = np.bincount(owner + 1, crossing, minlength=len(starts) + 1).astype(np.int64)
     rows = list(zip(range(len(starts)), starts.tolist(), ends.tolist(), n[1:].tolist(), x[1:].tolist(), strict=True))
