@@ -179,24 +179,24 @@ def _with_pivots(rows: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(scan, "shingle long, part int, node long, n int, place int, pivot long, ok boolean, pivot_n int, pivot_place int"))
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one shingle whose components differ and which the filters let pass; rows: shingle, component, node, n, place.
+def _across(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one shingle whose components differ and which all filters let pass; rows: shingle, component, node, n, place.
 
     Groups of one component are dropped before the shuffle. A large group is cut into blocks by node, and each pair of blocks
     is a group of its own, so what a task holds has a bound.
     """
     spread = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
               .where("least < most").select("shingle", F.ceil(F.col("size") / GROUP).cast("long").alias("blocks")))
-    homes = rows.join(spread, "shingle").withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    dealt = homes.select("shingle", "component", "node", "n", "place", "home", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("shingle", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "home", "component", "node", "n", "place")
+    homes = rows.join(spread, "shingle").join(nodes.select("node", "mark"), "node").withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = homes.select("shingle", "component", "node", "n", "place", "mark", "home", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("shingle", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "home", "component", "node", "n", "place", "mark")
 
-    names = ("shingle", "i", "j", "home", "component", "node", "n", "place")
+    names = ("shingle", "i", "j", "home", "component", "node", "n", "place", "mark")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, stops in _whole_groups(batches, names, 3):
             component, node, home, place = rows["component"], rows["node"], rows["home"], rows["place"]
-            n, crossing = rows["n"].astype(np.int64), rows["i"] != rows["j"]
+            n, crossing, mark = rows["n"].astype(np.int64), rows["i"] != rows["j"], rows["mark"]
             partners = stops - np.arange(len(stops)) - 1
             done = np.concatenate([[0], np.cumsum(partners)])
             begin = 0
@@ -207,6 +207,8 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
                 go = (component[a] != component[b]) & ~(crossing[a] & (home[a] == home[b]))
                 a, b = a[go], b[go]
                 go = _allowed(n[a], place[a], n[b], place[b], percent)
+                a, b = a[go], b[go]
+                go = np.fromiter((may_be_similar(*x, percent) for x in zip(n[a].tolist(), mark[a], n[b].tolist(), mark[b], strict=True)), bool, len(a))
                 a, b = node[a[go]], node[b[go]]
                 if len(a):
                     pair = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
@@ -314,8 +316,8 @@ def jaccard_components(df: DataFrame, key: str, text: str, words: int = 5, perce
     parts = connected(links, "a", "b")
     every = rows.select("shingle", "node", "n", "place").union(heads.distinct())
     open_rows = every.join(parts, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"), "node", "n", "place")
-    rest = _across(open_rows, percent).join(first, ["a", "b"], "left_anti")
-    links = links.union(verified(stored(plausible(rest, nodes, percent), "rest-pairs"), nodes, df, key, text, words, percent))
+    rest = _across(open_rows, nodes, percent).join(first, ["a", "b"], "left_anti")
+    links = links.union(verified(stored(rest, "rest-pairs"), nodes, df, key, text, words, percent))
     parts = connected(links, "a", "b")
     named = nodes.select("node", "low").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = named.join(named.groupBy("component").agg(F.min("low").alias("component_id")), "component").select("node", "component_id")
