@@ -24,11 +24,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest doc_id. Rows that repeat it all stay once."""
-    groups = ngram_join.jaccard_components(docs, "doc_id", "text", words=5, percent=80)
-    gone = (groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("component_id").isNotNull())
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti").select(*COLUMNS)
+    """One row of each group of near copies: that with the smallest doc_id, nulls last; of equal ids, one of them.
+
+    Rows are told apart by a number of their own, so null, shared and repeated ids are decided row by row. A text without
+    words has no copies, and its row stays.
+    """
+    rows = stored(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    groups = ngram_join.jaccard_components(rows, "__row", "text", words=5, percent=80)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
+    kept = (groups.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(F.min(order).alias("first"))
+            .select(F.col("first.__row").alias("__row")))
+    return rows.join(kept, "__row", "left_semi").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

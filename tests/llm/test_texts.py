@@ -207,3 +207,15 @@ def test_stages_on_odd_rows(spark):
     for name, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, df, FOLDER).count() > 0, name
         assert stage(spark, df.limit(0), FOLDER).count() == 0, name
+
+
+def test_near_copies_are_decided_by_row(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    lone, other, nulls = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    rows = [(None, base + " end"), (None, lone), (None, nulls), (None, nulls + " end"), (4, base), (7, base + " tail"), (7, other), (9, other + " end"),
+            (12, lone + " " + other), (12, lone + " " + other), (None, None), (None, "")]
+    df = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.join_near_copies(spark, df, FOLDER).collect()]
+    assert sum(t in (nulls, nulls + " end") for _, t in got) == 1
+    want = [(None, lone), (4, base), (7, other), (12, lone + " " + other), (None, None), (None, "")]
+    assert sorted(map(str, (x for x in got if nulls not in (x[1] or "")))) == sorted(map(str, want))
