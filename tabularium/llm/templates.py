@@ -4,7 +4,8 @@ Numbers, names and units become typed placeholders; what remains is a template.
 items are the hash table of a join; document windows probe it. Hits on one diagonal (document place minus item place) add up
 to the covered part of the item. An item counts as leaked where the coverage is high enough and the slots are consistent: one
 value of the item stands for one value of the document, and the other way round. So a copy with other numbers or names is
-caught as well as a verbatim one.
+caught as well as a verbatim one. Windows with too few literal words for that are compared with their slot values, so they
+only match word for word, and a verbatim copy of an item that is all numbers is found too.
 
 Every text is read twice: with names as placeholders, and without, all in lower case, for texts whose case says nothing.
 """
@@ -25,7 +26,7 @@ from pyspark.sql.pandas.functions import pandas_udf
 from tabularium.llm.batches import small_batches
 from tabularium.llm.hashing import mix
 
-#: Tokens in a window, and the share of them that must be literal words.
+#: Tokens in a window, and the share of them that must be literal words for its slots to be open; below it, values count.
 WINDOW, LITERAL = 8, 0.5
 #: The share of an item's tokens that must be covered on one diagonal.
 COVERAGE = 0.7
@@ -58,7 +59,7 @@ class _Words(dict):
         if len(self) > MEMO:
             self.clear()
         if token[0].isdigit():
-            value = _NUM * 16 + _NUMBER
+            value = self.vocabulary.get(token, -1) * 16 + _NUMBER
         elif token in ".!?":
             value = _STOP
         else:
@@ -68,33 +69,37 @@ class _Words(dict):
         return value
 
 
-def _readings(text: str, words: _Words) -> tuple[list[str], list[np.ndarray], np.ndarray]:
-    """Tokens without stops, their codes with and without names as slots, and the number of each token among all."""
+def _readings(text: str, words: _Words) -> tuple[list[str], np.ndarray, list[np.ndarray], np.ndarray]:
+    """Tokens without stops: all tokens, their own codes, codes with and without names as slots, and the number of each among all."""
     tokens = _TOKEN.findall(text)
     packed = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
     flags = packed & 15
     word = np.flatnonzero((flags & _STOP) == 0)
     first = np.ones(len(tokens), bool)
     first[1:] = (flags[:-1] & _STOP) > 0
-    codes, flags = (packed >> 4)[word], flags[word]
+    own, flags = (packed >> 4)[word], flags[word]
     after_number = np.zeros(len(word), bool)
     after_number[1:] = (flags[:-1] & _NUMBER) > 0
-    plain = np.where(after_number & ((flags & _UNIT) > 0), _UNIT_SLOT, codes)
+    plain = np.where((flags & _NUMBER) > 0, _NUM, np.where(after_number & ((flags & _UNIT) > 0), _UNIT_SLOT, own))
     named = np.where(((flags & _CAPITAL) > 0) & ~first[word] & (plain != _UNIT_SLOT), _NAME, plain)
-    return tokens, [plain, named], word
+    return tokens, own, [plain, named], word
 
 
-def _windows(codes: np.ndarray, size: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows of known tokens, enough of them literal."""
+def _windows(codes: np.ndarray, own: np.ndarray, size: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the windows of known tokens: of their codes with enough of them literal, else of their own codes."""
     if len(codes) < size:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     good = np.concatenate([[0], np.cumsum(codes > _UNIT_SLOT)])
-    bad = np.concatenate([[0], np.cumsum(codes < 0)])
-    at = np.flatnonzero((bad[size:] == bad[:-size]) & (good[size:] - good[:-size] >= LITERAL * size))
-    h = np.full(len(at), np.uint64(size * 2 + reading))
-    for i in range(size):
-        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + codes[at + i].astype(np.uint64))
-    return at, h
+    literal = good[size:] - good[:-size] >= LITERAL * size
+    out = []
+    for kind, (c, here) in enumerate([(codes, literal), (own, ~literal)]):
+        bad = np.concatenate([[0], np.cumsum(c < 0)])
+        at = np.flatnonzero(here & (bad[size:] == bad[:-size]))
+        h = np.full(len(at), np.uint64((size * 2 + reading) * 2 + kind))
+        for i in range(size if len(at) else 0):
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + c[at + i].astype(np.uint64))
+        out.append((at, h))
+    return np.concatenate([out[0][0], out[1][0]]), np.concatenate([out[0][1], out[1][1]])
 
 
 @dataclass
@@ -113,12 +118,12 @@ class TemplateIndex:
         index = cls()
         for _, text in items:
             for token in _TOKEN.findall(text or ""):
-                if token not in ".!?" and not token[0].isdigit():
+                if token not in ".!?":
                     index.vocabulary.setdefault(token.lower(), len(index.vocabulary) + 16)
         words = _Words(index.vocabulary)
         entries: dict[int, list] = defaultdict(list)
         for key, text in items:
-            tokens, codes, word = _readings(text or "", words)
+            tokens, own, codes, word = _readings(text or "", words)
             if not len(word):
                 continue
             number = len(index.keys)
@@ -127,8 +132,13 @@ class TemplateIndex:
             index.codes.append(codes)
             size = min(WINDOW, len(word))
             for reading, c in enumerate(codes):
-                at, h = _windows(c, size, reading)
+                at, h = _windows(c, own, size, reading)
                 entries[size].append((h, np.full(len(h), number), at, np.full(len(h), reading)))
+            if index.values[number][0] in UNITS:
+                # A number may stand before the copy, which makes a slot of its first word.
+                after = np.concatenate([[_UNIT_SLOT], codes[0][1:size]])
+                at, h = _windows(after, own[:size], size, 0)
+                entries[size].append((h, np.full(len(h), number), at, np.zeros(len(h), np.int64)))
         index.sizes = sorted(entries)
         for size in index.sizes:
             h, number, at, reading = (np.concatenate(x) for x in zip(*entries[size], strict=True))
@@ -140,11 +150,11 @@ class TemplateIndex:
         """(item key, covered tokens, item tokens, changed slots, first token, last token) per leaked item."""
         if not text or not self.sizes:
             return []
-        tokens, codes, word = _readings(text, words)
+        tokens, own, codes, word = _readings(text, words)
         hits: dict[tuple, set] = defaultdict(set)
         for size, table in zip(self.sizes, self.tables, strict=True):
             for reading, c in enumerate(codes):
-                at, h = _windows(c, size, reading)
+                at, h = _windows(c, own, size, reading)
                 low, high = np.searchsorted(table["hash"], h, "left"), np.searchsorted(table["hash"], h, "right")
                 for i in np.flatnonzero(low < high):
                     for j in range(low[i], high[i]):
@@ -182,7 +192,8 @@ def find_leaks(df: DataFrame, text: str, benchmark: DataFrame, item: str, item_t
     """df with leaks, the benchmark items that its text holds: key, covered and all tokens, changed slots, first and last word.
 
     A null or empty text has an empty list, and a null or empty item leaks nowhere; items shorter than a window count as one
-    window. Repeated items are reported each, repeated rows have each their list. An empty benchmark leaves all lists empty.
+    window. Windows of fewer than half literal words match word for word only, so an item that is mostly numbers leaks where
+    its words and numbers stand in order, whatever signs are between them. Repeated items are reported each, repeated rows have each their list. An empty benchmark leaves all lists empty.
     A column named leaks is replaced. The item key must be a whole number. The benchmark is read in blocks of bounded size
     (in expectation, by a hash of the items); each block is searched in the same task, one after the other.
     """

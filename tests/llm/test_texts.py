@@ -219,3 +219,10 @@ def test_near_copies_are_decided_by_row(spark):
     assert sum(t in (nulls, nulls + " end") for _, t in got) == 1
     want = [(None, lone), (4, base), (7, other), (12, lone + " " + other), (None, None), (None, "")]
     assert sorted(map(str, (x for x in got if nulls not in (x[1] or "")))) == sorted(map(str, want))
+
+
+def test_templates_of_numbers(spark):
+    items = [(1, "Compute 17 + 25 - 4 * 3"), (2, "1, 1, 2, 3, 5, 8, 13, 21, what comes next?"), (3, "Seconds in a day"), (4, "90")]
+    texts = ["Question: compute 17 + 25 - 4 * 3 now", "See 1, 1, 2, 3, 5, 8, 13, 21, what comes next? Ok", "Compute 18 + 25 - 4 * 3", "1, 1, 2, 4, 5, 8, 13, 22, who comes next?", "12 seconds in a day", "from 90 on", "from 91 on"]
+    got = leaks_of(spark, texts, items)
+    assert [got[i] for i in range(7)] == [[(1, 0)], [(2, 0)], [], [], [(3, 0)], [(4, 0)], []]
