@@ -226,3 +226,13 @@ def test_templates_of_numbers(spark):
     texts = ["Question: compute 17 + 25 - 4 * 3 now", "See 1, 1, 2, 3, 5, 8, 13, 21, what comes next? Ok", "Compute 18 + 25 - 4 * 3", "1, 1, 2, 4, 5, 8, 13, 22, who comes next?", "12 seconds in a day", "from 90 on", "from 91 on"]
     got = leaks_of(spark, texts, items)
     assert [got[i] for i in range(7)] == [[(1, 0)], [(2, 0)], [], [], [(3, 0)], [(4, 0)], []]
+
+
+def test_templates_with_names_that_open_or_grow_and_moved_words(spark):
+    short = "Maria has 12 apples. Tom has 5 apples. How many apples do they have together?"
+    long = "Yesterday the baker Maria Lopez sold 12 loaves of bread to her neighbour Peter before the market opened, and later Maria gave 3 of the loaves away."
+    texts = [short.replace("Maria", "Anna").replace("Tom", "Joe"), long.replace("Maria Lopez", "Anna").replace("Maria", "Anna"), long.replace("Peter", "Omar Ben Said"),
+             long.replace("neighbour", "old neighbour"), long.replace(" her", ""), long.replace("3 of", "12 of"), long.replace("12", "7").replace("bread to", "fresh bread to"),
+             "Maria has 12 apples. " + "Nothing else is here. " * 9 + "Tom has 5 apples.", short.replace("How many", "So how many")]
+    got = leaks_of(spark, texts, [(1, short), (2, long)])
+    assert [[x for x, _ in got[i]] for i in range(9)] == [[1], [2], [2], [2], [2], [], [2], [], [1]]
