@@ -2,8 +2,9 @@
 
 Texts are read as words of letters and digits, in lower case. Of a template's hashes of K words, winnowing keeps the least of
 every W neighbours; they go into an inverted index (hash to template and place). Every hash of a document is looked up, so a
-run of K + W - 1 template words cannot be missed. The hits of a template that lie close together make a candidate, and a
-banded alignment of the template with that part of the document counts the words matched and gives their span.
+run of K + W - 1 template words cannot be missed. Hits grow to runs of equal words; runs that follow each other both in the
+document and in the template make a candidate, and where the template place falls back another one begins. What lies between
+the runs is aligned in full and what lies before and after them in a band; all matched words add up and give the span.
 """
 
 from __future__ import annotations
@@ -82,6 +83,63 @@ def align(template: np.ndarray, words: np.ndarray, shift: int) -> tuple[int, int
     return int(best[cell]), int(start[cell]), int(end[cell])
 
 
+def chains(runs: list[tuple[int, int, int]], size: int) -> list[list[tuple[int, int, int]]]:
+    """Runs (document place, template place, length) in chains that rise in both, each run in one chain, the longest first.
+
+    From run to run the document goes on by at most size words more than the template, the template's length.
+    """
+    score, before = [], []
+    for j, (at, place, n) in enumerate(runs):
+        best, link = n, -1
+        for i in range(j - 1, -1, -1):
+            at_i, place_i, n_i = runs[i]
+            if at - at_i > 2 * size:
+                break
+            own = n - max(0, place_i + n_i - place, at_i + n_i - at)
+            if place > place_i and own > 0 and score[i] + own > best and (at - at_i) - (place - place_i) <= size:
+                best, link = score[i] + own, i
+        score.append(best)
+        before.append(link)
+    used: set[int] = set()
+    out = []
+    for j in sorted(range(len(runs)), key=lambda j: (-score[j], j)):
+        chain: list[tuple[int, int, int]] = []
+        while j >= 0 and j not in used:
+            used.add(j)
+            chain.append(runs[j])
+            j = before[j]
+        if chain:
+            out.append(chain[::-1])
+    return out
+
+
+def _common(template: np.ndarray, words: np.ndarray) -> int:
+    """Most words that can be matched in order."""
+    best = np.zeros(len(words) + 1, np.int64)
+    for t in template:
+        best[1:] = np.maximum(best[1:], best[:-1] + (words == t))
+        np.maximum.accumulate(best, out=best)
+    return int(best[-1])
+
+
+def align_chain(template: np.ndarray, words: np.ndarray, chain: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+    """Template words matched along a chain of runs, with the first and last document word matched."""
+    at, place, n = chain[0]
+    matched, first, last = n, at, at + n - 1
+    if place:
+        more, begin, _ = align(template[:place], words[:at], at - place)
+        matched, first = matched + more, begin if more else first
+    end = place + n
+    for at, place, n in chain[1:]:
+        over = max(0, end - place, last + 1 - at)
+        matched += n - over + _common(template[end:place + over], words[last + 1:at + over])
+        end, last = place + n, at + n - 1
+    if end < len(template):
+        more, _, stop = align(template[end:], words[last + 1:], 0)
+        matched, last = matched + more, last + 1 + stop if more else last
+    return matched, first, last
+
+
 @dataclass
 class LicenseIndex:
     """The templates' words, and their fingerprints sorted by hash."""
@@ -111,22 +169,31 @@ class LicenseIndex:
             index.hashes, index.owners, index.places = h[order], owners[order], places[order]
         return index
 
-    def candidates(self, words: np.ndarray) -> list[tuple[int, int]]:
-        """(template, shift) of the clusters of hits; hits of one template with nearly the same shift are one cluster."""
+    def runs(self, words: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
+        """By template, the runs of equal words around its hits: first place in the document and in the template, length."""
         h = fingerprints(words) if len(words) >= K else np.empty(0, np.uint64)
         low, high = np.searchsorted(self.hashes, h, "left"), np.searchsorted(self.hashes, h, "right")
-        shifts: dict[int, list[int]] = defaultdict(list)
+        hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for i in np.flatnonzero(low < high):
             for j in range(low[i], high[i]):
-                shifts[int(self.owners[j])].append(int(i - self.places[j]))
-        out = []
-        for owner, found in shifts.items():
-            found.sort()
-            begin = 0
-            for i in range(1, len(found) + 1):
-                if i == len(found) or found[i] - found[i - 1] > BAND // 2:
-                    out.append((owner, found[(begin + i - 1) // 2]))
-                    begin = i
+                hits[int(self.owners[j])].append((int(i), int(self.places[j])))
+        out = {}
+        for owner, found in hits.items():
+            template = self.words[owner]
+            ends: dict[int, int] = {}
+            runs = []
+            for at, place in found:
+                if ends.get(at - place, -1) > at:
+                    continue  # inside the last run of its diagonal
+                back = forth = 0
+                while place > back and at > back and template[place - back - 1] == words[at - back - 1]:
+                    back += 1
+                while place + forth < len(template) and at + forth < len(words) and template[place + forth] == words[at + forth]:
+                    forth += 1
+                ends[at - place] = at + forth
+                if forth:
+                    runs.append((at - back, place - back, back + forth))
+            out[owner] = sorted(runs)
         return out
 
     def scan(self, text: str | None) -> list[tuple]:
@@ -134,11 +201,16 @@ class LicenseIndex:
         one with the most matched words stays."""
         words, starts, ends = read_words(text)
         found = []
-        for owner, shift in self.candidates(words):
+        for owner, runs in self.runs(words).items():
             template = self.words[owner]
-            matched, first, last = align(template, words, shift)
-            if matched >= COVERAGE * len(template):
-                found.append((-matched, len(template), self.names[owner], first, last))
+            for chain in chains(runs, len(template)):
+                matched, first, last = align_chain(template, words, chain)
+                if matched < COVERAGE * len(template):
+                    # The runs bind the alignment above; without them it may find more.
+                    at, place, _ = chain[len(chain) // 2]
+                    matched, first, last = max((matched, first, last), align(template, words, at - place))
+                if matched >= COVERAGE * len(template):
+                    found.append((-matched, len(template), self.names[owner], first, last))
         kept: list[tuple] = []
         for report in sorted(found):
             if all(report[4] < k[3] or report[3] > k[4] for k in kept):

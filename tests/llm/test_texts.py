@@ -236,3 +236,19 @@ def test_templates_with_names_that_open_or_grow_and_moved_words(spark):
              "Maria has 12 apples. " + "Nothing else is here. " * 9 + "Tom has 5 apples.", short.replace("How many", "So how many")]
     got = leaks_of(spark, texts, [(1, short), (2, long)])
     assert [[x for x, _ in got[i]] for i in range(9)] == [[1], [2], [2], [2], [2], [], [2], [], [1]]
+
+
+def test_license_runs_in_chains():
+    index = licenses.LicenseIndex.build(TEMPLATES)
+    line = "Released under the MIT License."
+    got = index.scan("\n".join([line] * 30))
+    assert [x[0] for x in got] == ["MIT reference"] * 30 and [x[4] for x in got] == [i * (len(line) + 1) for i in range(30)]
+    mit = TEMPLATES["MIT"].split()
+    n = len(licenses.read_words(TEMPLATES["MIT"])[0])
+    middle = len(mit) // 2
+    for extra in (15, 60):
+        text = " ".join(mit[:middle] + [f"word{i}" for i in range(extra)] + mit[middle:])
+        assert [x[:4] for x in index.scan("before it " + text + " after it")] == [("MIT", n, n, 1.0)]
+    numbered = "\n".join(f"dnl {' '.join(mit[i:i + 4])}" for i in range(0, len(mit), 4))
+    assert [x[:4] for x in index.scan(numbered)] == [("MIT", n, n, 1.0)]
+    assert [x[0] for x in index.scan((" ".join(mit) + "\n") * 3)] == ["MIT"] * 3
