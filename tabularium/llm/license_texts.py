@@ -22,12 +22,34 @@ ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
     "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
 that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
 conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list
+of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS
+OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF
+USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-2-Clause conditions": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list
 of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.""",
     "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
 that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
 conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list
 of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither
 the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this
+software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS
+OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF
+USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause conditions": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list
+of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither
+the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this
 software without specific prior written permission.""",
     "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
 liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any
@@ -58,4 +80,37 @@ not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.
     "CC-BY-SA-4.0 reference": "Licensed under CC BY-SA 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any
+later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any
+later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "LGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.""",
+    "EPL-2.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "CC0-1.0": """To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this
+work to the public domain worldwide. This work is published from the CC0 1.0 Universal Public Domain Dedication.""",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "Apache-1.1 reference": "Licensed under the Apache License, Version 1.1.",
+    "GPL-2.0 reference": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1 reference": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0 reference": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0 reference": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "CC-BY-ND-4.0 reference": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0 reference": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0 reference": "Licensed under CC BY-NC-ND 4.0.",
+    "CC0-1.0 reference": "Licensed under CC0 1.0.",
 }

@@ -9,6 +9,7 @@ the runs is aligned in full and what lies before and after them in a band; all m
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,6 +25,8 @@ from tabularium.llm.hashing import mix, word_hashes, word_spans
 
 #: Words in a fingerprint, fingerprints in a winnowing window, half the width of the band, least share of matched words.
 K, W, BAND, COVERAGE = 3, 4, 12, 0.7
+# Words that make another licence of the same wording.
+VARIANTS = frozenset("lesser affero sa nc nd sharealike noncommercial noderivatives endorse".split())
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[48:58] = np.arange(48, 58)
 _FOLD[97:123] = np.arange(97, 123)
@@ -140,12 +143,48 @@ def align_chain(template: np.ndarray, words: np.ndarray, chain: list[tuple[int,
     return matched, first, last
 
 
+def tokens(text: str) -> list[str]:
+    """The words of read_words as text."""
+    return _FOLD[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)].tobytes().decode("utf-8", "replace").split()
+
+
+@dataclass
+class Marks:
+    """What tells a licence from others of nearly its wording: variant words, and the version with the words before it."""
+
+    variants: frozenset[str]
+    version: list[str]
+    before: frozenset[str]
+
+    @classmethod
+    def of(cls, name: str, template: str) -> Marks:
+        said = tokens(template)
+        number = re.search(r"\d+\.\d+", name)
+        version = number[0].split(".") if number else []
+        before = {said[i - 1] for i in range(1, len(said)) if version and said[i] == version[0] and not said[i - 1].isdigit()}
+        return cls(VARIANTS & set(said), version, frozenset(before - {"license"}))
+
+    def hold(self, span: list[str]) -> bool:
+        """Whether the words of a span have these variants and no other, and this version and no other; .0 may be left out."""
+        if VARIANTS & set(span) != self.variants:
+            return False
+        if not self.version:
+            return True
+        for i in range(1, len(span)):
+            if span[i - 1] in self.before and span[i].isdigit():
+                minor = span[i + 1] if i + 1 < len(span) and span[i + 1].isdigit() else "0"
+                if [span[i], minor] != self.version:
+                    return False
+        return self.version[0] in span and (self.version[1] == "0" or self.version[1] in span)
+
+
 @dataclass
 class LicenseIndex:
     """The templates' words, and their fingerprints sorted by hash."""
 
     names: list[str] = field(default_factory=list)
     words: list[np.ndarray] = field(default_factory=list)
+    marks: list[Marks] = field(default_factory=list)
     hashes: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
     owners: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     places: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
@@ -163,6 +202,7 @@ class LicenseIndex:
             entries.append((h[keep], np.full(len(keep), len(index.names)), keep))
             index.names.append(name)
             index.words.append(words)
+            index.marks.append(Marks.of(name, text))
         if entries:
             h, owners, places = (np.concatenate(x) for x in zip(*entries, strict=True))
             order = np.argsort(h, kind="stable")
@@ -200,6 +240,7 @@ class LicenseIndex:
         """(licence, matched words, template words, coverage, first character, end), by place; of overlapping reports the
         one with the most matched words stays."""
         words, starts, ends = read_words(text)
+        data = (text or "").encode("utf-8", "replace")
         found = []
         for owner, runs in self.runs(words).items():
             template = self.words[owner]
@@ -209,13 +250,17 @@ class LicenseIndex:
                     # The runs bind the alignment above; without them it may find more.
                     at, place, _ = chain[len(chain) // 2]
                     matched, first, last = max((matched, first, last), align(template, words, at - place))
-                if matched >= COVERAGE * len(template):
+                if matched < COVERAGE * len(template):
+                    continue
+                # A version may go on behind the last word matched, as .1 behind "version 2".
+                goes_on = last + 1 < len(ends) and data[ends[last]:starts[last + 1]] == b"." and data[starts[last + 1]:ends[last + 1]].isdigit()
+                stop = last + goes_on
+                if self.marks[owner].hold(tokens(data[starts[first]:ends[stop]].decode("utf-8", "replace"))):
                     found.append((-matched, len(template), self.names[owner], first, last))
         kept: list[tuple] = []
         for report in sorted(found):
             if all(report[4] < k[3] or report[3] > k[4] for k in kept):
                 kept.append(report)
-        data = (text or "").encode("utf-8", "replace")
         place = lambda byte: len(data[:byte].decode("utf-8"))
         return [(name, -m, size, round(-m / size, 6), place(starts[first]), place(ends[last]))
                 for m, size, name, first, last in sorted(kept, key=lambda k: k[3])]
@@ -227,7 +272,7 @@ FOUND = "array<struct<license:string,matched:int,template_words:int,coverage:dou
 def scan_licenses(df: DataFrame, text: str, templates: dict[str, str]) -> DataFrame:
     """df with licenses: the reports of LicenseIndex.scan for the whole text.
 
-    A null or empty text has none. The templates are a parameter of fixed size that travels with the task. A column named
+    A name is given only where the words that tell it from like licences hold in the span (Marks). A null or empty text has none. The templates are a parameter of fixed size that travels with the task. A column named
     licenses is replaced; repeated rows are reported each; an empty table passes as it is. No template finds nothing.
     """
     small_batches(df.sparkSession)

@@ -252,3 +252,15 @@ def test_license_runs_in_chains():
     numbered = "\n".join(f"dnl {' '.join(mit[i:i + 4])}" for i in range(0, len(mit), 4))
     assert [x[:4] for x in index.scan(numbered)] == [("MIT", n, n, 1.0)]
     assert [x[0] for x in index.scan((" ".join(mit) + "\n") * 3)] == ["MIT"] * 3
+
+
+def test_license_names_by_version_and_variant():
+    index = licenses.LicenseIndex.build(TEMPLATES)
+    for name, text in TEMPLATES.items():
+        assert [x[0] for x in index.scan(f"Some words. {text} Others.")] == [name]
+    gpl = TEMPLATES["GPL-3.0-or-later"]
+    cases = [(gpl.replace("version 3", "version 2"), ["GPL-2.0-or-later"]), (gpl.replace("General", "Lesser General"), ["LGPL-3.0-or-later"]), (gpl.replace("General", "Affero General"), ["AGPL-3.0-or-later"]),
+             (gpl.replace("version 3", "version 9"), []), ("Licensed under the Apache License, Version 1.1.", ["Apache-1.1 reference"]), ("Licensed under the Apache License, Version 1.0.", []),
+             ("Licensed under the Apache License 2.0.", ["Apache-2.0 reference"]), ("Licensed under CC BY 3.0.", []), ("Licensed under CC BY-ND 4.0.", ["CC-BY-ND-4.0 reference"])]
+    for text, want in cases:
+        assert [x[0] for x in index.scan(text)] == want, text
