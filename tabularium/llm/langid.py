@@ -24,8 +24,9 @@ UNKNOWN = "und"
 BUCKET_BITS, DIMENSIONS, ORDERS = 15, 16, (2, 3)
 #: Training documents per language (in expectation), and the share of them kept for calibration.
 SAMPLE, CALIBRATION = 1000, 0.2
-#: The confidence below which a text is rejected is at most this, and rejects at most such a share of right calibration texts.
-CEILING, LOSS = 0.4, 0.001
+#: The confidence below which a text is rejected is at most CEILING, or OVER times that of a blind guess where this is more, and
+#: rejects at most the share LOSS of right calibration texts.
+CEILING, OVER, LOSS = 0.4, 1.2, 0.001
 _LETTER: np.ndarray | None = None
 
 
@@ -71,8 +72,8 @@ class LanguageModel:
         return self.table[buckets].mean(axis=0, dtype=np.float64) + self.bias if len(buckets) else None
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and calibrated probability; und and 0 without a letter."""
-        logits = self.logits(text)
+        """Language and calibrated probability; und and 0 without a letter, or where the model has no language."""
+        logits = self.logits(text) if self.languages else None
         if logits is None:
             return UNKNOWN, 0.0
         p = _softmax(logits / self.temperature)
@@ -133,7 +134,7 @@ def _calibrate(model: LanguageModel, held: list) -> None:
     model.temperature = float(grid[int(np.argmin(loss))])
     p = probabilities(model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == truth]
-    model.threshold = float(min(CEILING, np.quantile(right, LOSS))) if len(right) else 0.0
+    model.threshold = float(min(max(CEILING, OVER / len(model.languages)), np.quantile(right, LOSS))) if len(right) else 0.0
 
 
 def held_out(doc_id: Column) -> Column:
@@ -145,7 +146,8 @@ def learn(documents: DataFrame, per_language: int = SAMPLE) -> LanguageModel:
     """A model from at most about per_language labelled texts of each language.
 
     Which ones is decided by a hash of doc_id, over all rows that may be learned from: labelled, with text, not held out.
-    The bound on what reaches the driver is per_language times the number of languages.
+    The bound on what reaches the driver is per_language times the number of languages. Where no such text has a letter, the
+    model has no language and says und, 0 and rejected of every text. With one language, every text with a letter passes.
     """
     allowed = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                               & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
@@ -155,13 +157,16 @@ def learn(documents: DataFrame, per_language: int = SAMPLE) -> LanguageModel:
     for lang, n in sorted(counts.items()):
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
     rows = sorted(map(tuple, allowed.where(place < share * (1 << 32)).collect()), key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[1]))
+    rows = [r for r in rows if len(subwords(r[1]))]
+    if not rows:
+        return LanguageModel([], np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0))
     return train([r[1] for r in rows], [r[2] for r in rows])
 
 
 def identify(df: DataFrame, text: str, model: LanguageModel) -> DataFrame:
     """df with lang_pred, score and rejected.
 
-    A text that is null or has no letter gets und, 0 and rejected; every other text gets a learned language, its calibrated
+    A text that is null or has no letter gets und, 0 and rejected, and so does every text if the model has no language; every other text gets a learned language, its calibrated
     probability, and is rejected where that is below the model's threshold. Columns of these names are replaced; repeated
     rows and an empty table pass as they are. The model has a fixed number of buckets and travels with the task.
     """

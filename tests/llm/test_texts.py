@@ -264,3 +264,22 @@ def test_license_names_by_version_and_variant():
              ("Licensed under the Apache License 2.0.", ["Apache-2.0 reference"]), ("Licensed under CC BY 3.0.", []), ("Licensed under CC BY-ND 4.0.", ["CC-BY-ND-4.0 reference"])]
     for text, want in cases:
         assert [x[0] for x in index.scan(text)] == want, text
+
+
+def test_language_stage_on_odd_rows(spark):
+    stage = corpus_pipeline.STAGES[0][1]
+    df = spark.createDataFrame([(None, None, None, None, None), (1, "the of and", None, "s", 10), (1, "the of and", None, "s", 10), (2, "12 34", "en", "s", 5), (3, "", "de", "s", 0)],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    for odd in (df, df.limit(0)):
+        assert stage(spark, odd, FOLDER).count() == 0
+    model = langid.learn(df)
+    assert [(r.lang_pred, r.score, r.rejected) for r in langid.identify(df, "text", model).collect()] == [("und", 0.0, True)] * 5
+
+
+def test_two_languages_can_reject():
+    model = langid.LanguageModel(["a", "b"], None, None)
+    model.table, model.bias = langid.np.zeros((4, 2), "f4"), langid.np.zeros(2)
+    model.table[0, 0] = model.table[1, 1] = 0.7
+    one = lambda i: (langid.np.array([i]), langid.np.array([1]))
+    langid._calibrate(model, [(one(i % 2), i % 2) for i in range(100)])
+    assert model.threshold == 0.6
