@@ -165,11 +165,9 @@ def test_language_of_odd_texts(spark):
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_against_their_sql(spark, name):
-    import duckdb
+    from tests.compare import duck
 
     folder = "/root/testdata/sf0.01"
     got = queries.QUERIES[name](spark, folder).toPandas()
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
-    want = con.execute(queries.ORACLES[name]).df()[list(got.columns)]
+    want = duck(folder).execute(queries.ORACLES[name]).df()[list(got.columns)]
     assert sorted(map(tuple, got.itertuples(index=False))) == sorted(map(tuple, want.itertuples(index=False)))
