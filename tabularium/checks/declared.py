@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabularium.checks.registry import check, table
-from tabularium.operators import group_tests, multiple, network, ranks
+from tabularium.operators import ecology, enrichment, fits, group_tests, multiple, network, ranks
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -190,3 +190,139 @@ def _(spark, d):
     segments = ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     found = group_tests.poisson_regression(counts, "n", {s: (F.col("c_mktsegment") == s).cast("double") for s in segments})
     return rounded(rounded(found, 6, "estimate", "std_error", "rate_ratio"), 5, "z", "p")
+
+
+# ---- sets ------------------------------------------------------------------
+
+#: Suppliers as sets of parts; parts of the dearest lines are the selection.
+SUPPLIED_SQL = "m AS MATERIALIZED (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem), z AS MATERIALIZED (SELECT s, count(*) AS size FROM m GROUP BY 1)"
+
+
+@check("set_enrichment", f"""
+WITH {SUPPLIED_SQL}, c AS (SELECT DISTINCT l_partkey AS p FROM lineitem WHERE l_extendedprice >= 90000),
+t AS (SELECT (SELECT count(DISTINCT p) FROM m) AS total, (SELECT count(*) FROM c) AS drawn),
+h AS (SELECT s, size, (SELECT count(*) FROM m JOIN c USING (p) WHERE m.s = z.s) AS hits FROM z),
+x AS (SELECT s, hits, size, total, drawn, unnest(range(greatest(hits, drawn + size - total), least(size, drawn) + 1)) AS i FROM h, t),
+v AS (SELECT s, least(1, sum(exp(lgamma(size + 1) - lgamma(i + 1) - lgamma(size - i + 1) + lgamma(total - size + 1) - lgamma(drawn - i + 1) - lgamma(total - size - drawn + i + 1)
+        - lgamma(total + 1) + lgamma(drawn + 1) + lgamma(total - drawn + 1)))) AS p FROM x GROUP BY 1),
+j AS (SELECT s, p, count(*) OVER () AS m, count(*) OVER (ORDER BY p) AS last FROM v),
+b AS (SELECT s, p, least(1, p * m) AS bonferroni, least(1, min(p * m / last) OVER (ORDER BY p DESC)) AS bh FROM j)
+SELECT s AS "set", size, hits, round(size * drawn / total::DOUBLE, 6) AS expected, round(hits / (size * drawn / total::DOUBLE), 6) AS fold, round(p, 6) AS p, round(bonferroni, 5) AS p_bonferroni,
+  round(bh, 5) AS p_bh FROM h JOIN b USING (s), t""")
+def _(spark, d):
+    lines = table(spark, d, "lineitem")
+    found = enrichment.over_representation(lines, "l_suppkey", "l_partkey", lines.where("l_extendedprice >= 90000"))
+    return rounded(rounded(found, 6, "expected", "fold", "p"), 5, "p_bonferroni", "p_bh")
+
+
+@check("set_overlaps", f"""
+WITH {SUPPLIED_SQL}, o AS (SELECT x.s AS a, y.s AS b, count(*) AS shared FROM m x JOIN m y ON x.p = y.p AND x.s < y.s GROUP BY 1, 2 HAVING count(*) >= 3)
+SELECT a, b, shared, round(shared / (x.size + y.size - shared)::DOUBLE, 9) AS jaccard FROM o JOIN z x ON x.s = a JOIN z y ON y.s = b""")
+def _(spark, d):
+    return rounded(enrichment.set_overlaps(table(spark, d, "lineitem"), "l_suppkey", "l_partkey", 3), 9, "jaccard")
+
+
+# ---- diversity -------------------------------------------------------------
+
+#: Suppliers as samples, brands as taxa.
+BRANDS_SQL = """
+a AS MATERIALIZED (SELECT l_suppkey AS sample, p_brand AS taxon, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
+t AS MATERIALIZED (SELECT sample, sum(n)::BIGINT AS total FROM a GROUP BY 1)"""
+
+
+def brands(spark, d):
+    lines = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    return ecology.abundances(lines, "l_suppkey", "p_brand")
+
+
+@check("eco_diversity", f"""
+WITH {BRANDS_SQL}, p AS (SELECT sample, n, total, n / total::DOUBLE AS p FROM a JOIN t USING (sample))
+SELECT sample, count(*) AS richness, any_value(total) AS total, round(-sum(p * ln(p)), 9) AS shannon, round(1 - sum(p * p), 9) AS simpson, round(1 / sum(p * p), 6) AS inverse_simpson,
+  round(CASE WHEN count(*) > 1 THEN -sum(p * ln(p)) / ln(count(*)) END, 9) AS evenness,
+  round(count(*) + count(*) FILTER (n = 1) * (count(*) FILTER (n = 1) - 1) / (2.0::DOUBLE * (count(*) FILTER (n = 2) + 1)), 6) AS chao1 FROM p GROUP BY 1""")
+def _(spark, d):
+    return rounded(rounded(ecology.diversity(brands(spark, d)), 9, "shannon", "simpson", "evenness"), 6, "inverse_simpson", "chao1")
+
+
+@check("eco_bray_curtis", f"""
+WITH {BRANDS_SQL}, l AS (SELECT x.sample AS a, y.sample AS b, sum(least(x.n, y.n))::BIGINT AS shared FROM a x JOIN a y ON x.taxon = y.taxon AND x.sample < y.sample GROUP BY 1, 2)
+SELECT a, b, shared, round(1 - 2 * shared / (x.total + y.total)::DOUBLE, 9) AS distance FROM l JOIN t x ON x.sample = a JOIN t y ON y.sample = b""")
+def _(spark, d):
+    return rounded(ecology.bray_curtis(brands(spark, d)), 9, "distance")
+
+
+@check("eco_centred_log_ratio", f"""
+WITH {BRANDS_SQL}, k AS (SELECT s.sample, b.taxon, coalesce(a.n, 0) AS n FROM (SELECT DISTINCT sample FROM a) s CROSS JOIN (SELECT DISTINCT taxon FROM a) b LEFT JOIN a ON a.sample = s.sample AND a.taxon = b.taxon),
+c AS (SELECT *, ln(n + 0.5) - avg(ln(n + 0.5)) OVER (PARTITION BY sample) AS clr, ln(0.5) - avg(ln(n + 0.5)) OVER (PARTITION BY sample) AS clr_absent FROM k)
+SELECT sample, taxon, n, round(clr, 6) + 0.0 AS clr, round(clr_absent, 6) + 0.0 AS clr_absent FROM c WHERE n > 0""")
+def _(spark, d):
+    return rounded(ecology.centred_log_ratio(brands(spark, d), 0.5), 6, "clr", "clr_absent")
+
+
+@check("eco_rarefaction", f"""
+WITH {BRANDS_SQL}
+SELECT sample, any_value(total) AS total, round(CASE WHEN any_value(total) >= 50 THEN sum(1 - CASE WHEN total - n >= 50 THEN
+  exp(lgamma(total - n + 1) - lgamma(total - n - 50 + 1) - lgamma(total + 1) + lgamma(total - 50 + 1)) ELSE 0 END) END, 6) AS expected FROM a JOIN t USING (sample) GROUP BY 1""")
+def _(spark, d):
+    return rounded(ecology.rarefied_richness(brands(spark, d), 50), 6, "expected")
+
+
+# ---- fits ------------------------------------------------------------------
+
+
+@check("fit_power_law", f"""
+WITH h AS MATERIALIZED (SELECT n_chars::DOUBLE AS x, count(*) AS n FROM documents WHERE n_chars > 0 GROUP BY 1),
+g AS (SELECT min(x) AS low, max(x) AS high, count(*) AS k FROM h),
+c AS MATERIALIZED (SELECT DISTINCT x AS cut FROM h, g WHERE k <= {fits.CUTS}
+  UNION SELECT (SELECT min(x) FROM h WHERE x >= low * pow(high / low, i / {fits.CUTS}.0::DOUBLE)) FROM g, range({fits.CUTS}) t(i) WHERE k > {fits.CUTS}),
+l AS MATERIALIZED (SELECT cut, sum(n)::BIGINT AS n_tail, 1 + sum(n) / sum(n * ln(x / (cut - 0.5))) AS alpha FROM c JOIN h ON x >= cut GROUP BY 1 HAVING count(*) > 1),
+s AS (SELECT cut, n_tail, alpha, abs(sum(n) OVER (PARTITION BY cut ORDER BY x)::DOUBLE / n_tail - (1 - pow((x + 0.5) / (cut - 0.5), 1 - alpha))) AS gap FROM l JOIN h ON x >= cut),
+k AS (SELECT cut, any_value(n_tail) AS n_tail, any_value(alpha) AS alpha, max(gap) AS ks FROM s GROUP BY 1)
+SELECT cut, n_tail, round(alpha, 6) AS alpha, round(ks, 6) AS ks, row_number() OVER (ORDER BY ks, cut) = 1 AS best FROM k""")
+def _(spark, d):
+    return rounded(fits.power_law(table(spark, d, "documents"), "n_chars"), 6, "alpha", "ks")
+
+
+@check("fit_tails", """
+WITH d AS (SELECT n_chars::DOUBLE AS x, ln(n_chars) AS l FROM documents WHERE n_chars > 0),
+s AS (SELECT count(*) AS n, min(x) AS low, avg(l) AS mean, stddev_pop(l) AS sd, avg(x) AS middle, 1 + count(*) / sum(l - (SELECT min(l) FROM d)) AS alpha FROM d),
+m AS (SELECT 'power law' AS model, alpha AS first, low AS second, (SELECT sum(ln((alpha - 1) / low) - alpha * (l - ln(low))) FROM d) AS ll, 2 AS k FROM s
+  UNION ALL SELECT 'log-normal', mean, sd, (SELECT sum(-l - ln(sd * sqrt(2 * pi())) - (l - mean) ** 2 / (2 * sd * sd)) FROM d), 2 FROM s
+  UNION ALL SELECT 'exponential', 1 / middle, NULL, (SELECT sum(-ln(middle) - x / middle) FROM d), 1 FROM s)
+SELECT model, round(first, 6) AS first, round(second, 6) AS second, round(ll, 3) AS log_likelihood, round(2 * k - 2 * ll, 3) AS aic FROM m""")
+def _(spark, d):
+    return rounded(rounded(fits.compare_tails(table(spark, d, "documents"), "n_chars"), 6, "first", "second"), 3, "log_likelihood", "aic")
+
+
+@check("fit_zipf", """
+WITH c AS (SELECT w, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY 1),
+r AS (SELECT ln(row_number() OVER (ORDER BY n DESC, w)) AS x, ln(n) AS y, n FROM c WHERE w IS NOT NULL)
+SELECT count(*) AS n_values, sum(n)::BIGINT AS total, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept, round(regr_r2(y, x), 6) AS r2 FROM r""")
+def _(spark, d):
+    words = table(spark, d, "documents").select(F.explode(F.split("text", " ", -1)).alias("w"))
+    return rounded(fits.zipf(words, "w"), 6, "slope", "intercept", "r2")
+
+
+REPLICATES = 40
+
+
+@check("bootstrap_by_priority", f"""
+WITH h AS (SELECT o_orderpriority, o_totalprice AS v, ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 8))::BIGINT AS s, ('0x' || substr(md5(o_orderkey::VARCHAR), 9, 8))::BIGINT AS t FROM orders WHERE o_totalprice IS NOT NULL),
+u AS (SELECT o_orderpriority, v, r, ((s + r * t) % 4294967296) / 4294967296.0::DOUBLE AS u FROM h, range(1, {REPLICATES + 1}) x(r)),
+w AS (SELECT o_orderpriority, v, r, {" + ".join(f"(u >= {s!r}::DOUBLE)::INT" for s in fits.POISSON_SHARES)} AS w FROM u),
+m AS (SELECT o_orderpriority, r, sum(v * w) / sum(w) AS mean FROM w GROUP BY 1, 2)
+SELECT o_orderpriority, (SELECT count(*) FROM h WHERE h.o_orderpriority = m.o_orderpriority) AS n, round((SELECT avg(v) FROM h WHERE h.o_orderpriority = m.o_orderpriority), 4) AS mean,
+  round(quantile_cont(mean, 0.025), 4) AS low, round(quantile_cont(mean, 0.975), 4) AS high FROM m GROUP BY 1""")
+def _(spark, d):
+    return rounded(fits.bootstrap_mean(table(spark, d, "orders"), "o_totalprice", "o_orderkey", ["o_orderpriority"], REPLICATES), 4, "mean", "low", "high")
+
+
+@check("fit_growth", """
+WITH y AS (SELECT year(o_orderdate)::DOUBLE AS x, ln(count(*)) AS y FROM orders GROUP BY 1), f AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i, regr_r2(y, x) AS r FROM y)
+SELECT 'rate' AS kind, NULL::DOUBLE AS time, round(s, 6) + 0.0 AS value FROM f UNION ALL SELECT 'doubling', NULL, round(ln(2) / s, 3) FROM f UNION ALL SELECT 'r2', NULL, round(r, 6) FROM f
+UNION ALL SELECT 'forecast', 2005, round(exp(i + s * 2005), 3) FROM f""")
+def _(spark, d):
+    years = table(spark, d, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
+    found = fits.exponential_growth(years, "year", "n", [2005])
+    digits = F.when(F.col("kind").isin("rate", "r2"), F.round("value", 6)).otherwise(F.round("value", 3))
+    return found.select("kind", "time", (digits + F.lit(0.0)).alias("value"))
