@@ -23,24 +23,25 @@ def _d(x: Column | float) -> Column:
     return x.cast("double") if isinstance(x, Column) else F.lit(float(x))
 
 
+def _log_gamma_above(y: Column) -> Column:
+    """log_gamma from one half on."""
+    y = y - 1
+    total = F.lit(LANCZOS[0])
+    for i, c in enumerate(LANCZOS[1:], 1):
+        total = total + F.lit(c) / (y + i)
+    t = y + 7.5
+    return 0.5 * math.log(2 * math.pi) + (y + 0.5) * F.log(t) - t + F.log(total)
+
+
 def log_gamma(x: Column | float) -> Column:
     """Natural logarithm of the gamma function of a positive number, to about 14 digits."""
     x = _d(x)
-
-    def above(y: Column) -> Column:
-        y = y - 1
-        total = F.lit(LANCZOS[0])
-        for i, c in enumerate(LANCZOS[1:], 1):
-            total = total + F.lit(c) / (y + i)
-        t = y + 7.5
-        return 0.5 * math.log(2 * math.pi) + (y + 0.5) * F.log(t) - t + F.log(total)
-
-    return F.when(x >= 0.5, above(x)).when(x > 0, F.log(math.pi / F.sin(math.pi * x)) - above(1 - x))
+    return F.when(x >= 0.5, _log_gamma_above(x)).when(x > 0, F.log(math.pi / F.sin(math.pi * x)) - _log_gamma_above(1 - x))
 
 
 def log_choose(n: Column, k: Column) -> Column:
     """Natural logarithm of the number of ways to pick k of n, null outside 0 to n."""
-    return F.when((k >= 0) & (k <= n), log_gamma(n + 1) - log_gamma(k + 1) - log_gamma(n - k + 1))
+    return F.when((k >= 0) & (k <= n), _log_gamma_above(_d(n + 1)) - _log_gamma_above(_d(k + 1)) - _log_gamma_above(_d(n - k + 1)))
 
 
 def _held(x: Column) -> Column:

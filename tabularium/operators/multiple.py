@@ -43,9 +43,10 @@ def adjust(df: DataFrame, p: str, by: Sequence[str] = ()) -> DataFrame:
     # Running extremes: over the later partitions for the minimum, over the earlier ones for the maximum. Of equal p-values
     # the last has the least of the first kind, and the first the greatest of the second.
     ends = scaled.groupBy("_part", *names).agg(F.min("_down").alias("_least"), F.max("_up").alias("_most"))
-    later = family.orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
+    # Frames start at the first row: those that end at the last would be summed anew for every row.
+    later = family.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select("_part", *names, F.min("_least").over(later).alias("_least"), F.max("_most").over(upward).alias("_most"))
-    low = F.min("_down").over(inside.orderBy("_row").rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    low = F.min("_down").over(inside.orderBy(F.col("_row").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     high = F.max("_up").over(inside.orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = _beside(scaled.withColumns({"_low": low, "_high": high}), ends, names)
     least, most = F.least("_low", "_least"), F.greatest("_high", "_most")
