@@ -151,6 +151,16 @@ def _(spark, d):
     return q.select("label", F.round("p1", 9).alias("p1"), F.round("p99", 9).alias("p99"))
 
 
+@check("a14_infinite_values", """
+WITH v AS (SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY CASE WHEN l_quantity > 25 THEN 'infinity'::DOUBLE ELSE l_quantity END) - 1 AS k, count(*) OVER (PARTITION BY l_returnflag) - 1 AS n,
+  CASE WHEN l_quantity > 25 THEN 'infinity'::DOUBLE ELSE l_quantity END AS v FROM lineitem)
+SELECT l_returnflag, max(v) FILTER (k = floor(n * 0.25)) + CASE WHEN max(v) FILTER (k = floor(n * 0.25)) = max(v) FILTER (k = ceil(n * 0.25)) THEN 0 ELSE
+  (max(v) FILTER (k = ceil(n * 0.25)) - max(v) FILTER (k = floor(n * 0.25))) * (any_value(n) * 0.25 - floor(any_value(n) * 0.25)) END AS lower, max(v) FILTER (k = floor(n * 0.9)) AS upper FROM v GROUP BY 1""")
+def _(spark, d):
+    v = F.when(F.col("l_quantity") > 25, F.lit(float("inf"))).otherwise(F.col("l_quantity"))
+    return quantiles.quantile_columns(table(spark, d, "lineitem").select("l_returnflag", v.alias("v")), "v", {"lower": 0.25, "upper": 0.9}, by=["l_returnflag"])
+
+
 @check("a15_histogram", """
 WITH r AS (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 100 AS w FROM lineitem),
 c AS (SELECT least(floor((l_extendedprice - lo) / w), 99)::INTEGER AS bin, count(*) AS n FROM lineitem, r GROUP BY 1)
@@ -180,6 +190,13 @@ def _(spark, d):
         "n_final_orders": F.when(F.col("l_linestatus") == "F", F.array("l_orderkey", "l_orderkey"))})
 
 
+@check("a17_signed_zeros", """
+SELECT l_partkey, count(DISTINCT CASE WHEN l_tax = 0 THEN 0 ELSE l_tax END) AS n_taxes, count(DISTINCT l_linestatus) AS n_states FROM lineitem GROUP BY 1""")
+def _(spark, d):
+    signed = F.when((F.col("l_tax") == 0) & (F.col("l_linenumber") % 2 == 0), F.lit(-0.0)).otherwise(F.col("l_tax"))
+    return aggregate.entity_rollup(table(spark, d, "lineitem"), "l_partkey", {"n_taxes": signed, "n_states": F.array("l_linestatus")})
+
+
 @check("a18_source_counts", "SELECT CASE WHEN grouping(source) = 1 THEN 'total' ELSE source END AS source, count(*) AS n_rows FROM documents GROUP BY ROLLUP (source)")
 def _(spark, d):
     return aggregate.source_counts(table(spark, d, "documents"), "source")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,17 +79,22 @@ def source_counts(df: DataFrame, source: str, total_label: str = "total") -> Dat
 def entity_rollup(df: DataFrame, key: str, branches: Mapping[str, Column]) -> DataFrame:
     """Distinct values per key of several branches of the same records, from one scan.
 
-    A branch is a column: a value, or a list of them, null where the row has none. The values
-    are stacked as (key, branch, value), made distinct, which spreads a key that holds most of
-    the rows, and then counted. Null is a key like others; keys without a value count 0.
+    A branch is a column: a value, or a list of them, null where the row has none. Values are compared as Spark groups them:
+    0.0 and -0.0 are one, and so are NaNs. They are stacked as (key, branch, one column of its own type per branch), made
+    distinct inside the tasks and again over them, which spreads a key that holds most of the rows, and then counted. Null is
+    a key like others; keys without a value count 0.
     """
-    def entries(number: int, c: Column) -> Column:
-        many = df.select(c.alias("c")).schema["c"].dataType.typeName() == "array"
-        return F.transform(c if many else F.array(c), lambda v: F.struct(F.lit(number).alias("branch"), v.cast("string").alias("value")))
-
-    lists = [F.coalesce(entries(i, c), F.array().cast("array<struct<branch:int,value:string>>")) for i, c in enumerate(branches.values())]
-    # The entry without a branch keeps keys that have no value at all.
-    none = F.array(F.struct(F.lit(-1).alias("branch"), F.lit(None).cast("string").alias("value")))
-    stacked = df.select(key, F.explode(F.concat(none, *lists)).alias("_e")).select(key, "_e.*")
-    distinct = stacked.where((F.col("branch") == -1) | F.col("value").isNotNull()).groupBy(key, "branch", "value").agg(F.lit(1).alias("_one"))
-    return distinct.groupBy(key).agg(*[F.count_if(F.col("branch") == i).alias(out) for i, out in enumerate(branches)])
+    shapes = [df.select(c.alias("c")).schema["c"].dataType for c in branches.values()]
+    kinds = [t.elementType if t.typeName() == "array" else t for t in shapes]
+
+    def entry(number: int, v: Column) -> Column:
+        own = [(v if i == number else F.lit(None)).cast(t).alias(f"v{i}") for i, t in enumerate(kinds)]
+        return F.struct(F.lit(number).alias("branch"), *own)
+
+    # Values stand in an array as they are, null ones too, which keep their key and are not counted; lists are added to it.
+    plain = F.array(*[entry(i, c) for i, c in enumerate(branches.values()) if shapes[i].typeName() != "array"])
+    lists = [F.transform(F.coalesce(c, F.array().cast(shapes[i])), partial(entry, i)) for i, c in enumerate(branches.values()) if shapes[i].typeName() == "array"]
+    own = [plain] if len(lists) < len(shapes) else []
+    stacked = df.select(F.col(key), F.explode_outer(F.concat(*own, *lists) if lists else plain).alias("_e")).select(key, "_e.*")
+    distinct = stacked.groupBy(key, "branch", *[f"v{i}" for i in range(len(kinds))]).agg(F.lit(1).alias("_one"))
+    return distinct.groupBy(key).agg(*[F.count_if((F.col("branch") == i) & F.col(f"v{i}").isNotNull()).alias(out) for i, out in enumerate(branches)])

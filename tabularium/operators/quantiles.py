@@ -103,7 +103,9 @@ def _ranges(field: Callable[[str], Column], probs: list[float]) -> tuple[Column,
 
 def _between(pair: Column, place: Column) -> Column:
     """Linear interpolation between the values of the two ranks around a place."""
-    value = pair["lo"] + (pair["hi"] - pair["lo"]) * (place - F.floor(place))
+    share = place - F.floor(place)
+    # On a rank, and between equal values, infinite ones included, there is nothing to interpolate.
+    value = F.when((share == 0) | (pair["lo"] == pair["hi"]), pair["lo"]).otherwise(pair["lo"] + (pair["hi"] - pair["lo"]) * share)
     missed = pair["lo"].isNull() | pair["hi"].isNull()
     return F.when(missed, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")).otherwise(value)
 

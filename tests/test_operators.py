@@ -162,6 +162,18 @@ def test_nulls_empty_tables_and_types(spark):
     keyed = spark.createDataFrame([(None, 1, [1, 2]), (None, 1, []), ("k", None, None)], "k string, a int, b array<int>")
     rolled = {r["k"]: (r["x"], r["y"]) for r in aggregate.entity_rollup(keyed, "k", {"x": F.col("a"), "y": F.col("b")}).collect()}
     assert rolled == {None: (1, 2), "k": (0, 0)}
+    lists = {r["k"]: r["y"] for r in aggregate.entity_rollup(keyed, "k", {"y": F.col("b")}).collect()}
+    assert lists == {None: 2, "k": 0}
+    signed = spark.createDataFrame([("k", 0.0, [0.0, -0.0, None]), ("k", -0.0, [float("nan")] * 2), ("k", None, None)], "k string, a double, b array<double>")
+    assert tuple(aggregate.entity_rollup(signed, "k", {"x": F.col("a"), "y": F.col("b")}).first()) == ("k", 1, 2)
+
+
+@pytest.mark.parametrize("values,probs,want", [
+    ([1.0, np.inf, np.inf], [0.25, 0.5, 0.9], [np.inf, np.inf, np.inf]), ([-np.inf, -np.inf, 2.0], [0.1, 0.5, 1.0], [-np.inf, -np.inf, 2.0]), ([-np.inf, 1.0, np.inf], [0.0, 0.5, 1.0], [-np.inf, 1.0, np.inf])])
+def test_quantiles_of_infinities(spark, values, probs, want):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r["prob"]: r["value"] for r in quantiles.exact_quantiles(df, ["v"], probs).collect()}
+    assert [got[p] for p in probs] == want
 
 
 def test_running_total_of_hot_and_null_keys(spark):
