@@ -24,7 +24,7 @@ from pyspark.sql.pandas.functions import pandas_udf
 from tabularium.llm.batches import small_batches
 
 #: Entries of a worker's tables of pieces, states and pairs; beyond it a table starts anew, which costs time and changes no result.
-MEMO, STATES, PAIRS = 150_000, 20_000, 300_000
+MEMO, STATES, PAIRS = 400_000, 2_000, 300_000
 #: With a full table, pieces up to so many bytes are read without making states from the first unknown move on.
 SHORT = 256
 _NEVER = 1 << 62
