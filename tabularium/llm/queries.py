@@ -70,7 +70,8 @@ def near_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = suffix_repeats.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text", 400)
-    return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                      F.octet_length("kept").cast("long").alias("n_kept"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
