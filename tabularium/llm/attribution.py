@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from tabularium.llm.batches import small_batches
+from tabularium.llm.names import free_names, without
 from tabularium.llm.bpe import load_ranks
 
 Spans = tuple[np.ndarray, np.ndarray]
@@ -77,10 +78,10 @@ def attribute(df: DataFrame, text: str, rank_lines: bytes, pattern: str, section
             yield pd.Series([_rows(t, encoder, lengths, sectioner) for t in texts], dtype=object)
 
     names = ("section", "section_start", "section_end", "n_tokens", "n_crossing")
-    kept = [c for c in df.columns if c not in (*names, text, "__sections", "__each")]
-    return (df.select(*kept, counted(F.col(text)).alias("__sections"))
-            .select(*kept, F.explode_outer("__sections").alias("__each")).where("__each IS NOT NULL")
-            .select(*kept, "__each.*"))
+    kept, (found, each) = without(df, (*names, text)), free_names(df, "_sections", "_each")
+    return (df.select(*kept, counted(F.col(text)).alias(found))
+            .select(*kept, F.explode_outer(found).alias(each)).where(F.col(each).isNotNull())
+            .select(*kept, f"{each}.*"))
 
 
 def _rows(text: str | None, encoder: tiktoken.Encoding, lengths: np.ndarray, sectioner: Callable[[str], Spans]) -> list[tuple]:

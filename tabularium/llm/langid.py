@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from tabularium.llm.batches import small_batches
+from tabularium.llm.names import free_names, without
 
 UNKNOWN = "und"
 BUCKET_BITS, DIMENSIONS, ORDERS = 15, 16, (2, 3)
@@ -178,7 +179,7 @@ def identify(df: DataFrame, text: str, model: LanguageModel) -> DataFrame:
         for texts in batches:
             yield pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    kept = [c for c in df.columns if c not in ("lang_pred", "score", "rejected", "__said")]
-    return (df.withColumn("__said", predicted(F.col(text)))
-            .select(*kept, "__said.lang_pred", "__said.score")
+    kept, (said,) = without(df, ("lang_pred", "score", "rejected")), free_names(df, "_said")
+    return (df.select(*kept, predicted(F.col(text)).alias(said))
+            .select(*kept, f"{said}.lang_pred", f"{said}.score")
             .withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.threshold)))

@@ -31,6 +31,7 @@ from pyspark.sql.pandas.functions import pandas_udf
 
 from tabularium.llm.batches import small_batches
 from tabularium.llm.hashing import window_hashes
+from tabularium.llm.names import free_names, without
 from tabularium.session import cut_lineage, stored
 
 #: Bytes hashed at once; longer texts go in overlapping pieces, so memory does not grow with the text.
@@ -445,9 +446,10 @@ def remove_repeats(df: DataFrame, key: str, text: str, length: int = 400, whole_
     """
     small_batches(df.sparkSession)
     names = ("kept", "n_bytes", "n_removed", "removed")
-    spans = repeated_spans(df, key, text, length).select(F.col("key").alias("__key"), F.col("version").alias("__version"), F.col("spans").alias("__spans"))
-    rest = df.select(*(c for c in df.columns if c not in names))
-    joined = rest.join(spans, F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__version")), "left")
+    rest = df.select(*without(df, set(names) - {key, text}))
+    own, version, found, done = free_names(rest, "_key", "_version", "_spans", "_cut")
+    spans = repeated_spans(df, key, text, length).select(F.col("key").alias(own), F.col("version").alias(version), F.col("spans").alias(found))
+    joined = rest.join(spans, F.col(key).eqNullSafe(F.col(own)) & (F.xxhash64(text) == F.col(version)), "left")
 
     @pandas_udf("kept binary, n_bytes long, n_removed long, removed array<struct<start:int,stop:int>>")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -465,4 +467,5 @@ def remove_repeats(df: DataFrame, key: str, text: str, length: int = 400, whole_
                 rows.append((b"".join(keep), len(data), sum(b - a for a, b in runs), runs))
             yield pd.DataFrame(rows, columns=list(names))
 
-    return (joined.withColumn("__cut", cut(F.col(text), F.col("__spans"))).select(*rest.columns, "__cut.*"))
+    cut_rows = joined.select(*rest.columns, cut(F.col(text), F.col(found)).alias(done))
+    return cut_rows.select(*[c for c in rest.columns if c.lower() not in names], f"{done}.*")

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.llm.batches import small_batches
+from tabularium.llm.names import free_names, without
 from tabularium.session import fresh_path, stored
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.tsv"
@@ -199,11 +200,13 @@ def with_revisits(pages: DataFrame, key: str, payload: str, least: int = 0) -> D
     Null payloads count as empty. Rows that repeat the smallest key are responses as well. A null key refers to the smallest
     key that is not null, if there is one. Payloads are told apart by SHA-1, as WARC does.
     """
-    marked = pages.drop("refers_to").withColumn("__digest", F.sha1(F.coalesce(payload, F.lit(b""))))
+    kept = without(pages, ["refers_to"])
+    digest, low, n = free_names(pages, "_digest", "_low", "_n")
+    marked = pages.select(*kept, F.sha1(F.coalesce(payload, F.lit(b""))).alias(digest))
     shared = (marked.where(F.coalesce(F.octet_length(payload), F.lit(0)) >= least)
-              .groupBy("__digest").agg(F.min(key).alias("__low"), F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n"))
-    refers = F.when(~F.col(key).eqNullSafe(F.col("__low")), F.col("__low"))
-    return marked.join(shared, "__digest", "left").withColumn("refers_to", refers).drop("__digest", "__low")
+              .groupBy(digest).agg(F.min(key).alias(low), F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).drop(n))
+    refers = F.when(~F.col(key).eqNullSafe(F.col(low)), F.col(low))
+    return marked.join(shared, digest, "left").select(*kept, refers.alias("refers_to"))
 
 
 def write_packages(pages: DataFrame, key: str, url: str, payload: str, folder: str | None = None) -> DataFrame:

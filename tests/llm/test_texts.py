@@ -10,12 +10,13 @@ import re
 import zipfile
 from collections import Counter, defaultdict
 
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabularium.llm import bpe, langid, licenses, queries, templates, warc
+from tabularium.llm import attribution, bpe, langid, licenses, queries, suffix_repeats, templates, warc
 from tabularium.llm.license_texts import TEMPLATES
 from tests.llm.test_pairs import jaccard_by_brute_force, repeats_by_brute_force
 
@@ -283,3 +284,18 @@ def test_two_languages_can_reject():
     one = lambda i: (langid.np.array([i]), langid.np.array([1]))
     langid._calibrate(model, [(one(i % 2), i % 2) for i in range(100)])
     assert model.threshold == 0.6
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    df = spark.createDataFrame([(1, "the quiet river " * 40, 7, 8, 9, "s", "d", 1), (2, "the quiet river " * 40, 7, 8, 9, "s", "d", 1)],
+                               "doc_id long, text string, _key int, `__key` int, _Spans int, Score string, _digest string, _low int")
+    cut = suffix_repeats.remove_repeats(df, "doc_id", "text", 400)
+    assert cut.columns == [*df.columns, "kept", "n_bytes", "n_removed", "removed"]
+    assert [(r._key, r._Spans, r.n_removed) for r in cut.collect()] == [(7, 9, 640)] * 2
+    pages = warc.with_revisits(df.withColumn("text", F.col("text").cast("binary")).withColumn("Refers_To", F.lit(5)), "doc_id", "text")
+    assert pages.columns == [*df.columns, "refers_to"] and sorted((r.doc_id, r.refers_to, r._low) for r in pages.collect()) == [(1, None, 1), (2, 1, 1)]
+    model = langid.train(["the and of"] * 20 + ["der und die"] * 20, ["en"] * 20 + ["de"] * 20)
+    said = langid.identify(df.withColumn("_said", F.lit(1)), "text", model)
+    assert said.columns == ["doc_id", "text", "_key", "__key", "_Spans", "_digest", "_low", "_said", "lang_pred", "score", "rejected"] and said.count() == 2
+    rows = attribution.attribute(df.withColumn("Section", F.lit("x")), "text", queries.tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert [c for c in rows.columns if c.lower() == "section"] == ["section"] and rows.count() == 2
