@@ -6,12 +6,15 @@
    set of n only the first n - ceil(t * n) + 1 can be the first one shared with a partner; these are the rows of the join.
 3. In each group of a prefix shingle every member is paired with the group's smallest node, the pivot, if length and
    position allow. A node is verified against its smallest pivot first, which joins most copies in as many pairs as nodes.
-4. The remaining pairs of a group are made only between nodes that are not connected yet, again behind the length and
+4. In rounds, every group of which some nodes are not connected yet gets another pivot, by a hash of node and round, and a node
+   outside the pivot's component is verified against one pivot. So nodes of a large group of near copies that miss one
+   pivot meet another, and a round has at most one pair per open node. Rounds end when they connect few more.
+5. The pairs still open in a group are made only between nodes that are not connected yet, again behind the length and
    positional filters, and each is verified once. So all links between classes are found, and copies are not expanded.
 
 Before texts are fetched for a pair, a suffix filter bounds what the sets can have in common: a signature holds, per slice of
 the hashes, whether the number of shingles is odd, and each slice where two signatures differ is a shingle that only one has.
-It has about as many bits as the set has shingles and never drops a similar pair. Verification groups pairs by pivot, salted
+It has two to four bits per shingle and never drops a similar pair. Verification groups pairs by pivot, salted
 by the partner, and holds one pivot's set at a time.
 """
 
@@ -40,6 +43,8 @@ HOT, PARTS = 64, 32
 GROUP = 2000
 #: Pairs looked at at once.
 PAIRS = 1 << 20
+#: Rounds of further pivots at most, and the share of a round's pairs that must link for another one to follow.
+ROUNDS, YIELD = 8, 0.05
 
 
 def digest(shingles: np.ndarray) -> int:
@@ -58,7 +63,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 def signature(shingles: np.ndarray) -> bytes:
     """The parities of the slices of a set, by the low bits of its hashes; a power of two of bits, 64 at least."""
-    slices = 1 << max(6, (len(shingles) - 1).bit_length())
+    slices = 1 << max(6, (len(shingles) - 1).bit_length() + 1)
     odd = np.bincount((shingles & np.uint64(slices - 1)).astype(np.int64), minlength=slices) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
@@ -179,6 +184,41 @@ def _with_pivots(rows: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(scan, "shingle long, part int, node long, n int, place int, pivot long, ok boolean, pivot_n int, pivot_place int"))
 
 
+def _open_rows(rows: DataFrame) -> DataFrame:
+    """The rows (shingle, component, ...) of the groups in which two components meet."""
+    mixed = rows.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    return rows.join(mixed.select("shingle"), "shingle", "left_semi")
+
+
+def _next_pivots(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(a, b): for each node that the filters let pass with the pivot of one of its groups, the first such pivot b.
+
+    rows: shingle, component, node, n, place. The order of pivots is that of a hash of node and turn, the same in all groups.
+    """
+    order = F.xxhash64("node", F.lit(turn))
+    chosen = rows.groupBy("shingle").agg(F.min(F.struct(order.alias("order"), "node", "component", "n", "place")).alias("p"))
+    chosen = chosen.select("shingle", F.col("p.order").alias("order"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "component", "n", "place")])
+    n, m, at, to = (F.col(c).cast("long") for c in ("n", "p_n", "place", "p_place"))
+    most = F.least(at, to) + 1 + F.least(n - 1 - at, m - 1 - to)
+    passed = ((F.col("component") != F.col("p_component")) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
+              & (most * (100 + percent) >= percent * (n + m)))
+    first = rows.join(chosen, "shingle").where(passed).groupBy(F.col("node").alias("a")).agg(F.min(F.struct("order", "p_node")).alias("p"))
+    return first.select("a", F.col("p.p_node").alias("b"))
+
+
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after further links (a, b) between nodes; parts lists the nodes that had a link before."""
+    ends = links.select("a", "b")
+    for side in ("a", "b"):
+        ends = ends.join(parts.select(F.col("node").alias(side), F.col("component").alias(f"{side}_part")), side, "left")
+    ends = stored(ends.select("a", "b", F.coalesce("a_part", "a").alias("u"), F.coalesce("b_part", "b").alias("v")), "component-links")
+    joined = connected(ends, "u", "v").select(F.col("node").alias("old"), F.col("component").alias("new"))
+    known = parts.join(joined, parts["component"] == joined["old"], "left").select("node", F.coalesce("new", "component").alias("component"))
+    # Nodes that get their first link are components of their own before.
+    fresh = joined.join(parts.select(F.col("component").alias("old")).distinct(), "old", "left_anti").select(F.col("old").alias("node"), F.col("new").alias("component"))
+    return stored(known.union(fresh), "components")
+
+
 def _across(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of one shingle whose components differ and which all filters let pass; rows: shingle, component, node, n, place.
 
@@ -315,10 +355,27 @@ def jaccard_components(df: DataFrame, key: str, text: str, words: int = 5, perce
     links = stored(verified(first, nodes, df, key, text, words, percent), "first-links")
     parts = connected(links, "a", "b")
     every = rows.select("shingle", "node", "n", "place").union(heads.distinct())
-    open_rows = every.join(parts, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"), "node", "n", "place")
-    rest = _across(open_rows, nodes, percent).join(first, ["a", "b"], "left_anti")
-    links = links.union(verified(stored(rest, "rest-pairs"), nodes, df, key, text, words, percent))
-    parts = connected(links, "a", "b")
+    tried = first
+    for turn in range(ROUNDS):
+        placed = every.join(parts, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"), "node", "n", "place")
+        every = stored(_open_rows(placed), "open-rows")
+        more = _next_pivots(every, turn, percent).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        more = stored(plausible(more.join(tried, ["a", "b"], "left_anti"), nodes, percent), "round-pairs")
+        n_pairs = more.count()
+        every = every.drop("component")
+        if not n_pairs:
+            break
+        found = stored(verified(more, nodes, df, key, text, words, percent), "round-links")
+        n_links = found.count()
+        tried = tried.union(more)
+        if n_links:
+            parts = _merged(parts, found)
+        if n_links < YIELD * n_pairs:
+            break
+    placed = every.join(parts, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"), "node", "n", "place")
+    rest = stored(_across(placed, nodes, percent).join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+    found = stored(verified(rest, nodes, df, key, text, words, percent), "rest-links")
+    parts = _merged(parts, found)
     named = nodes.select("node", "low").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = named.join(named.groupBy("component").agg(F.min("low").alias("component_id")), "component").select("node", "component_id")
     with_set = sets.where("n > 0").join(named, "node").select("key", "n", "component_id")

@@ -202,3 +202,20 @@ def test_vectors_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
     got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in queries.near_embeddings(spark, FOLDER).collect())
     assert got == vectors_by_brute_force(rows)
+
+
+def test_chain_of_near_copies(spark):
+    """2,000 texts, each a few words further from the first: neighbours link, ends do not, so no pivot meets all."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(2000):
+        if i % 2:
+            words[rng.randrange(len(words))] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(3000 + i, " ".join([*words[:60], *(f"y{rng.random()}" for _ in range(60))])) for i in range(50)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect())
+    near = [(k, shingles_of(t)) for k, t in rows]
+    links = [(a, b) for i, (a, x) in enumerate(near) for b, y in near[max(0, i - 60):i] if 100 * len(x & y) >= 80 * len(x | y)]
+    comp = reach([k for k, _ in near], links)
+    assert got == sorted((k, len(s), comp[k]) for k, s in near)
