@@ -18,6 +18,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,8 +37,8 @@ COVERAGE = 0.7
 DRIFT, SKIP, RUN = 8, 4, 3
 #: Bytes of benchmark text whose windows are held by a task at once; a larger benchmark is searched in several passes.
 BLOCK_BYTES = 4 << 20
-#: Words remembered per worker.
-MEMO = 400_000
+#: Words remembered per worker, and characters of texts read together.
+MEMO, TOGETHER = 400_000, 1 << 21
 
 # Measuring units that count as a slot after a number.
 UNITS = frozenset("""
@@ -55,6 +56,8 @@ not now of on once one only or other our over she should since so some such than
 those though to under until upon was we were what when where whether which while who whom whose why will with would yet you your
 """.split())
 
+#: Tokens between texts that are read together: a word that no item has, and a stop.
+_BREAK = ("\0", ".")
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?]")
 _NUMBER, _STOP, _CAPITAL, _UNIT, _OPENER = 1, 2, 4, 8, 16
 _NUM, _NAME, _UNIT_SLOT = 1, 2, 3
@@ -94,10 +97,15 @@ class _Reading:
 def _readings(text: str, words: _Words) -> tuple[list[str], list[_Reading]]:
     """The words, which are the tokens without stops, in lower case, and the readings of them."""
     tokens = _TOKEN.findall(text)
-    packed = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+    word, readings = _views(np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens)))
+    return [tokens[i].lower() for i in word], readings
+
+
+def _views(packed: np.ndarray) -> tuple[np.ndarray, list[_Reading]]:
+    """The places of the words among the tokens, and the readings, from what _Words says of each token."""
     flags = packed & 31
     word = np.flatnonzero((flags & _STOP) == 0)
-    first = np.ones(len(tokens), bool)
+    first = np.ones(len(packed), bool)
     first[1:] = (flags[:-1] & _STOP) > 0
     first = first[word]
     own, flags = (packed >> 5)[word], flags[word]
@@ -108,7 +116,7 @@ def _readings(text: str, words: _Words) -> tuple[list[str], list[_Reading]]:
     capital = ((flags & _CAPITAL) > 0) & (plain != _UNIT_SLOT)
     readings = [_Reading(plain, own, every, every)]
     readings += [_folded(plain, own, name, word) for name in (capital & ~first, capital & (~first | ((flags & _OPENER) == 0)))]
-    return [tokens[i].lower() for i in word], readings
+    return word, readings
 
 
 def _folded(plain: np.ndarray, own: np.ndarray, name: np.ndarray, word: np.ndarray) -> _Reading:
@@ -170,12 +178,12 @@ def _chains(covered: dict[int, set[int]], weight: np.ndarray) -> Iterator[list[t
     used: set[int] = set()
     for j in sorted(range(len(pieces)), key=lambda j: (-score[j], j)):
         if j not in used:
-            chain: list[tuple[int, int]] = []
+            run: list[tuple[int, int]] = []
             while j >= 0:
                 used.add(j)
-                chain[:0] = [(p, p + pieces[j][3]) for p in range(begin[j], pieces[j][2] + 1)]
+                run[:0] = [(p, p + pieces[j][3]) for p in range(begin[j], pieces[j][2] + 1)]
                 j = before[j]
-            yield chain
+            yield run
 
 
 def _walk(item: list[int], text: list[int]) -> list[tuple[int, int]]:
@@ -260,6 +268,29 @@ class TemplateIndex:
             index.tables.append({"size": size, "reading": reading, "hash": h[order], "item": number[order], "place": at[order]})
         return index
 
+    def touched(self, texts: list[str | None], words: _Words) -> np.ndarray:
+        """Which texts have a window of an item: all others hold none. Texts are read together, with breaks between them."""
+        hit = np.zeros(len(texts), bool)
+        start = 0
+        while start < len(texts) and self.tables:
+            end, size = start, 0
+            while end < len(texts) and (end == start or size + len(texts[end] or "") <= TOGETHER):
+                size += len(texts[end] or "")
+                end += 1
+            found = [[*_TOKEN.findall(t or ""), *_BREAK] for t in texts[start:end]]
+            lengths = [len(f) for f in found]
+            word, readings = _views(np.fromiter(map(words.__getitem__, chain.from_iterable(found)), np.int64, sum(lengths)))
+            owner = np.repeat(np.arange(start, end), lengths)[word]
+            for table in self.tables:
+                view, known = readings[table["reading"]], table["hash"]
+                if not len(known):
+                    continue
+                at, h = _windows(view.codes, view.own, table["size"], table["reading"])
+                same = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+                hit[owner[view.first[at[same]]]] = True
+            start = end
+        return hit
+
     def leaks(self, text: str | None, words: _Words) -> list[tuple]:
         """(item key, covered tokens, item tokens, changed slots, first token, last token) per leaked item."""
         if not text or not self.tables:
@@ -356,6 +387,7 @@ def _probe(index: TemplateIndex):
     def probe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         words = _Words(index.vocabulary)
         for texts in batches:
-            yield pd.Series([index.leaks(t, words) for t in texts], dtype=object)
+            texts = texts.tolist()
+            yield pd.Series([index.leaks(t, words) if hit else [] for t, hit in zip(texts, index.touched(texts, words), strict=True)], dtype=object)
 
     return probe

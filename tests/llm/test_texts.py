@@ -299,3 +299,17 @@ def test_columns_with_the_names_of_helpers(spark):
     assert said.columns == ["doc_id", "text", "_key", "__key", "_Spans", "_digest", "_low", "_said", "lang_pred", "score", "rejected"] and said.count() == 2
     rows = attribution.attribute(df.withColumn("Section", F.lit("x")), "text", queries.tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     assert [c for c in rows.columns if c.lower() == "section"] == ["section"] and rows.count() == 2
+
+
+def test_texts_read_together_lose_no_leak(spark):
+    """The search of many texts at once finds every text in which the search of one finds an item."""
+    items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()] + [(900, "5 km"), (901, "Anna has 3 apples"), (902, ""), (903, None)]
+    index = templates.TemplateIndex.build(items)
+    words = templates._Words(index.vocabulary)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += [t for _, t in items] + [f"{t} 12" for _, t in items] + ["", None, "km walk, then 5", "km", "Bob has 3 apples", "Anna", "Lee Smith has 4 apples. 7"] * 3
+    random.Random(2).shuffle(texts)
+    hit = index.touched(texts, words)
+    found = [bool(index.leaks(t, words)) for t in texts]
+    assert sum(found) > 40 and not any(f and not h for f, h in zip(found, hit, strict=True))
+    assert not templates.TemplateIndex.build([]).touched(texts, words).any()
