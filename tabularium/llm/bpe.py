@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from tabularium.llm.batches import small_batches
+from tabularium.llm.names import free_names, without
 
 #: Entries of a worker's tables of pieces, states and pairs; beyond it a table starts anew, which costs time and changes no result.
-MEMO, STATES, PAIRS = 400_000, 2_000, 300_000
+MEMO, STATES, PAIRS = 600_000, 2_000, 300_000
 #: With a full table, pieces up to so many bytes are read without making states from the first unknown move on.
 SHORT = 256
 _NEVER = 1 << 62
@@ -37,6 +38,14 @@ def load_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines.splitlines() if line)}
 
 
+def _by_rank(ranks: dict[bytes, int]) -> list[bytes]:
+    """The tokens by their ids."""
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
 @dataclass(slots=True)
 class _State:
     """What a reader knows after some bytes. Places count the bytes that are not certain yet.
@@ -288,16 +297,34 @@ def decode(df: DataFrame, ids: str, lines: bytes, out: str = "decoded") -> DataF
 
     @pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ranks = load_ranks(lines)
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
+        tokens = _by_rank(load_ranks(lines))
         for column in batches:
             yield pd.Series(["".join(decode_stream(tokens, np.frombuffer(x or b"", "<u4"))) for x in column], dtype=object)
 
     return df.withColumn(out, text(F.col(ids)))
 
 
+def encode_and_decode(df: DataFrame, text: str, lines: bytes, pattern: str, out: str = "ids", back: str = "decoded") -> DataFrame:
+    """df with what encode and then decode add to it, by one worker of a task instead of two.
+
+    The ids are decoded as they are returned. Nulls, empty texts, repeated rows and empty tables are treated as there; columns
+    with the two names in any case are replaced.
+    """
+    small_batches(df.sparkSession)
+
+    @pandas_udf("ids binary, text string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        ranks = load_ranks(lines)
+        encoder, tokens = Encoder(ranks, pattern), _by_rank(ranks)
+        for texts in batches:
+            ids = [encoder.encode(t) for t in texts]
+            yield pd.DataFrame({"ids": ids, "text": ["".join(decode_stream(tokens, np.frombuffer(x, "<u4"))) for x in ids]}, dtype=object)
+
+    (said,) = free_names(df, "_said")
+    found = df.select(*df.columns, both(F.col(text)).alias(said))
+    return found.select(*without(df, (out, back)), F.col(f"{said}.ids").alias(out), F.col(f"{said}.text").alias(back))
+
+
 def n_tokens(ids: str) -> Column:
     """The number of packed ids."""
     return F.floor(F.octet_length(ids) / 4).cast("long")

@@ -49,8 +49,8 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = tokenizer("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), "text", ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded.drop("text"), "ids", ranks).select(
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode_and_decode(documents, "text", ranks, public_tokenizers.PATTERN).select(
         "doc_id", bpe.n_tokens("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

@@ -58,6 +58,9 @@ def test_bpe_round_trip_and_nulls(spark):
     rows = bpe.decode(bpe.encode(df, "text", ranks, PATTERN), "ids", ranks).collect()
     assert [(r.doc_id, r.decoded, len(r.ids) > 0) for r in rows] == [(1, "Grüße, 😀 world", True), (2, "", False), (3, "", False), (3, "", False)]
     assert bpe.encode(df.limit(0), "text", ranks, PATTERN).collect() == []
+    both = bpe.encode_and_decode(df.withColumn("Decoded", F.lit(1)).withColumn("_said", F.lit(2)), "text", ranks, PATTERN)
+    assert both.columns == ["doc_id", "text", "_said", "ids", "decoded"] and [(r.doc_id, r.decoded, r.ids) for r in both.collect()] == [(r.doc_id, r.decoded, r.ids) for r in rows]
+    assert bpe.encode_and_decode(df.limit(0), "text", ranks, PATTERN).collect() == []
 
 
 def test_bpe_query(spark):
