@@ -56,7 +56,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each text, and whether decoding them gives the text back."""
     ranks = tokenizer("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.decode(bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN), "ids", ranks)
+    encoded = bpe.encode_and_decode(docs, "text", ranks, public_tokenizers.PATTERN)
     return encoded.select("doc_id", "lang", "source", bpe.n_tokens("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                           (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
