@@ -44,7 +44,7 @@ GROUP = 2000
 #: Pairs looked at at once.
 PAIRS = 1 << 20
 #: Rounds of further pivots at most, and the share of a round's pairs that must link for another one to follow.
-ROUNDS, YIELD = 8, 0.05
+ROUNDS, YIELD = 4, 0.05
 
 
 def digest(shingles: np.ndarray) -> int:
