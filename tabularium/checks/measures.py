@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabularium.checks.declared import rounded
-from tabularium.checks.nested import MOTIF_SQL, motif
+from tabularium.checks.nested import MOTIF_SQL, motif_of
 from tabularium.checks.registry import check, table
 from tabularium.operators import evidence, motifs, pairs, profiles, sequences, survival
 
 # ---- motifs ----------------------------------------------------------------
 
 
-def matrices(spark, d):
-    """Part, name and matrix of the well-formed motifs."""
-    found = motif(spark, d).select("p_partkey", motifs.positions(*map(F.col, "ACGT")).alias("m")).where("m IS NOT NULL")
-    return found.join(table(spark, d, "part").select("p_partkey", "p_name"), "p_partkey")
+def matrices(parts):
+    """Key, name and matrix of the well-formed motifs, with the columns that they are made of."""
+    made_of = ("p_name", "p_size", "p_type")
+    return motif_of(parts, *made_of).select("p_partkey", *made_of, motifs.positions(*map(F.col, "ACGT")).alias("m")).where("m IS NOT NULL")
+
+
+def first_of_name(parts):
+    """Name and matrix of each name's well-formed motif with the least key.
+
+    The part is chosen by key before its matrix is kept, so matrices of the other parts are neither sorted nor joined.
+    """
+    first = matrices(parts).groupBy("p_name").agg(F.min(F.struct("p_partkey", "p_size", "p_type")).alias("_first")).select("p_name", "_first.*")
+    return matrices(first).select("p_name", "m")
 
 
 @check("motif_weights", f"""
@@ -23,7 +32,7 @@ WITH {MOTIF_SQL}, t AS (SELECT p_partkey, pos, sum(n) AS total FROM long GROUP B
 SELECT p_partkey, pos, base, round(log2((n + 0.8 * b) / (total + 0.8) / b), 6) + 0.0 AS weight
 FROM long JOIN t USING (p_partkey, pos) JOIN (VALUES ('A', 0.3::DOUBLE), ('C', 0.2), ('G', 0.2), ('T', 0.3)) g(base, b) USING (base)""")
 def _(spark, d):
-    rows = matrices(spark, d).select("p_partkey", F.posexplode(motifs.log_odds(F.col("m"), 0.8, (0.3, 0.2, 0.2, 0.3))).alias("pos", "w"))
+    rows = matrices(table(spark, d, "part")).select("p_partkey", F.posexplode(motifs.log_odds(F.col("m"), 0.8, (0.3, 0.2, 0.2, 0.3))).alias("pos", "w"))
     cells = F.inline(F.array(*[F.struct(F.lit(b).alias("base"), F.col("w")[i].alias("weight")) for i, b in enumerate("ACGT")]))
     return rounded(rows.select("p_partkey", "pos", cells), 6, "weight")
 
@@ -32,7 +41,7 @@ def _(spark, d):
 WITH {MOTIF_SQL}, p AS (SELECT p_partkey, pos, n / sum(n) OVER (PARTITION BY p_partkey, pos) AS p FROM long)
 SELECT p_partkey, pos, round(2 + sum(CASE WHEN p > 0 THEN p * log2(p) ELSE 0 END), 6) + 0.0 AS bits FROM p GROUP BY 1, 2""")
 def _(spark, d):
-    rows = matrices(spark, d).select("p_partkey", F.posexplode(motifs.information(F.col("m"))).alias("pos", "bits"))
+    rows = matrices(table(spark, d, "part")).select("p_partkey", F.posexplode(motifs.information(F.col("m"))).alias("pos", "bits"))
     return rounded(rows, 6, "bits")
 
 
@@ -46,7 +55,7 @@ c AS (SELECT a.p_name AS a, b.p_name AS b, b.strand, a.pos - b.pos AS "offset",
 s AS (SELECT a, b, strand, "offset", round(avg(r), 9) AS score, count(*) AS length FROM c GROUP BY 1, 2, 3, 4 HAVING count(*) >= least(3, any_value(n), any_value(m)))
 SELECT a, b, round(score, 6) + 0.0 AS score, "offset", strand FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY score DESC, length DESC, strand, "offset") AS k FROM s) WHERE k = 1""")
 def _(spark, d):
-    named = matrices(spark, d).groupBy("p_name").agg(F.min_by("m", "p_partkey").alias("m")).withColumn("family", F.split_part("p_name", F.lit(" "), F.lit(2)))
+    named = first_of_name(table(spark, d, "part")).withColumn("family", F.split_part("p_name", F.lit(" "), F.lit(2)))
     both = pairs.pairs_by_key(named, "family", "p_name", ["m"])
     return rounded(both.select("a", "b", motifs.similarity(F.col("a_m"), F.col("b_m")).alias("s")).select("a", "b", "s.score", "s.offset", "s.strand"), 6, "score")
 

@@ -223,15 +223,19 @@ def _(spark, d):
     return a.unionByName(b, allowMissingColumns=True)
 
 
-def motif(spark, d):
-    """Four count lists per part from the letters of its name; SMALL parts lack T, size 13 has a short C."""
+def motif_of(parts, *carry):
+    """Four count lists per part from the letters of its name, beside columns to carry; SMALL parts lack T, size 13 has a short C."""
     letters = F.split("p_name", "")
     counts = lambda k: F.transform(letters, lambda s: F.when(F.ascii(s) % 4 == k, F.lit(3.0)).otherwise(F.lit(1.0)))
-    return table(spark, d, "part").select(
-        "p_partkey", counts(0).alias("A"), F.when(F.col("p_size") == 13, F.slice(counts(1), 1, 2)).otherwise(counts(1)).alias("C"),
+    return parts.select(
+        "p_partkey", *carry, counts(0).alias("A"), F.when(F.col("p_size") == 13, F.slice(counts(1), 1, 2)).otherwise(counts(1)).alias("C"),
         counts(2).alias("G"), F.when(F.col("p_type") != "SMALL", counts(3)).alias("T"))
 
 
+def motif(spark, d):
+    return motif_of(table(spark, d, "part"))
+
+
 MOTIF_SQL = """
 l AS (SELECT p_partkey, p_name, unnest(range(length(p_name)))::INTEGER AS pos FROM part WHERE p_type <> 'SMALL' AND p_size <> 13),
 m AS (SELECT p_partkey, pos, ascii(substr(p_name, pos + 1, 1)) AS c FROM l),
