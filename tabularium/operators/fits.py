@@ -94,22 +94,24 @@ def zipf(df: DataFrame, key: str) -> DataFrame:
                       F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"))
 
 
-def poisson_weights(key: Column, replicates: int) -> Column:
-    """For each replicate how often the row is drawn, Poisson of mean 1, from the MD5 of its key alone.
+def poisson_draws(df: DataFrame, key: Column, replicates: int) -> DataFrame:
+    """The rows with columns replicate (from 1) and weight, how often the replicate draws the row: Poisson of mean 1, from the
+    MD5 of the key alone; rows that a replicate does not draw are left out. Replicate 0 holds every row once.
 
-    Two halves of the hash give a sequence whose members are uniform and pairwise independent over rows.
+    Two halves of the hash give a sequence whose members are uniform and pairwise independent over rows. The hash is taken
+    once per row, before the replicates, and a weight is a comparison of whole numbers.
     """
-    start = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
-    step = F.conv(F.substring(F.md5(key.cast("string")), 9, 8), 16, 10).cast("bigint")
-    uniform = lambda r: F.pmod(start + r * step, F.lit(1 << 32)) / F.lit(float(1 << 32))
-
-    def drawn(u: Column) -> Column:
-        out = F.lit(0)
-        for share in POISSON_SHARES:
-            out = out + (u >= F.lit(share)).cast("int")
-        return out
-
-    return F.transform(F.sequence(F.lit(1), F.lit(replicates)), lambda r: F.struct(r.alias("replicate"), drawn(uniform(r.cast("bigint"))).alias("weight")))
+    hashed = df.withColumn("_md5", F.md5(key.cast("string")))
+    start, step = (F.conv(F.substring("_md5", at, 8), 16, 10).cast("bigint") for at in (1, 9))
+    each = hashed.select(*df.columns, start.alias("_start"), step.alias("_step")).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("replicate"))
+    u = F.pmod(F.col("_start") + F.col("replicate") * F.col("_step"), F.lit(1 << 32))
+    weight = F.when(F.col("replicate") == 0, F.lit(1))
+    limits = [math.ceil(share * (1 << 32)) for share in POISSON_SHARES]
+    for drawn, limit in enumerate(limits):
+        weight = weight.when(u < F.lit(limit), F.lit(drawn))
+    # A null key has no u, and so no weight.
+    return each.select(*df.columns, "replicate", weight.when(u >= F.lit(limits[-1]), F.lit(len(limits))).alias("weight")).where("weight > 0")
 
 
 def bootstrap_mean(df: DataFrame, value: str, key: str, by: Sequence[str] = (), replicates: int = 200, level: float = 0.95) -> DataFrame:
@@ -121,9 +123,8 @@ def bootstrap_mean(df: DataFrame, value: str, key: str, by: Sequence[str] = (),
     """
     by = list(by)
     v = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
-    rows = df.select(*by, v.alias("_v"), poisson_weights(F.col(key), replicates).alias("_w")).where("_v IS NOT NULL")
-    own = F.array(F.struct(F.lit(0).alias("replicate"), F.lit(1).alias("weight")))
-    drawn = rows.select(*by, "_v", F.explode(F.concat(own, F.col("_w"))).alias("_w")).select(*by, "_v", "_w.*").where("weight > 0")
+    rows = df.select(*by, v.alias("_v"), F.col(key).alias("_key")).where("_v IS NOT NULL")
+    drawn = poisson_draws(rows, F.col("_key"), replicates)
     means = drawn.groupBy(*by, "replicate").agg(F.sum("weight").alias("_n"), (F.sum(F.col("_v") * F.col("weight")) / F.sum("weight")).alias("_mean"))
     real, tail = F.col("replicate") == 0, (1 - level) / 2
     spread = F.percentile(F.when(~real, F.col("_mean")), F.array(F.lit(tail), F.lit(1 - tail)))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabularium.checks.measures import first_of_name, matrices
+from tabularium.operators import fits
 
 
 def plan(df) -> str:
@@ -15,3 +16,9 @@ def test_motifs_of_parts_need_no_join(spark):
     assert "Join" not in plan(matrices(parts)) and "Join" not in plan(first_of_name(parts))
     wanted = {r.p_name: r.m for r in matrices(parts).where("p_partkey = 3").collect()}
     assert {r.p_name: r.m for r in first_of_name(parts).collect()} == wanted
+
+
+def test_bootstrap_hashes_a_row_once(spark):
+    df = spark.range(50).select("id", F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
+    said = plan(fits.bootstrap_mean(df, "v", "id", ["g"], 40))
+    assert said.count("md5(") <= 2 and "lambda" not in said
