@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabularium.checks.measures import first_of_name, matrices
-from tabularium.operators import fits
+from tabularium.operators import ecology, fits
 
 
 def plan(df) -> str:
@@ -22,3 +22,22 @@ def test_bootstrap_hashes_a_row_once(spark):
     df = spark.range(50).select("id", F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
     said = plan(fits.bootstrap_mean(df, "v", "id", ["g"], 40))
     assert said.count("md5(") <= 2 and "lambda" not in said
+
+
+def test_bray_curtis_shuffles_samples_and_not_pairs(spark, monkeypatch):
+    monkeypatch.setattr(ecology, "BLOCK_SAMPLES", 7)
+    cells = {(f"s{s:02}", t): 1 + (s * 7 + t * 3) % 11 for s in range(30) for t in range(12) if (s + t) % 3 or t == 11 and s % 10}
+    cells |= {("alone", 99): 4}
+    df = spark.createDataFrame([(s, str(t), n) for (s, t), n in cells.items()], "sample string, taxon string, n long").repartition(5)
+    found = ecology.bray_curtis(df)
+    assert "Join" not in plan(found)
+    names, taxa = sorted({s for s, _ in cells}), {t for _, t in cells}
+    total = {s: sum(n for (x, _), n in cells.items() if x == s) for s in names}
+    want = {}
+    for i, a in enumerate(names):
+        for b in names[i + 1:]:
+            shared = sum(min(cells.get((a, t), 0), cells.get((b, t), 0)) for t in taxa)
+            if shared:
+                want[a, b] = (shared, 1 - 2 * shared / (total[a] + total[b]))
+    rows = found.collect()
+    assert len(rows) == len(want) and {(r.a, r.b): (r.shared, r.distance) for r in rows} == want
