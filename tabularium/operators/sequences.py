@@ -58,7 +58,8 @@ def gene_density(df: DataFrame, region: str, start: str, end: str, width: int) -
     """
     rows = df.where((F.col(region).isNotNull()) & (F.col(start) >= 1) & (F.col(end) >= F.col(start))).select(
         F.col(region).alias("region"), F.col(start).cast("bigint").alias("_s"), F.col(end).cast("bigint").alias("_e"))
-    first, last = (F.floor((F.col(c) - 1) / width).cast("bigint") for c in ("_s", "_e"))
+    # Whole-number division: a quotient in doubles is rounded up beyond 2^43 windows.
+    first, last = (F.expr(f"({c} - 1) div {int(width)}") for c in ("_s", "_e"))
     cut = rows.select("region", "_s", "_e", F.explode(F.sequence(first, last)).alias("bin"))
     low, high = F.col("bin") * width + 1, (F.col("bin") + 1) * width
     pieces = cut.select("region", "bin", F.greatest("_s", low).alias("_s"), F.least("_e", high).alias("_e")).groupBy("region", "bin", "_s", "_e").agg(F.count("*").alias("_n"))

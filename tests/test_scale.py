@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabularium.checks.measures import first_of_name, matrices
-from tabularium.operators import ecology, fits
+from tabularium.operators import ecology, fits, sequences
 
 
 def plan(df) -> str:
@@ -41,3 +41,10 @@ def test_bray_curtis_shuffles_samples_and_not_pairs(spark, monkeypatch):
                 want[a, b] = (shared, 1 - 2 * shared / (total[a] + total[b]))
     rows = found.collect()
     assert len(rows) == len(want) and {(r.a, r.b): (r.shared, r.distance) for r in rows} == want
+
+
+def test_windows_of_positions_beyond_exact_quotients(spark):
+    first = 1000 * 2 ** 46
+    df = spark.createDataFrame([("r", first + 999, first + 1000), ("r", first + 1001, first + 1001)], "r string, s long, e long")
+    got = {(r.bin, r.bin_start, r.n_genes, r.covered) for r in sequences.gene_density(df, "r", "s", "e", 1000).collect()}
+    assert got == {(2 ** 46, first + 1, 1, 2), (2 ** 46 + 1, first + 1001, 1, 1)}
