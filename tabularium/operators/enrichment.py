@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tabularium.functions.special import hypergeometric_tail
 from tabularium.operators.multiple import adjust
 from tabularium.operators.pairs import pairs_by_key
+from tabularium.session import stored, tasks_for
+
+#: Pairs of sets with a common member that one task makes.
+TASK_PAIRS = 2_000_000
 
 
 def over_representation(sets: DataFrame, name: str, member: str, chosen: DataFrame, universe: DataFrame | None = None) -> DataFrame:
@@ -34,10 +38,22 @@ def set_overlaps(sets: DataFrame, name: str, member: str, least: int = 1) -> Dat
     """(a, b, shared, jaccard) for sets with at least so many members in common, a before b.
 
     Pairs come from the members (an inverted index), never from comparing all sets with all; a member of very many sets is
-    dealt over tasks. Pairs are summed before they meet.
+    dealt over tasks. Pairs are counted before they are made, one sum to the driver, and there are as many tasks as the
+    pairs need, so that what a task counts does not grow with the input.
     """
-    rows = sets.where(F.col(name).isNotNull() & F.col(member).isNotNull()).select(F.col(name).alias("set"), F.col(member).alias("member")).distinct()
-    sizes = rows.groupBy("set").agg(F.count("*").alias("_size"))
-    shared = pairs_by_key(rows, "member", "set").groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
-    first, second = (sizes.select(F.col("set").alias(c), F.col("_size").alias(f"_{c}")) for c in "ab")
-    return shared.join(first, "a").join(second, "b").select("a", "b", "shared", (F.col("shared") / (F.col("_a") + F.col("_b") - F.col("shared"))).alias("jaccard"))
+    spark, known = sets.sparkSession, F.col(name).isNotNull() & F.col(member).isNotNull()
+    tasks = tasks_for(spark, sets.count())
+    rows = sets.where(known).select(F.col(name).alias("set"), F.col(member).alias("member")).repartition(tasks, "set", "member").distinct()
+    rows = stored(rows, "set-members")
+    sizes = stored(rows.repartition(tasks, "set").groupBy("set").agg(F.count("*").alias("_size")), "set-sizes")
+    met = rows.repartition(tasks, "member").groupBy("member").agg(F.count("*").alias("n"))
+    pairs = met.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+    made = tasks_for(spark, pairs, TASK_PAIRS)
+    # Pairs are counted in the tasks that make them before they meet, so fewer tasks take them in.
+    taken = tasks_for(spark, pairs, 4 * TASK_PAIRS)
+    counted = pairs_by_key(rows, "member", "set", tasks=made).groupBy("a", "b").agg(F.count("*").alias("n"))
+    shared = counted.repartition(taken, "a", "b").groupBy("a", "b").agg(F.sum("n").alias("shared")).where(F.col("shared") >= least)
+    # The sizes are written first, so that few of them are copied to the pairs.
+    for c in "ab":
+        shared = shared.join(sizes.select(F.col("set").alias(c), F.col("_size").alias(f"_{c}")), c)
+    return shared.select("a", "b", "shared", (F.col("shared") / (F.col("_a") + F.col("_b") - F.col("shared"))).alias("jaccard"))

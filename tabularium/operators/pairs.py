@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 STRIPE = 2000
 
 
-def pairs_by_key(df: DataFrame, key: str, name: str, carry: Sequence[str] = ()) -> DataFrame:
+def pairs_by_key(df: DataFrame, key: str, name: str, carry: Sequence[str] = (), tasks: int | None = None) -> DataFrame:
     """(key, a, b, a_<carry>..., b_<carry>...): rows of the same key, the smaller name first; names are unique per key.
 
     A key with many rows is cut into stripes by a hash of the name: a stripe's rows are on the left in one task only, and
     the right side is copied to every stripe. A task then holds STRIPE left rows of a key or so, whatever its number of
-    rows; a key of few rows is one stripe and nothing is copied. Null keys and names make no pair.
+    rows; a key of few rows is one stripe and nothing is copied. Null keys and names make no pair. With tasks, keys and
+    stripes are dealt over so many tasks.
     """
     rows = df.where(F.col(key).isNotNull() & F.col(name).isNotNull()).select(F.col(key).alias("_key"), F.col(name).alias("_name"), *carry)
     stripes = rows.groupBy("_key").agg(F.ceil(F.count("*") / STRIPE).cast("int").alias("_stripes")).where("_stripes > 1")
@@ -25,4 +26,6 @@ def pairs_by_key(df: DataFrame, key: str, name: str, carry: Sequence[str] = ())
                         *[F.col(c).alias(f"a_{c}") for c in carry])
     right = dealt.select("_key", F.explode(F.sequence(F.lit(0), F.col("_stripes") - 1)).alias("_stripe"), F.col("_name").alias("b"),
                          *[F.col(c).alias(f"b_{c}") for c in carry])
+    if tasks:
+        left, right = (side.repartition(tasks, "_key", "_stripe") for side in (left, right))
     return left.join(right, ["_key", "_stripe"]).where("a < b").drop("_stripe").withColumnRenamed("_key", key)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabularium.checks.measures import first_of_name, matrices
-from tabularium.operators import ecology, fits, sequences
+from tabularium.operators import ecology, enrichment, fits, sequences
 
 
 def plan(df) -> str:
@@ -18,6 +18,19 @@ def test_motifs_of_parts_need_no_join(spark):
     assert {r.p_name: r.m for r in first_of_name(parts).collect()} == wanted
 
 
+def test_overlaps_have_tasks_by_their_pairs(spark, monkeypatch):
+    monkeypatch.setattr(enrichment, "TASK_PAIRS", 10)
+    rows = [(s, m) for s in range(12) for m in range(10 + s % 3)] + [(99, 500), (None, 1), (3, None), (0, 0)]
+    found = enrichment.set_overlaps(spark.createDataFrame(rows, "s long, m long"), "s", "m")
+    pairs = sum(n * (n - 1) // 2 for n in [12] * 10 + [8, 4])
+    said = plan(found)
+    assert "RepartitionByExpression [_key#" in said and f"], {-(-pairs // 10)}" in said
+    got = {(r.a, r.b): (r.shared, r.jaccard) for r in found.collect()}
+    size = {s: 10 + s % 3 for s in range(12)}
+    shared = {(a, b): min(size[a], size[b]) for a in range(12) for b in range(a + 1, 12)}
+    assert got == {(a, b): (n, n / (size[a] + size[b] - n)) for (a, b), n in shared.items()}
+
+
 def test_bootstrap_hashes_a_row_once(spark):
     df = spark.range(50).select("id", F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
     said = plan(fits.bootstrap_mean(df, "v", "id", ["g"], 40))
