@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabularium.session import tasks_for
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,3 +34,16 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+#: Rows of a table whose records a task makes and reads.
+RECORDS = 20_000
+
+
+def spread(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """One of the given tables, dealt over tasks by its number of rows.
+
+    A small file holds many rows and is read by one task, too few for records that are costly to make and to read.
+    """
+    rows = table(spark, folder, name)
+    return rows.repartition(tasks_for(spark, rows.count(), RECORDS), key)

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from tabularium.checks import shapes
-from tabularium.checks.registry import check, table
+from tabularium.checks.registry import check, spread, table
 from tabularium.plans import files, genes, molecules, studies
 from tabularium.session import fresh_path
 
@@ -426,7 +426,7 @@ def _(spark, d):
 SELECT 'CHEBI:' || p_partkey AS chebi_id, p_name AS name, '' AS formula, CASE WHEN p_type <> 'SMALL' THEN p_retailprice END AS monoisotopic_mass, p_size AS charge, '' AS inchi, '' AS smiles, NULL::INTEGER AS star_rating FROM part""")
 def _(spark, d):
     from tabularium.checks.sources import compound_xml
-    return molecules.compounds(table(spark, d, "part").select(compound_xml().alias("doc")), "doc")
+    return molecules.compounds(spread(spark, d, "part", "p_partkey").select(compound_xml().alias("doc")), "doc")
 
 
 def enzyme_page():
@@ -572,7 +572,7 @@ FROM part, (VALUES ('BRAND'), ('TYPE'), (NULL)) x(s) WHERE (x.s IS NULL AND p_ty
 def _(spark, d):
     from tabularium.checks.sources import disorder_xml
     from tabularium.sources.xmlsrc import parse_xml
-    docs = table(spark, d, "part").select(parse_xml(disorder_xml(), molecules.DISORDER_XML).alias("x"))
+    docs = spread(spark, d, "part", "p_partkey").select(parse_xml(disorder_xml(), molecules.DISORDER_XML).alias("x"))
     return molecules.disorder_xrefs(docs.select("x.*"))
 
 
@@ -582,7 +582,7 @@ SELECT p_partkey AS orpha_code, p_name AS disorder_name, p_brand AS gene_symbol,
 FROM part, range(2) r(i) WHERE p_type <> 'SMALL' AND (i = 0 OR p_size > 25)""")
 def _(spark, d):
     from tabularium.sources.xmlsrc import parse_xml
-    docs = table(spark, d, "part").select(parse_xml(association_xml(), molecules.DISORDER_GENE_XML).alias("x"))
+    docs = spread(spark, d, "part", "p_partkey").select(parse_xml(association_xml(), molecules.DISORDER_GENE_XML).alias("x"))
     return molecules.disorder_genes(docs.select("x.*"))
 
 

@@ -11,7 +11,7 @@ from tabularium.functions.nested import field_list, first_item, join_list, list_
 from tabularium.functions.rows import item_rows, struct_rows
 from tabularium.functions.text import dotted_levels, equation_participants, fixed_part, match_rows, match_structs, stated_quantity, span_length, split_once
 from tabularium.plans.base import JsonTable
-from tabularium.sources.xmlsrc import xml_item, xml_text
+from tabularium.sources.xmlsrc import item_path, text_path, xml_fields
 
 DRUGS = JsonTable(
     "drugs",
@@ -46,12 +46,10 @@ ACTIVITIES = JsonTable(
 
 def compounds(df: DataFrame, doc: str) -> DataFrame:
     """Compound rows of namespaced XML answers; a blank number is null, another text fails the job."""
-    d = F.col(doc)
-    raw = df.select(
-        xml_text(d, "chebiId").alias("chebi_id"), xml_text(d, "chebiAsciiName").alias("name"), xml_text(d, "Formulae").alias("formula"),
-        xml_item(d, "ChemicalDataItem", "datatype", "MONOISOTOPIC MASS", "data").alias("monoisotopic_mass"),
-        xml_text(d, "charge").alias("charge"), xml_text(d, "inchi").alias("inchi"), xml_text(d, "smiles").alias("smiles"),
-        xml_text(d, "entityStar").alias("star_rating"))
+    raw = xml_fields(df, doc, {
+        "chebi_id": text_path("chebiId"), "name": text_path("chebiAsciiName"), "formula": text_path("Formulae"),
+        "monoisotopic_mass": item_path("ChemicalDataItem", "datatype", "MONOISOTOPIC MASS", "data"),
+        "charge": text_path("charge"), "inchi": text_path("inchi"), "smiles": text_path("smiles"), "star_rating": text_path("entityStar")})
     return raw.withColumns({
         "monoisotopic_mass": strict(blank_to_null("monoisotopic_mass"), "double"),
         "charge": strict(blank_to_null("charge"), "int"),

@@ -21,15 +21,38 @@ def parse_xml(doc: Column, schema: str) -> Column:
     return F.from_xml(doc, schema, {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
 
 
+def text_path(tag: str) -> str:
+    """XPath of the elements with the local name."""
+    return f"//*[local-name()='{tag}']"
+
+
+def item_path(item: str, key: str, wanted: str, value: str) -> str:
+    """XPath of the value of the first item whose key element has the wanted text."""
+    return f"//*[local-name()='{item}'][*[local-name()='{key}']='{wanted}'][1]/*[local-name()='{value}']"
+
+
 def xml_text(doc: Column, tag: str) -> Column:
     """Trimmed text of the first element with the local name, empty when absent."""
-    return F.trim(F.xpath_string(doc, F.lit(f"//*[local-name()='{tag}']")))
+    return F.trim(F.xpath_string(doc, F.lit(text_path(tag))))
 
 
 def xml_item(doc: Column, item: str, key: str, wanted: str, value: str) -> Column:
     """Value of the first item whose key element has the wanted text, empty when absent."""
-    path = f"//*[local-name()='{item}'][*[local-name()='{key}']='{wanted}'][1]/*[local-name()='{value}']"
-    return F.trim(F.xpath_string(doc, F.lit(path)))
+    return F.trim(F.xpath_string(doc, F.lit(item_path(item, key, wanted, value))))
+
+
+#: A character that no XML document can hold.
+_BETWEEN = "\u0001"
+
+
+def xml_fields(df: DataFrame, doc: str, paths: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """A column per XPath with the trimmed text of its first element, empty when absent.
+
+    Each document is read once: one XPath joins the texts, and they are split again.
+    """
+    joined = f", '{_BETWEEN}', ".join(f"string({p})" for p in paths.values())
+    texts = df.select(*keep, F.split(F.xpath_string(doc, F.lit(f"concat({joined}, '')")), _BETWEEN).alias("_texts"))
+    return texts.select(*keep, *[F.trim(F.get("_texts", F.lit(i))).alias(n) for i, n in enumerate(paths)])
 
 
 ACQUISITION_SCHEMA = """
@@ -49,7 +72,10 @@ def acquisition_columns(doc: Column) -> dict[str, Column]:
     Pixel sizes arrive in metres and leave in micrometres; a channel is named by its name,
     dye or id, with the dye in brackets unless the name already holds it.
     """
-    meta = parse_xml(doc, ACQUISITION_SCHEMA)["Metadata"]
+    return _acquisition(parse_xml(doc, ACQUISITION_SCHEMA)["Metadata"])
+
+
+def _acquisition(meta: Column) -> dict[str, Column]:
     info = meta["Information"]
     distances = meta["Scaling"]["Items"]["Distance"]
     channels = info["Image"]["Dimensions"]["Channels"]["Channel"]
@@ -76,8 +102,11 @@ def acquisition_columns(doc: Column) -> dict[str, Column]:
 
 
 def select_acquisition(df: DataFrame, doc: str, keep: Sequence[str] = (), columns: Mapping[str, Column] | None = None) -> DataFrame:
-    """Acquisition row per image-metadata document; an unreadable one is all null with an error text."""
-    cols = dict(columns or acquisition_columns(F.col(doc)))
-    broken = parse_xml(F.col(doc), ACQUISITION_SCHEMA)["Metadata"].isNull()
-    return df.select(*keep, *[c.alias(n) for n, c in cols.items()],
-                     F.when(broken, F.lit("unreadable metadata")).alias("error"))
+    """Acquisition row per image-metadata document; an unreadable one is all null with an error text.
+
+    A document is read once, whatever the number of columns.
+    """
+    read = df.withColumn("_meta", parse_xml(F.col(doc), ACQUISITION_SCHEMA)["Metadata"])
+    cols = dict(columns or _acquisition(F.col("_meta")))
+    return read.select(*keep, *[c.alias(n) for n, c in cols.items()],
+                       F.when(F.col("_meta").isNull(), F.lit("unreadable metadata")).alias("error"))

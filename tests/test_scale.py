@@ -2,8 +2,14 @@
 
 from pyspark.sql import functions as F
 
+from tabularium.checks import registry
+from tabularium.checks.all import CHECKS
 from tabularium.checks.measures import first_of_name, matrices
 from tabularium.operators import ecology, enrichment, fits, sequences
+from tabularium.plans import molecules
+from tabularium.sources import xmlsrc
+
+SMALL = "/root/testdata/sf0.001"
 
 
 def plan(df) -> str:
@@ -61,3 +67,29 @@ def test_windows_of_positions_beyond_exact_quotients(spark):
     df = spark.createDataFrame([("r", first + 999, first + 1000), ("r", first + 1001, first + 1001)], "r string, s long, e long")
     got = {(r.bin, r.bin_start, r.n_genes, r.covered) for r in sequences.gene_density(df, "r", "s", "e", 1000).collect()}
     assert got == {(2 ** 46, first + 1, 1, 2), (2 ** 46 + 1, first + 1001, 1, 1)}
+
+
+def test_xml_fields_read_a_document_once(spark):
+    docs = ["<r xmlns:c='u'><c:a> x </c:a><a>y</a><i><k>M</k><v/></i><i><k>M</k><v>9</v></i><i><k>N</k><v>7</v></i></r>", "<r><b>&lt;1</b></r>", None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "id int, doc string").repartition(2)
+    paths = {t: xmlsrc.text_path(t) for t in "abz"} | {"m": xmlsrc.item_path("i", "k", "M", "v"), "n": xmlsrc.item_path("i", "k", "N", "v")}
+    found = xmlsrc.xml_fields(df, "doc", paths, keep=["id"])
+    one_by_one = df.select("id", *[xmlsrc.xml_text(F.col("doc"), t).alias(t) for t in "abz"],
+                           *[xmlsrc.xml_item(F.col("doc"), "i", "k", k.upper(), "v").alias(k) for k in "mn"])
+    assert sorted(found.collect()) == sorted(one_by_one.collect())
+    assert plan(found).count("XPathStringEvaluator(") == 1
+    assert plan(molecules.compounds(df, "doc")).count("XPathStringEvaluator(") == 1
+
+
+def test_acquisition_reads_a_document_once(spark):
+    df = spark.createDataFrame([("<a/>",), (None,)], "doc string").repartition(2)
+    assert plan(xmlsrc.select_acquisition(df, "doc")).count("from_xml(") == 1
+
+
+def test_records_are_dealt_over_tasks_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(registry, "RECORDS", 10)
+    rows = registry.table(spark, SMALL, "part").count()
+    for name in ["table_compounds", "s9_xml_fields", "s10_xml_item", "s17_acquisition_xml", "n23_column_sums", "table_disorder_xrefs"]:
+        assert "RepartitionByExpression [p_partkey#" in plan(CHECKS[name].run(spark, SMALL)), name
+    assert registry.spread(spark, SMALL, "part", "p_partkey").rdd.getNumPartitions() == -(-rows // 10)
+    assert len(CHECKS["s8_xml_rows"].run(spark, SMALL).inputFiles()) > 1
