@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tabularium.checks import shapes
-from tabularium.checks.registry import check, table
+from tabularium.checks.registry import check, spread, table
 from tabularium.operators import catalogue, manifest, profile, sinks, validate
 from tabularium.session import fresh_path
 from tabularium.sources import archive, delimited, landed, listing, obo, xmlsrc
@@ -195,7 +195,7 @@ UNION ALL SELECT p_partkey, p_name, 'BRAND', p_brand FROM part WHERE p_type <> '
 UNION ALL SELECT p_partkey, p_name, 'TYPE', p_type FROM part WHERE p_type <> 'SMALL' AND p_size > 25""")
 def _(spark, d):
     path = fresh_path(spark, "xml")
-    table(spark, d, "part").select(disorder_xml().alias("value")).mapInPandas(rooted, "value string").write.text(path)
+    spread(spark, d, "part", "p_partkey").select(disorder_xml().alias("value")).mapInPandas(rooted, "value string").write.text(path)
     rows = xmlsrc.read_xml(spark, path, "Disorder", XML_DISORDER)
     return rows.select(F.col("OrphaCode").try_cast("bigint").alias("orpha_code"), F.col("Name").alias("disorder_name"),
                        F.explode_outer("ExternalReferenceList.ExternalReference").alias("x")).select(
@@ -213,16 +213,15 @@ def compound_xml():
 
 @check("s9_xml_fields", "SELECT 'CHEBI:' || p_partkey AS chebi_id, p_name AS name, p_size::VARCHAR AS charge, '' AS smiles FROM part")
 def _(spark, d):
-    doc = F.col("doc")
-    return table(spark, d, "part").select(compound_xml().alias("doc")).select(
-        xmlsrc.xml_text(doc, "chebiId").alias("chebi_id"), xmlsrc.xml_text(doc, "chebiAsciiName").alias("name"),
-        xmlsrc.xml_text(doc, "charge").alias("charge"), xmlsrc.xml_text(doc, "smiles").alias("smiles"))
+    docs = spread(spark, d, "part", "p_partkey").select(compound_xml().alias("doc"))
+    path = xmlsrc.text_path
+    return xmlsrc.xml_fields(docs, "doc", {"chebi_id": path("chebiId"), "name": path("chebiAsciiName"), "charge": path("charge"), "smiles": path("smiles")})
 
 
 @check("s10_xml_item", "SELECT p_partkey, CASE WHEN p_type <> 'SMALL' THEN p_retailprice END AS mass FROM part")
 def _(spark, d):
     item = xmlsrc.xml_item(F.col("doc"), "ChemicalDataItem", "datatype", "MONOISOTOPIC MASS", "data")
-    return table(spark, d, "part").select("p_partkey", compound_xml().alias("doc")).select(
+    return spread(spark, d, "part", "p_partkey").select("p_partkey", compound_xml().alias("doc")).select(
         "p_partkey", F.nullif(item, F.lit("")).try_cast("double").alias("mass"))
 
 
@@ -295,7 +294,7 @@ def _(spark, d):
                                        tag("Image", tag("Dimensions", tag("Channels", channels))),
                                        tag("Instrument", tag("Objectives", objective))))
     doc = tag("ImageDocument", tag("Metadata", F.concat(scaling, info)))
-    df = table(spark, d, "part").select("p_partkey", doc.alias("doc"))
+    df = spread(spark, d, "part", "p_partkey").select("p_partkey", doc.alias("doc"))
     return xmlsrc.select_acquisition(df, "doc", keep=["p_partkey"])
 
 
