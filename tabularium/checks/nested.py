@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabularium.checks import shapes
-from tabularium.checks.registry import check, table
+from tabularium.checks.registry import check, spread, table
 from tabularium.functions import nested, text
 
 LINES = "list_filter(string_split(text, chr(10)), lambda s: trim(s, ' ') <> '')"
@@ -233,7 +233,7 @@ def motif_of(parts, *carry):
 
 
 def motif(spark, d):
-    return motif_of(table(spark, d, "part"))
+    return motif_of(spread(spark, d, "part", "p_partkey"))
 
 
 MOTIF_SQL = """
