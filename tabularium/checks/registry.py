@@ -40,10 +40,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 RECORDS = 20_000
 
 
-def spread(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """One of the given tables, dealt over tasks by its number of rows.
+def spread(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
+    """One of the given tables, dealt over tasks by its number of rows, in turn or by keys.
 
     A small file holds many rows and is read by one task, too few for records that are costly to make and to read.
     """
     rows = table(spark, folder, name)
-    return rows.repartition(tasks_for(spark, rows.count(), RECORDS), key)
+    return rows.repartition(tasks_for(spark, rows.count(), RECORDS), *keys)

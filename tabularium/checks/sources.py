@@ -294,7 +294,7 @@ def _(spark, d):
                                        tag("Image", tag("Dimensions", tag("Channels", channels))),
                                        tag("Instrument", tag("Objectives", objective))))
     doc = tag("ImageDocument", tag("Metadata", F.concat(scaling, info)))
-    df = spread(spark, d, "part", "p_partkey").select("p_partkey", doc.alias("doc"))
+    df = spread(spark, d, "part").select("p_partkey", doc.alias("doc"))
     return xmlsrc.select_acquisition(df, "doc", keep=["p_partkey"])
 
 
