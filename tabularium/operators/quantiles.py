@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.operators.indexing import running_total
+from tabularium.session import stored
 
 # The approximate ranks below are good to 1/ACCURACY of the group; the bracket is wider.
 ACCURACY = 20_000
@@ -29,9 +30,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     by, probs = list(by), sorted({float(p) for p in probs})
     keys = [*by, "column"]
     data = df.select(*by, *[F.col(c).cast("double").alias(f"_v{j}") for j, c in enumerate(columns)])
-    summary = _summaries(data, by, len(columns), probs)
+    # Written, as it is read twice and its size then is known: few groups are copied to the rows, which are not shuffled.
+    summary = stored(_summaries(data, by, len(columns), probs), "summaries")
     if by:
-        # One row per group; AQE picks the join from the measured size and splits a hot group.
         cond = F.lit(True)
         for k in by:
             cond = cond & F.col(f"l.{k}").eqNullSafe(F.col(f"b.{k}"))
@@ -120,11 +121,12 @@ def quantile_columns(df: DataFrame, column: str, probs: dict[str, float], by: Se
 def stretch(df: DataFrame, column: str, by: Sequence[str], low: float, high: float, out: str) -> DataFrame:
     """Values rescaled so that the group's low and high quantile become 0 and 1, clipped outside.
 
-    The two quantiles per group are joined back on the group and a salt, so a group with most
+    The two quantiles per group are written and joined back: few groups are copied to the rows,
+    which are not shuffled; many are joined on the group and a salt, so a group with most
     of the rows is dealt over many tasks. A null value stays null, and so do the values of a
     group that has none; null is a group. A column named out is replaced.
     """
-    limits = quantile_columns(df, column, {"_p_lo": low, "_p_hi": high}, by)
+    limits = stored(quantile_columns(df, column, {"_p_lo": low, "_p_hi": high}, by), "limits")
     width = F.greatest(F.col("_p_hi") - F.col("_p_lo"), F.lit(1e-9))
     scaled = F.least(F.greatest((F.col(column) - F.col("_p_lo")) / width, F.lit(0.0)), F.lit(1.0))
     value = F.when(F.col(column).isNotNull() & F.col("_p_lo").isNotNull(), scaled)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tabularium.checks import registry
 from tabularium.checks.all import CHECKS
 from tabularium.checks.measures import first_of_name, matrices
-from tabularium.operators import ecology, enrichment, fits, sequences
+from tabularium.operators import ecology, enrichment, fits, quantiles, sequences
 from tabularium.plans import molecules
 from tabularium.sources import xmlsrc
 
@@ -94,3 +94,12 @@ def test_records_are_dealt_over_tasks_by_their_number(spark, monkeypatch):
         assert "RepartitionByExpression [p_partkey#" in said or f"Repartition {-(-rows // 10)}, true" in said, name
     assert registry.spread(spark, SMALL, "part", "p_partkey").rdd.getNumPartitions() == -(-rows // 10)
     assert len(CHECKS["s8_xml_rows"].run(spark, SMALL).inputFiles()) > 1
+
+
+def test_rows_are_not_shuffled_to_their_groups_quantiles(spark):
+    rows = [(g, float(i % 37) if i % 5 else None) for g in ("a", "b", None) for i in range(60)] + [("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    found = quantiles.stretch(df, "v", ["g"], 0.0, 1.0, "s")
+    said = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in said and "Exchange hashpartitioning" not in said
+    assert sorted(found.collect(), key=str) == sorted([(g, v, None if v is None else v / 36) for g, v in rows], key=str)
