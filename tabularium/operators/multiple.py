@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabularium.session import cut_lineage
+from tabularium.session import cut_lineage, stored, tasks_for
+
+#: Tests that a task sorts and numbers.
+TASK_TESTS = 250_000
 
 
 def adjust(df: DataFrame, p: str, by: Sequence[str] = ()) -> DataFrame:
@@ -17,7 +20,7 @@ def adjust(df: DataFrame, p: str, by: Sequence[str] = ()) -> DataFrame:
     the largest p down of p * m / j, which for p_by is also multiplied by the harmonic number of m. None exceeds 1. Equal
     p-values get equal results. A p that is null or NaN is no test and gets nulls; null is a family.
 
-    A range-partitioned sort puts the tests of a family over many tasks, also those of one p-value. Ranks and running extremes
+    A range-partitioned sort puts the tests of a family over many tasks, also those of one p-value, as many as the rows need. Ranks and running extremes
     come from the rows of a partition and one row of totals per partition and family. The sorted table is checkpointed, as
     all of it must see the same partitions. Columns of the four names are replaced.
     """
@@ -27,7 +30,8 @@ def adjust(df: DataFrame, p: str, by: Sequence[str] = ()) -> DataFrame:
     tests = df.where(usable).select(*kept, F.col(p).cast("double").alias("_p"))
     keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(by)]
     names = [f"_k{i}" for i in range(len(by))]
-    spread = tests.select("*", *keys, F.rand(17).alias("_tie")).orderBy(*names, "_p", "_tie")
+    tasks, order = tasks_for(df.sparkSession, df.count(), TASK_TESTS), [*names, "_p", "_tie"]
+    spread = tests.select("*", *keys, F.rand(17).alias("_tie")).repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     ordered = cut_lineage(spread.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")))
 
     # Rows before each partition in its family, and rows of the family: one row per partition and family.
@@ -35,8 +39,10 @@ def adjust(df: DataFrame, p: str, by: Sequence[str] = ()) -> DataFrame:
     family = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
     upward = family.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("_part", *names, F.coalesce(F.sum("_n").over(upward), F.lit(0)).alias("_before"), F.sum("_n").over(family).alias("_m"))
+    # Totals are written, so that few of them are copied to the rows and the rows are not shuffled to them.
+    sizes = stored(sizes, "family-sizes")
     inside = Window.partitionBy("_part", *names)
-    numbered = _beside(ordered.withColumn("_j", F.row_number().over(inside.orderBy("_row"))), sizes, names)
+    numbered = _beside(ordered.repartition(tasks, "_part", *names).withColumn("_j", F.row_number().over(inside.orderBy("_row"))), sizes, names)
     numbered = numbered.withColumn("_j", F.col("_j") + F.col("_before"))
     scaled = numbered.select("*", (F.col("_p") * F.col("_m") / F.col("_j")).alias("_down"), (F.col("_p") * (F.col("_m") - F.col("_j") + 1)).alias("_up"))
 
@@ -46,6 +52,7 @@ def adjust(df: DataFrame, p: str, by: Sequence[str] = ()) -> DataFrame:
     # Frames start at the first row: those that end at the last would be summed anew for every row.
     later = family.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select("_part", *names, F.min("_least").over(later).alias("_least"), F.max("_most").over(upward).alias("_most"))
+    ends = stored(ends, "family-ends")
     low = F.min("_down").over(inside.orderBy(F.col("_row").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     high = F.max("_up").over(inside.orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = _beside(scaled.withColumns({"_low": low, "_high": high}), ends, names)
