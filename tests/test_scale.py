@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tabularium.checks import registry
 from tabularium.checks.all import CHECKS
 from tabularium.checks.measures import first_of_name, matrices
-from tabularium.operators import ecology, enrichment, fits, quantiles, sequences
+from tabularium.operators import ecology, enrichment, fits, multiple, quantiles, ranks, sequences
 from tabularium.plans import molecules
 from tabularium.sources import xmlsrc
 
@@ -103,3 +103,33 @@ def test_rows_are_not_shuffled_to_their_groups_quantiles(spark):
     said = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in said and "Exchange hashpartitioning" not in said
     assert sorted(found.collect(), key=str) == sorted([(g, v, None if v is None else v / 36) for g, v in rows], key=str)
+
+
+def test_many_tests_have_tasks_by_their_number(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "ab"[i % 2], ((i * 37) % 101) / 101) for i in range(200)], "id long, g string, p double")
+    want = sorted(multiple.adjust(df, "p", ["g"]).collect())
+    monkeypatch.setattr(multiple, "TASK_TESTS", 5)
+    found = multiple.adjust(df, "p", ["g"])
+    assert "], 40" in plan(found) and "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(found.collect()) == want
+
+
+def test_a_column_is_ranked_once_where_no_row_lacks_the_other(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(ranks, "stored", lambda df, label: made.append((label, df)) or df)
+    rows = [("g" if i % 3 else None, float(i % 7), float((i * i) % 11), float(-i % 5), None if i % 4 else float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, a double, b double, c double, d double")
+    found = ranks.spearman(df, ["a", "b", "c", "d"], ["g"]).collect()
+    sides = dict(made)["value-counts"].select("pair", "side").distinct().count()
+    assert sides == 3 + 1 + 3  # a, b and c with each other; d; a, b and c where d is there
+
+    def mean_ranks(v):
+        return [sum(w < x for w in v) + (sum(w == x for w in v) + 1) / 2 for x in v]
+    for r in found:
+        both = [(x[1 + "abcd".index(r.a)], x[1 + "abcd".index(r.b)]) for x in rows if x[0] == r.g]
+        x, y = (mean_ranks(v) for v in zip(*[p for p in both if None not in p]))
+        mx, my = sum(x) / len(x), sum(y) / len(y)
+        top = sum((p - mx) * (q - my) for p, q in zip(x, y))
+        rho = top / (sum((p - mx) ** 2 for p in x) * sum((q - my) ** 2 for q in y)) ** 0.5
+        assert r.n == len(x) and abs(r.rho - rho) < 1e-6
+    assert len(found) == 12
