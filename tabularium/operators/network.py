@@ -54,22 +54,32 @@ def triangles(pairs: DataFrame) -> DataFrame:
     twice the number of edges going out, so paths over a hub do not grow with the square of its degree. Two edges out of a
     node make a path, and a path closes if its ends have an edge.
     """
-    degree = degrees(pairs)
+    pairs = stored(pairs, "edges")
+    return _triangles(pairs, stored(degrees(pairs), "degrees"))
+
+
+def _triangles(pairs: DataFrame, degree: DataFrame) -> DataFrame:
+    """The same for edges and degrees that are at hand."""
     first = degree.select(F.col("node").alias("a"), F.col("degree").alias("_da"))
     second = degree.select(F.col("node").alias("b"), F.col("degree").alias("_db"))
     known = pairs.join(first, "a").join(second, "b")
-    low, high = F.struct(F.col("_da").alias("d"), F.col("a").alias("n")), F.struct(F.col("_db").alias("d"), F.col("b").alias("n"))
-    up = stored(known.select(F.least(low, high).alias("u"), F.greatest(low, high).alias("v")), "oriented-edges")
-    paths = up.select("u", "v").join(up.select("u", F.col("v").alias("w")), "u").where(F.col("v") < F.col("w"))
+    up_first = F.struct("_da", "a") < F.struct("_db", "b")
+    ends = (F.when(up_first, F.col(x)).otherwise(F.col(y)) for x, y in (("a", "b"), ("b", "a"), ("_db", "_da")))
+    up = stored(known.select(*[e.alias(n) for e, n in zip(ends, ("u", "v", "d"), strict=True)]), "oriented-edges")
+    paths = (up.select("u", "v", F.col("d").alias("_dv")).join(up.select("u", F.col("v").alias("w"), F.col("d").alias("_dw")), "u")
+             .where((F.col("_dv") < F.col("_dw")) | (F.col("_dv") == F.col("_dw")) & (F.col("v") < F.col("w"))).select("u", "v", "w"))
     closed = paths.join(up.select(F.col("u").alias("v"), F.col("v").alias("w")), ["v", "w"], "left_semi")
-    ordered = F.array_sort(F.array("u.n", "v.n", "w.n"))
+    ordered = F.array_sort(F.array("u", "v", "w"))
     return closed.select(ordered[0].alias("a"), ordered[1].alias("b"), ordered[2].alias("c"))
 
 
 def clustering(pairs: DataFrame) -> DataFrame:
     """(node, degree, n_triangles, coefficient): the share of a node's pairs of neighbours that are linked, 0 below degree 2."""
-    corners = triangles(pairs).select(F.explode(F.array("a", "b", "c")).alias("node")).groupBy("node").agg(F.count("*").alias("n_triangles"))
-    counted = degrees(pairs).join(corners, "node", "left").withColumn("n_triangles", F.coalesce("n_triangles", F.lit(0)))
+    # Edges are written, as all that follows reads them again.
+    pairs = stored(pairs, "edges")
+    degree = stored(degrees(pairs), "degrees")
+    corners = _triangles(pairs, degree).select(F.explode(F.array("a", "b", "c")).alias("node")).groupBy("node").agg(F.count("*").alias("n_triangles"))
+    counted = degree.join(corners, "node", "left").withColumn("n_triangles", F.coalesce("n_triangles", F.lit(0)))
     chances = F.col("degree") * (F.col("degree") - 1)
     return counted.withColumn("coefficient", F.coalesce(F.try_divide(2 * F.col("n_triangles"), chances), F.lit(0.0)))
 

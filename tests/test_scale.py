@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tabularium.checks import registry
 from tabularium.checks.all import CHECKS
 from tabularium.checks.measures import first_of_name, matrices
-from tabularium.operators import ecology, enrichment, fits, multiple, quantiles, ranks, sequences
+from tabularium.operators import ecology, enrichment, fits, multiple, network, quantiles, ranks, sequences
 from tabularium.plans import molecules
 from tabularium.sources import xmlsrc
 
@@ -133,3 +133,17 @@ def test_a_column_is_ranked_once_where_no_row_lacks_the_other(spark, monkeypatch
         rho = top / (sum((p - mx) ** 2 for p in x) * sum((q - my) ** 2 for q in y)) ** 0.5
         assert r.n == len(x) and abs(r.rho - rho) < 1e-6
     assert len(found) == 12
+
+
+def test_edges_are_made_once(spark, monkeypatch):
+    labels = []
+    keep = network.stored
+    monkeypatch.setattr(network, "stored", lambda df, label: labels.append(label) or keep(df, label))
+    edges = [(a, b) for a in range(9) for b in range(a + 1, 9) if (a * b) % 4 != 1]
+    made = spark.createDataFrame(edges, "a long, b long").repartition(2).distinct()
+    found = network.clustering(made)
+    assert labels.count("edges") == 1 and "LogicalRDD" not in plan(found)
+    near = {n: {a + b - n for a, b in edges if n in (a, b)} for n in range(9)}
+    want = {n: sum(b in near[a] for a in s for b in s if a < b) for n, s in near.items()}
+    assert {r.node: r.n_triangles for r in found.collect()} == want
+    assert network.triangles(made).count() == sum(want.values()) // 3
