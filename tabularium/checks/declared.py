@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabularium.checks.registry import check, table
 from tabularium.operators import ecology, enrichment, fits, group_tests, multiple, network, ranks
+from tabularium.session import stored
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -99,7 +100,7 @@ s AS (SELECT community, count(*) AS n_nodes, sum(degree)::BIGINT AS n_ends FROM
 SELECT community, n_nodes, coalesce(n_inside, 0) AS n_inside, n_ends,
   round(coalesce(n_inside, 0) / (SELECT count(*) FROM e)::DOUBLE - (n_ends / (2.0::DOUBLE * (SELECT count(*) FROM e))) ** 2, 9) AS modularity FROM s LEFT JOIN i USING (community)""")
 def _(spark, d):
-    pairs = part_pairs(spark, d)
+    pairs = stored(part_pairs(spark, d), "edges")
     return rounded(network.community_table(pairs, network.communities(pairs, ROUNDS)), 9, "modularity")
 
 
