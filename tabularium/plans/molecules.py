@@ -67,6 +67,12 @@ ENZYME_ENTRY = (
     "references: array<struct<citation: struct<citationCrossReferences: array<struct<database: string, id: string>>>>>")
 
 
+#: What of an entry the kinetic constants need.
+KINETICS_ENTRY = (
+    "primaryAccession: string, organism: struct<scientificName: string>, "
+    "comments: array<struct<commentType: string, texts: array<struct<value: string>>>>")
+
+
 def _texts(comments: Column) -> Column:
     kinetics = F.filter(comments, lambda k: k["commentType"] == "KINETICS")
     return F.transform(F.flatten(F.transform(kinetics, lambda k: F.coalesce(k["texts"], F.array()))),
@@ -99,9 +105,12 @@ ENZYMES = JsonTable("enzymes", f"results: array<struct<{ENZYME_ENTRY}>>", _enzym
 
 
 def kinetics(df: DataFrame, page: str, ec_number: str) -> DataFrame:
-    """One row per kinetic constant in the free text of all entries; malformed numbers are dropped."""
+    """One row per kinetic constant in the free text of all entries; malformed numbers are dropped.
+
+    Of an entry only what this needs is read.
+    """
     keys = ["ec_number", "uniprot_id", "organism"]
-    results = F.from_json(page, f"struct<results: array<struct<{ENZYME_ENTRY}>>>")["results"]
+    results = F.from_json(page, f"struct<results: array<struct<{KINETICS_ENTRY}>>>")["results"]
     entries = struct_rows(df.withColumn("ec_number", F.col(ec_number)), ["ec_number"], results, ["primaryAccession", "organism", "comments"])
     named = entries.select("ec_number", F.coalesce("primaryAccession", F.lit("")).alias("uniprot_id"),
                            F.coalesce("organism.scientificName", F.lit("unknown")).alias("organism"), "comments")

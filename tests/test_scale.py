@@ -147,3 +147,11 @@ def test_edges_are_made_once(spark, monkeypatch):
     want = {n: sum(b in near[a] for a in s for b in s if a < b) for n, s in near.items()}
     assert {r.node: r.n_triangles for r in found.collect()} == want
     assert network.triangles(made).count() == sum(want.values()) // 3
+
+
+def test_kinetics_read_only_what_they_need(spark):
+    page = '{"results":[{"primaryAccession":"P1","references":[{"citation":{}}],"comments":[{"commentType":"KINETICS","reaction":{"name":"A = B"},"texts":[{"value":"Km=2 mM for x;"}]}]}]}'
+    found = molecules.kinetics(spark.createDataFrame([("1.1", page)], "ec string, page string").repartition(2), "page", "ec")
+    said = plan(found)
+    assert "citationCrossReferences" not in said and "reaction" not in said
+    assert [tuple(r) for r in found.collect()] == [("1.1", "P1", "unknown", "x", 2.0, "mM")]
