@@ -49,10 +49,9 @@ def set_overlaps(sets: DataFrame, name: str, member: str, least: int = 1) -> Dat
     met = rows.repartition(tasks, "member").groupBy("member").agg(F.count("*").alias("n"))
     pairs = met.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
     made = tasks_for(spark, pairs, TASK_PAIRS)
-    # Pairs are counted in the tasks that make them before they meet, so fewer tasks take them in.
-    taken = tasks_for(spark, pairs, 4 * TASK_PAIRS)
-    counted = pairs_by_key(rows, "member", "set", tasks=made).groupBy("a", "b").agg(F.count("*").alias("n"))
-    shared = counted.repartition(taken, "a", "b").groupBy("a", "b").agg(F.sum("n").alias("shared")).where(F.col("shared") >= least)
+    taken = tasks_for(spark, pairs, 2 * TASK_PAIRS)
+    made_pairs = pairs_by_key(rows, "member", "set", tasks=made).select("a", "b").repartition(taken, "a", "b")
+    shared = made_pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
     # The sizes are written first, so that few of them are copied to the pairs.
     for c in "ab":
         shared = shared.join(sizes.select(F.col("set").alias(c), F.col("_size").alias(f"_{c}")), c)

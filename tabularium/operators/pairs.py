@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabularium.session import stored
+
 #: Rows of a key that meet all rows of that key in one task.
 STRIPE = 2000
 
@@ -21,6 +23,8 @@ def pairs_by_key(df: DataFrame, key: str, name: str, carry: Sequence[str] = (),
     """
     rows = df.where(F.col(key).isNotNull() & F.col(name).isNotNull()).select(F.col(key).alias("_key"), F.col(name).alias("_name"), *carry)
     stripes = rows.groupBy("_key").agg(F.ceil(F.count("*") / STRIPE).cast("int").alias("_stripes")).where("_stripes > 1")
+    # Written, so that the few frequent keys are copied to the rows and the rows are not shuffled to them.
+    stripes = stored(stripes, "stripes")
     dealt = rows.join(stripes.withColumnRenamed("_key", "_of"), F.col("_key") == F.col("_of"), "left").withColumn("_stripes", F.coalesce("_stripes", F.lit(1)))
     left = dealt.select("_key", F.pmod(F.xxhash64("_name"), F.col("_stripes")).cast("int").alias("_stripe"), F.col("_name").alias("a"),
                         *[F.col(c).alias(f"a_{c}") for c in carry])

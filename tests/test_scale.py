@@ -31,6 +31,7 @@ def test_overlaps_have_tasks_by_their_pairs(spark, monkeypatch):
     pairs = sum(n * (n - 1) // 2 for n in [12] * 10 + [8, 4])
     said = plan(found)
     assert "RepartitionByExpression [_key#" in said and f"], {-(-pairs // 10)}" in said
+    assert found._jdf.queryExecution().executedPlan().toString().count("ENSURE_REQUIREMENTS") == 0
     got = {(r.a, r.b): (r.shared, r.jaccard) for r in found.collect()}
     size = {s: 10 + s % 3 for s in range(12)}
     shared = {(a, b): min(size[a], size[b]) for a in range(12) for b in range(a + 1, 12)}
