@@ -43,6 +43,8 @@ HOT, PARTS = 64, 32
 GROUP = 2000
 #: Pairs looked at at once.
 PAIRS = 1 << 20
+#: Earlier open shingles that a row carries, so that a pair is made where it meets first.
+EARLIER = 16
 #: Rounds of further pivots at most, and the share of a round's pairs that must link for another one to follow.
 ROUNDS, YIELD = 4, 0.05
 
@@ -219,19 +221,51 @@ def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
     return stored(known.union(fresh), "components")
 
 
+def _first_meeting(n: np.ndarray, at: np.ndarray, m: np.ndarray, to: np.ndarray, percent: int) -> np.ndarray:
+    """Length filter, and positional filter for the first shingle that two sets share: nothing before it counts.
+
+    Where it holds for a shared shingle it holds for all shared ones before, so no similar pair is lost at its first.
+    """
+    length = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    return length & (1 + np.minimum(n - 1 - at, m - 1 - to) >= least_overlap(n, m, percent))
+
+
+def _met_before(earlier: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows a and b have an earlier shingle in common; earlier: a list per row, filled up with null."""
+    short = np.full((len(earlier), EARLIER), 0, np.int64)
+    used = np.zeros((len(earlier), EARLIER), bool)
+    for i, e in enumerate(earlier):
+        short[i, :len(e)] = e
+        used[i, :len(e)] = True
+    met = np.zeros(len(a), bool)
+    for width in (4, EARLIER):
+        for start in range(0, len(a), PAIRS >> 6):
+            some = start + np.flatnonzero(~met[start:start + (PAIRS >> 6)])
+            x, y = a[some], b[some]
+            same = (short[x, :width, None] == short[y, None, :width]) & used[x, :width, None] & used[y, None, :width]
+            met[some] = same.any(axis=(1, 2))
+    return met
+
+
 def _across(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of one shingle whose components differ and which all filters let pass; rows: shingle, component, node, n, place.
 
     Groups of one component are dropped before the shuffle. A large group is cut into blocks by node, and each pair of blocks
-    is a group of its own, so what a task holds has a bound.
+    is a group of its own, so what a task holds has a bound. Near copies share many shingles: a row carries the first EARLIER
+    open shingles of its node before its own, and a pair that has met in one of them is not made again.
     """
     spread = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
               .where("least < most").select("shingle", F.ceil(F.col("size") / GROUP).cast("long").alias("blocks")))
-    homes = rows.join(spread, "shingle").join(nodes.select("node", "mark"), "node").withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    dealt = homes.select("shingle", "component", "node", "n", "place", "mark", "home", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("shingle", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "home", "component", "node", "n", "place", "mark")
-
-    names = ("shingle", "i", "j", "home", "component", "node", "n", "place", "mark")
+    # A node's rows are those of one text, so its list has a bound.
+    homes = (rows.join(spread, "shingle").groupBy("node").agg(
+        F.first("component").alias("component"), F.first("n").alias("n"), F.array_sort(F.collect_set(F.struct("place", "shingle", "blocks"))).alias("mine"))
+        .join(nodes.select("node", "mark"), "node"))
+    homes = homes.select("component", "node", "n", "mark", F.col("mine.shingle").alias("shingles"), F.posexplode("mine").alias("nth", "own"))
+    homes = homes.select("own.shingle", "component", "node", "n", "own.place", "mark", F.slice("shingles", F.lit(1), F.least("nth", F.lit(EARLIER))).alias("earlier"),
+                         "own.blocks", F.pmod(F.xxhash64("node"), F.col("own.blocks")).alias("home"))
+    names = ("shingle", "i", "j", "home", "component", "node", "n", "place", "mark", "earlier")
+    dealt = homes.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("shingle", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), *names[3:])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, stops in _whole_groups(batches, names, 3):
@@ -246,16 +280,19 @@ def _across(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 b = a + 1 + np.arange(len(a)) - (done[a] - done[begin])
                 go = (component[a] != component[b]) & ~(crossing[a] & (home[a] == home[b]))
                 a, b = a[go], b[go]
-                go = _allowed(n[a], place[a], n[b], place[b], percent)
+                go = _first_meeting(n[a], place[a], n[b], place[b], percent)
                 a, b = a[go], b[go]
+                if len(a):
+                    there, back = np.unique(np.concatenate([a, b]), return_inverse=True)
+                    go = ~_met_before(rows["earlier"][there], back[:len(a)], back[len(a):])
+                    a, b = a[go], b[go]
                 go = np.fromiter((may_be_similar(*x, percent) for x in zip(n[a].tolist(), mark[a], n[b].tolist(), mark[b], strict=True)), bool, len(a))
                 a, b = node[a[go]], node[b[go]]
                 if len(a):
-                    pair = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
-                    yield pa.RecordBatch.from_pydict({"a": pair[0], "b": pair[1]})
+                    yield pa.RecordBatch.from_pydict({"a": np.maximum(a, b), "b": np.minimum(a, b)})
                 begin = end
 
-    return dealt.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j").mapInArrow(scan, "a long, b long").distinct()
+    return dealt.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j").mapInArrow(scan, "a long, b long")
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], key: int) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
@@ -373,7 +410,7 @@ def jaccard_components(df: DataFrame, key: str, text: str, words: int = 5, perce
         if n_links < YIELD * n_pairs:
             break
     placed = every.join(parts, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"), "node", "n", "place")
-    rest = stored(_across(placed, nodes, percent).join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+    rest = stored(_across(placed, nodes, percent).distinct().join(tried, ["a", "b"], "left_anti"), "rest-pairs")
     found = stored(verified(rest, nodes, df, key, text, words, percent), "rest-links")
     parts = _merged(parts, found)
     named = nodes.select("node", "low").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -219,3 +219,19 @@ def test_chain_of_near_copies(spark):
     links = [(a, b) for i, (a, x) in enumerate(near) for b, y in near[max(0, i - 60):i] if 100 * len(x & y) >= 80 * len(x | y)]
     comp = reach([k for k, _ in near], links)
     assert got == sorted((k, len(s), comp[k]) for k, s in near)
+
+
+def test_near_copies_make_each_pair_once(spark, monkeypatch):
+    """Nodes of a group of near copies meet in many shingles; a pair is made in the first of them only."""
+    rng = random.Random(21)
+    places = {node: [p for p in range(14) if rng.random() < 0.85] for node in range(90)}
+    rows = spark.createDataFrame([(100 + p, node, node, 100, at) for node, mine in places.items() for at, p in enumerate(mine)],
+                                 "shingle long, component long, node long, n int, place int")
+    mark = ngram_join.signature(np.arange(100, dtype=np.uint64))
+    nodes = spark.createDataFrame([(node, bytearray(mark)) for node in places], "node long, mark binary")
+    monkeypatch.setattr(type(rows), "distinct", lambda df: df)
+    for size in (2000, 7):
+        monkeypatch.setattr(ngram_join, "GROUP", size)
+        got = [(r.a, r.b) for r in ngram_join._across(rows, nodes, 80).collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == {(a, b) for a, x in places.items() for b, y in places.items() if a > b and set(x) & set(y)}
