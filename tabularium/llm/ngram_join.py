@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tabularium.llm.batches import small_batches
 from tabularium.llm.components import connected
 from tabularium.llm.hashing import shingle_hashes
-from tabularium.session import stored
+from tabularium.session import stored, stored_alone
 
 #: Slots of the frequency table: its size does not depend on the data.
 SLOT_BITS = 16
@@ -367,24 +367,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, key: str,
     return dealt.mapInArrow(scan, "a long, b long").distinct()
 
 
-def jaccard_components(df: DataFrame, key: str, text: str, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of df: key, n_shingles, component_id.
-
-    Words are runs of other than ASCII white space, with A-Z lowered; a set holds the distinct runs of words, or the whole
-    sequence where there are fewer. Two documents link when 100 * intersection >= percent * union. component_id is the
-    smallest key reachable by links. A null or empty text, or one of white space, has an empty set and no links. A null key
-    takes part in links but is no name unless all keys of a component are null. Repeated rows are rows of their own; an
-    empty table gives no rows. Other columns are not carried. key must be a whole number.
-    """
-    if not 0 < percent <= 100:
-        raise ValueError("percent must be above 0 and at most 100")
-    small_batches(df.sparkSession)
-    both = survey(df, key, text, words)
-    sets = both.where("kind = 0").select("key", "n", "node")
-    slots = np.zeros(1 << SLOT_BITS, np.int64)
-    for r in both.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).collect():
-        slots[r["key"]] = r["n"]
-    nodes = stored(both.where("kind = 0 AND n > 0").groupBy("node").agg(F.min("key").alias("low"), F.max("n").alias("n"), F.max("mark").alias("mark")), "shingle-nodes")
+def _linked(df: DataFrame, key: str, text: str, nodes: DataFrame, slots: np.ndarray, words: int, percent: int) -> DataFrame:
+    """(node, component) of the nodes that have a link."""
     rows = stored(_with_pivots(prefixes(df, text, slots, words, percent), percent), "prefix-rows")
     heads = rows.select("shingle", F.col("pivot").alias("node"), F.col("pivot_n").alias("n"), F.col("pivot_place").alias("place"))
     first = rows.where("ok").groupBy(F.col("node").alias("a")).agg(F.min("pivot").alias("b"))
@@ -412,7 +396,28 @@ def jaccard_components(df: DataFrame, key: str, text: str, words: int = 5, perce
     placed = every.join(parts, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"), "node", "n", "place")
     rest = stored(_across(placed, nodes, percent).distinct().join(tried, ["a", "b"], "left_anti"), "rest-pairs")
     found = stored(verified(rest, nodes, df, key, text, words, percent), "rest-links")
-    parts = _merged(parts, found)
+    return _merged(parts, found)
+
+
+def jaccard_components(df: DataFrame, key: str, text: str, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of df: key, n_shingles, component_id.
+
+    Words are runs of other than ASCII white space, with A-Z lowered; a set holds the distinct runs of words, or the whole
+    sequence where there are fewer. Two documents link when 100 * intersection >= percent * union. component_id is the
+    smallest key reachable by links. A null or empty text, or one of white space, has an empty set and no links. A null key
+    takes part in links but is no name unless all keys of a component are null. Repeated rows are rows of their own; an
+    empty table gives no rows. Other columns are not carried. key must be a whole number.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be above 0 and at most 100")
+    small_batches(df.sparkSession)
+    both = survey(df, key, text, words)
+    sets = both.where("kind = 0").select("key", "n", "node")
+    slots = np.zeros(1 << SLOT_BITS, np.int64)
+    for r in both.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).collect():
+        slots[r["key"]] = r["n"]
+    nodes = stored(both.where("kind = 0 AND n > 0").groupBy("node").agg(F.min("key").alias("low"), F.max("n").alias("n"), F.max("mark").alias("mark")), "shingle-nodes")
+    parts = stored_alone(lambda: _linked(df, key, text, nodes, slots, words, percent), "components")
     named = nodes.select("node", "low").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = named.join(named.groupBy("component").agg(F.min("low").alias("component_id")), "component").select("node", "component_id")
     with_set = sets.where("n > 0").join(named, "node").select("key", "n", "component_id")

@@ -6,10 +6,12 @@ import hashlib
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
+from tabularium import session
 from tabularium.llm import components, near_vectors, ngram_join, queries, suffix_repeats
 from tabularium.llm.hashing import shingle_hashes, word_hashes
 
@@ -235,3 +237,16 @@ def test_near_copies_make_each_pair_once(spark, monkeypatch):
         got = [(r.a, r.b) for r in ngram_join._across(rows, nodes, 80).collect()]
         assert len(got) == len(set(got))
         assert set(got) == {(a, b) for a, x in places.items() for b, y in places.items() if a > b and set(x) & set(y)}
+
+
+def test_intermediate_folders_go(spark, monkeypatch):
+    """Once an operator has its components or spans, what it wrote on the way is gone from the shared folder."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(200)]
+    rows = spark.createDataFrame([(i, " ".join(edited(rng, words, 0.01 * (i % 4)))) for i in range(60)], "doc_id long, text string")
+    before, gone = len(session._made), []
+    monkeypatch.setattr(session, "_remove", lambda spark, path, remove=session._remove: (remove(spark, path), gone.append(path.removeprefix("file:"))))
+    assert ngram_join.jaccard_components(rows, "doc_id", "text").count() == 60
+    assert suffix_repeats.remove_repeats(rows, "doc_id", "text", 100).where("n_removed > 0").count() > 50
+    assert sorted(path.rsplit("/", 1)[1][:-33] for _, path in session._made[before:]) == ["components", "repeat-spans", "shingle-nodes", "shingle-sets"]
+    assert len(gone) > 10 and not any(path.exists() for path in map(Path, gone))
