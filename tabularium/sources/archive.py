@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 LINES_SCHEMA = "path string, member string, line_no bigint, line string"
+#: Characters after which a batch of lines is handed on, however few lines it has.
+CHARACTERS = 4 << 20
 
 
 def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -21,26 +23,27 @@ def archive_lines(archives: DataFrame, suffix: str, batch: int = 20_000) -> Data
     """Lines of every member with the suffix in each archive, named by ``member``; archives without one give none.
 
     Spark has no zip codec, so this is the one Python step. A task holds one archive at a
-    time and hands its lines on in batches while it inflates; the lines are parsed by the
-    delimited reader on the JVM side.
+    time and hands its lines on in batches while it inflates, those of many small archives
+    in one; the lines are parsed by the delimited reader on the JVM side.
     """
     def lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, size = [], 0
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for member in dict.fromkeys(n for n in archive.namelist() if n.endswith(suffix)):
                         with archive.open(member) as raw:
-                            start, rows = 0, []
-                            for line in io.TextIOWrapper(raw, encoding="utf-8", newline="\n"):
-                                rows.append(line.rstrip("\r\n"))
-                                if len(rows) == batch:
-                                    yield _frame(path, member, start, rows)
-                                    start, rows = start + batch, []
-                            if rows:
-                                yield _frame(path, member, start, rows)
+                            for number, line in enumerate(io.TextIOWrapper(raw, encoding="utf-8", newline="\n")):
+                                rows.append((path, member, number, line.rstrip("\r\n")))
+                                size += len(line)
+                                if len(rows) >= batch or size >= CHARACTERS:
+                                    yield _frame(rows)
+                                    rows, size = [], 0
+        if rows:
+            yield _frame(rows)
 
     return archives.select("path", "content").mapInPandas(lines, LINES_SCHEMA)
 
 
-def _frame(path: str, member: str, start: int, rows: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({"path": path, "member": member, "line_no": range(start, start + len(rows)), "line": rows})
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["path", "member", "line_no", "line"])

@@ -3,6 +3,7 @@ import io
 import json
 import zipfile
 
+import pandas as pd
 import pytest
 
 from pyspark.sql import functions as F
@@ -155,3 +156,31 @@ def test_number_sent_as_text(spark):
     pages = spark.createDataFrame([('{"calls":[{"gene":{"geneId":"g"},"expressionScore":"97.5","rank":"x","condition":{"anatEntityId":"a"}}]}',)], "page string")
     row = genes.EXPRESSION_CALLS.from_pages(pages).first()
     assert (row["gene_id"], row["expression_score"], row["expression_rank"]) == ("g", 97.5, None)
+
+
+def test_small_archives_share_a_batch(monkeypatch):
+    """Lines of many archives go on together, at most batch lines or about CHARACTERS of text at once."""
+    class Archives:
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, function, schema):
+            return function
+
+    def zipped(lines):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as z:
+            z.writestr("a.tsv", "".join(f"{line}\n" for line in lines))
+        return buffer.getvalue()
+
+    def sizes(batch):
+        frames = pd.DataFrame({"path": [f"{i}.zip" for i in range(50)], "content": [zipped(["x" * 10, "y"])] * 50})
+        found = list(archive.archive_lines(Archives(), ".tsv", batch)(iter([frames[:20], frames[20:], frames[:0]])))
+        rows = pd.concat(found)
+        assert rows["path"].tolist() == [f"{i}.zip" for i in range(50) for _ in range(2)]
+        assert rows["line_no"].tolist() == [0, 1] * 50 and rows["line"].tolist() == ["x" * 10, "y"] * 50
+        return [len(f) for f in found]
+
+    assert sizes(1000) == [100] and sizes(30) == [30, 30, 30, 10]
+    monkeypatch.setattr(archive, "CHARACTERS", 100)
+    assert max(sizes(1000)) < 25
