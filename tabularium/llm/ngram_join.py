@@ -15,18 +15,21 @@
 Before texts are fetched for a pair, a suffix filter bounds what the sets can have in common: a signature holds, per slice of
 the hashes, whether the number of shingles is odd, and each slice where two signatures differ is a shingle that only one has.
 It has two to four bits per shingle and never drops a similar pair. Verification groups pairs by pivot, salted
-by the partner, and holds one pivot's set at a time.
+by the partner, and holds one pivot's set at a time. Only texts that a pair may want are shuffled for it.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import pandas_udf
 
 from tabularium.llm.batches import small_batches
 from tabularium.llm.components import connected
@@ -45,6 +48,8 @@ GROUP = 2000
 PAIRS = 1 << 20
 #: Earlier open shingles that a row carries, so that a pair is made where it meets first.
 EARLIER = 16
+#: Bits that say which keys may be wanted: 1 MB on the driver and in a task, whatever the data.
+WANTED_BITS = 1 << 23
 #: Rounds of further pivots at most, and the share of a round's pairs that must link for another one to follow.
 ROUNDS, YIELD = 4, 0.05
 
@@ -186,10 +191,20 @@ def _with_pivots(rows: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(scan, "shingle long, part int, node long, n int, place int, pivot long, ok boolean, pivot_n int, pivot_place int"))
 
 
-def _open_rows(rows: DataFrame) -> DataFrame:
-    """The rows (shingle, component, ...) of the groups in which two components meet."""
-    mixed = rows.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-    return rows.join(mixed.select("shingle"), "shingle", "left_semi")
+def _open_rows(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (shingle, component, n, ...) that meet another component in their group, in a set that the length filter allows.
+
+    Sets that the length filter allows lie in the same band of lengths or in adjoining ones. A group has few bands.
+    """
+    # A little wider than the filter, so that rounding cannot part two sets by more than a band.
+    width = math.log(100 / percent) * 1.001 + 1e-6
+    banded = rows.withColumn("band", F.floor(F.log("n") / width))
+    # Dealt by shingle, so that neither sum nor join shuffles again.
+    found = banded.repartition("shingle").groupBy("shingle", "band").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    near = found.select("shingle", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "least", "most")
+    mixed = near.groupBy("shingle", "band").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least < most")
+    mixed = mixed.groupBy("shingle").agg(F.collect_list("band").alias("bands"))
+    return banded.join(mixed, "shingle").where(F.array_contains("bands", F.col("band"))).drop("band", "bands")
 
 
 def _next_pivots(rows: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -335,13 +350,36 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return sides.select("a", "b", "a_n", "a_mark", "b_n", "b_mark").mapInArrow(scan, "a long, b long")
 
 
+def _may_be_among(keys: DataFrame, key: str) -> Callable[[Column | str], Column]:
+    """A test that each of the whole numbers or nulls in column key passes; few others do while keys are few against WANTED_BITS.
+
+    Only the bits reach the driver and the tasks.
+    """
+    def slot(c: Column | str) -> Column:
+        return F.pmod(F.xxhash64(F.col(c).cast("long") if isinstance(c, str) else c.cast("long")), F.lit(WANTED_BITS))
+
+    size = 1 << 15  # bits in one of Spark's bitmaps, which count from 1
+    maps = keys.select((slot(key) + 1).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    bits = np.zeros(WANTED_BITS // 8, np.uint8)
+    for r in maps.collect():
+        bits[(r["bucket"] - 1) * size // 8:r["bucket"] * size // 8] = np.frombuffer(r["bits"], np.uint8)
+
+    @pandas_udf("boolean")
+    def test(slots: pd.Series) -> pd.Series:
+        s = slots.to_numpy()
+        return pd.Series((bits[s >> 3] >> (s & 7).astype(np.uint8) & 1).astype(bool))
+
+    return lambda c: test(slot(c))
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that reach the similarity; nodes: (node, key of one document that has the set)."""
     salted = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(SALTS)).alias("salt"))
     wanted = (salted.select(F.col("a").alias("node"), "b", "salt", F.lit(1).alias("role"))
               .union(salted.select(F.col("b").alias("node"), "b", "salt", F.lit(0).alias("role")).distinct()))
-    wanted = wanted.join(nodes.select("node", "low"), "node").select(F.col("low").alias("__key"), "node", "b", "salt", "role")
-    texts = documents.select(F.col(key).cast("long").alias("__own"), F.col(text).alias("text"))
+    wanted = stored(wanted.join(nodes.select("node", "low"), "node").select(F.col("low").alias("__key"), "node", "b", "salt", "role"), "wanted-rows")
+    texts = documents.select(F.col(key).cast("long").alias("__own"), F.col(text).alias("text")).where(_may_be_among(wanted, "__key")(key))
     dealt = (texts.join(wanted, F.col("__own").eqNullSafe(F.col("__key"))).select("b", "salt", "role", "node", "text")
              .repartition("b", "salt").sortWithinPartitions("b", "salt", "role"))
 
@@ -379,7 +417,7 @@ def _linked(df: DataFrame, key: str, text: str, nodes: DataFrame, slots: np.ndar
     tried = first
     for turn in range(ROUNDS):
         placed = every.join(parts, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"), "node", "n", "place")
-        every = stored(_open_rows(placed), "open-rows")
+        every = stored(_open_rows(placed, percent), "open-rows")
         more = _next_pivots(every, turn, percent).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         more = stored(plausible(more.join(tried, ["a", "b"], "left_anti"), nodes, percent), "round-pairs")
         n_pairs = more.count()
@@ -394,7 +432,7 @@ def _linked(df: DataFrame, key: str, text: str, nodes: DataFrame, slots: np.ndar
         if n_links < YIELD * n_pairs:
             break
     placed = every.join(parts, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"), "node", "n", "place")
-    rest = stored(_across(placed, nodes, percent).distinct().join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+    rest = stored(_across(stored(_open_rows(placed, percent), "open-rows"), nodes, percent).distinct().join(tried, ["a", "b"], "left_anti"), "rest-pairs")
     found = stored(verified(rest, nodes, df, key, text, words, percent), "rest-links")
     return _merged(parts, found)
 

@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tabularium import session
 from tabularium.llm import components, near_vectors, ngram_join, queries, suffix_repeats
 from tabularium.llm.hashing import shingle_hashes, word_hashes
@@ -250,3 +251,29 @@ def test_intermediate_folders_go(spark, monkeypatch):
     assert suffix_repeats.remove_repeats(rows, "doc_id", "text", 100).where("n_removed > 0").count() > 50
     assert sorted(path.rsplit("/", 1)[1][:-33] for _, path in session._made[before:]) == ["components", "repeat-spans", "shingle-nodes", "shingle-sets"]
     assert len(gone) > 10 and not any(path.exists() for path in map(Path, gone))
+
+
+def test_open_rows_are_those_with_another_component_of_a_length_in_reach(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(12), rng.randrange(3), i, rng.choice([5, 8, 10, 40, 50, 63, 200, 256, 4000]), 0) for i in range(80)]
+    df = spark.createDataFrame(rows, "shingle long, component long, node long, n int, place int")
+    got = {r.node for r in ngram_join._open_rows(df, 80).collect()}
+    need = {a[2] for a in rows if any(a[0] == b[0] and a[1] != b[1] and 100 * min(a[3], b[3]) >= 80 * max(a[3], b[3]) for b in rows)}
+    mixed = {a[2] for a in rows if any(a[0] == b[0] and a[1] != b[1] for b in rows)}
+    assert need <= got < mixed
+
+
+def test_texts_are_shuffled_only_if_wanted(spark):
+    keys = spark.createDataFrame([(k,) for k in [None, 0, -7, 2**62, *range(100, 300)]], "k long")
+    every = keys.union(spark.range(10_000, 60_000))
+    may = ngram_join._may_be_among(keys, "k")
+    passed = [r.k for r in every.where(may(every["k"])).collect()]
+    assert len(passed) < 230 and {r.k for r in keys.collect()} <= set(passed)
+    assert not spark.range(5).where(ngram_join._may_be_among(keys.limit(0), "k")("id")).count()
+
+
+def test_pipeline_join_reads_texts_where_they_are(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40)
+    before = len(session._made)
+    corpus_pipeline.join_near_copies(spark, docs, FOLDER)
+    assert not [path for _, path in session._made[before:] if "numbered-rows" in path]
