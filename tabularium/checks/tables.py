@@ -448,7 +448,7 @@ def enzyme_page():
 @check("table_enzymes", """
 SELECT l_orderkey, l_linestatus AS name, CASE WHEN l_returnflag = 'A' THEN 1 ELSE 2 END AS organism_count, 2 AS substrate_count, l_quantity::VARCHAR || ' mM | ' || l_tax::VARCHAR || ' µM' AS km_values, 2 AS references_count, 'uniprot' AS source FROM lineitem""")
 def _(spark, d):
-    return molecules.ENZYMES.from_records(table(spark, d, "lineitem").select("l_orderkey", enzyme_page().alias("record")), keep=["l_orderkey"])
+    return molecules.ENZYMES.from_records(spread(spark, d, "lineitem", "l_orderkey").select("l_orderkey", enzyme_page().alias("record")), keep=["l_orderkey"])
 
 
 @check("table_kinetics", """

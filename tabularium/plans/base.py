@@ -108,9 +108,12 @@ class JsonTable:
 
         Those that ``rejected_records`` lists give no rows; with ``strict`` they fail the job.
         """
-        fault = _record_fault(record)
-        df = refuse(df, fault) if strict else df.where(fault.isNull())
-        return self._rows(df.select(*keep, F.from_json(record, f"struct<{self._text_record}>").alias("_r")), keep)
+        fault, parsed = _record_fault(record), F.from_json(record, f"struct<{self._text_record}>")
+        if strict:
+            return self._rows(refuse(df, fault).select(*keep, parsed.alias("_r")), keep)
+        # Not a filter: that would move below what makes the records, which would then be made for each use.
+        found = df.select(*keep, F.explode_outer(F.when(fault.isNull(), F.array(F.struct(parsed.alias("_r"))))).alias("_x"))
+        return self._rows(found.where(F.col("_x").isNotNull()).select(*keep, F.col("_x._r").alias("_r")), keep)
 
     def read(self, spark: SparkSession, path: str | list[str], strict: bool = False) -> DataFrame:
         """Rows of landed page files."""

@@ -146,6 +146,14 @@ def test_every_json_table_keeps_its_schema_without_rows(spark):
         assert a.schema.simpleString() == b.schema.simpleString() and a.count() == 0, plan.name
 
 
+def test_records_are_made_once_where_they_are_made_of_columns(spark):
+    made = spark.range(3).select("id", F.to_json(F.struct(F.lit("C1").alias("molecule_chembl_id"), F.col("id").alias("max_phase"))).alias("record"))
+    rows = molecules.DRUGS.from_records(made, keep=["id"])
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("struct(molecule_chembl_id, C1") == 1
+    odd = spark.createDataFrame([("{}",), (None,), ("[]",), ('{"a": 1, "a": 2}',), ('{"molecule_chembl_id": "C1"',), (' {"molecule_chembl_id": "C2"}',)], "record string")
+    assert [r.chembl_id for r in molecules.DRUGS.from_records(odd, keep=["record"]).collect()] == [None, "C2"]
+
+
 def test_every_text_table_reads_an_empty_folder_of_lines(spark, tmp_path):
     (tmp_path / "empty.txt").write_text("")
     for table in (t for t in vars(files).values() if isinstance(t, files.TextTable)):
