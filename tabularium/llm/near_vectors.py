@@ -2,11 +2,13 @@
 
 Equal vectors are folded into one first. The others are turned into the order of their principal components and cut into
 blocks along the first one: vectors further apart there than the threshold allows are never paired. A task compares two
-blocks in tiles: it sums the products of the leading components, adds the product of the norms of what is left, which bounds
-the rest, and drops every pair that can no longer reach the threshold before it goes on to more components. What is left is
-decided by the cosine of the original vectors in double precision.
+blocks in tiles: one product gives the sum over the leading components plus the product of the norms of what is left, which
+bounds the rest, and drops every pair that cannot reach the threshold. What is left is decided by the cosine of the original
+vectors in double precision, and its links are folded into counts and a forest as they are found.
 
-Comparing all rows is quadratic where the first component does not separate them. A task's memory is two blocks and a tile.
+Comparing all rows is quadratic where the first component does not separate them. A vector is shuffled once per block that it
+may have a partner in, and blocks grow with the table up to a size in bytes, so copies stay few. A task's memory is two blocks,
+a tile and a bounded number of pairs, whatever the number of blocks and of links.
 """
 
 from __future__ import annotations
@@ -14,18 +16,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabularium.llm.components import connected, forest
 from tabularium.session import stored
 
 #: Vectors in a block and in the side of a tile.
 BLOCK, TILE = 4096, 1024
-#: Slack of the bounds for rounding; the decision itself has none.
-SLACK = 1e-6
+#: Blocks of a table from which on they grow instead of becoming more, and the bytes of vectors up to which they grow.
+BLOCKS, BLOCK_BYTES = 8, 16 << 20
+#: Leading components of the bound, and its slack for rounding in single precision; the decision itself has none.
+LEADING, SLACK = 32, 2e-5
+#: Components of pairs that are decided at once, pairs that are folded at once, and bytes that a batch of dealt rows has at most.
+DECIDED, FOLDED, DEALT_BYTES = 1 << 21, 1 << 19, 8 << 20
 
 
 def usable(vector: str) -> Column:
@@ -38,11 +44,12 @@ def usable(vector: str) -> Column:
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -70,36 +77,47 @@ def principal_axes(vectors: DataFrame, dims: int) -> tuple[np.ndarray, np.ndarra
     return mean, axes[:, ::-1]
 
 
-def near(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs of two matrices whose cosine reaches the threshold; with same, each pair once and none with itself."""
-    ua, ub = _unit(a), _unit(b)
-    pa_, pb = ua @ axes, ub @ axes
-    dims = axes.shape[0]
-    steps = sorted({min(dims, s) for s in (8, 16, 32)})
-    na = np.sqrt(np.cumsum((pa_ ** 2)[:, ::-1], axis=1))[:, ::-1]
-    nb = np.sqrt(np.cumsum((pb ** 2)[:, ::-1], axis=1))[:, ::-1]
-    na, nb = np.c_[na, np.zeros(len(a))], np.c_[nb, np.zeros(len(b))]
-    rows, cols = [], []
+def _leads(x: np.ndarray, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row: leading components and the norm of the rest, the first component, the square of its length."""
+    lead, squares = np.empty((len(x), min(LEADING, axes.shape[1]) + 1), np.float32), np.empty(len(x))
+    first = np.empty(len(x))
+    for i in range(0, len(x), TILE):
+        rows = x[i:i + TILE].astype(np.float64)
+        turned = _unit(rows) @ axes[:, :LEADING]
+        lead[i:i + TILE, :-1], lead[i:i + TILE, -1] = turned, np.sqrt(np.maximum(0.0, 1 - (turned ** 2).sum(axis=1)))
+        first[i:i + TILE], squares[i:i + TILE] = turned[:, 0], np.einsum("ij,ij->i", rows, rows)
+    return lead, first, squares
+
+
+def near(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of two matrices whose cosine reaches the threshold, in lists of bounded length; with same, each pair once and none with itself.
+
+    Both matrices are in the order of the first component, so a tile meets only rows within the threshold's reach of it.
+    """
+    spread = _spread(threshold)
+    la, fa, sa = _leads(a, axes)
+    lb, fb, sb = (la, fa, sa) if same else _leads(b, axes)
+    at_once = max(1, DECIDED // a.shape[1])
     for i in range(0, len(a), TILE):
-        for j in range(i if same else 0, len(b), TILE):
-            k = steps[0]
-            bound = pa_[i:i + TILE, :k] @ pb[j:j + TILE, :k].T
-            bound += np.outer(na[i:i + TILE, k], nb[j:j + TILE, k])
-            r, c = np.divmod(np.flatnonzero(bound.ravel() >= threshold - SLACK), bound.shape[1])
-            r, c = r + i, c + j
-            if same:
-                r, c = r[r < c], c[r < c]
-            dots = np.einsum("ij,ij->i", pa_[r, :k], pb[c, :k])
-            for before, k in zip(steps, steps[1:], strict=False):
-                dots += np.einsum("ij,ij->i", pa_[r, before:k], pb[c, before:k])
-                go = dots + na[r, k] * nb[c, k] >= threshold - SLACK
-                r, c, dots = r[go], c[go], dots[go]
-            x, y = a[r], b[c]
-            cosine = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
-            go = cosine >= threshold
-            rows.append(r[go])
-            cols.append(c[go])
-    return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.empty(0, int), np.empty(0, int))
+        end = min(i + TILE, len(a))
+        start, stop = np.searchsorted(fb, fa[i] - spread), np.searchsorted(fb, fa[end - 1] + spread, "right")
+        for j in range(max(i, start) if same else start, stop, TILE):
+            to = min(j + TILE, stop)
+            found = np.flatnonzero((la[i:end] @ lb[j:to].T).ravel() >= threshold - SLACK)
+            for part in range(0, len(found), at_once):
+                r, c = np.divmod(found[part:part + at_once], to - j)
+                r, c = r + i, c + j
+                if same:
+                    r, c = r[r < c], c[r < c]
+                dots = np.einsum("ij,ij->i", a[r].astype(np.float64), b[c].astype(np.float64))
+                go = dots / np.sqrt(sa[r] * sb[c]) >= threshold
+                if go.any():
+                    yield r[go], c[go]
+
+
+def _spread(threshold: float) -> float:
+    """How far apart along any axis two unit vectors can be that reach the threshold."""
+    return float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
 
 
 def near_vectors(df: DataFrame, key: str, vector: str, threshold: float = 0.95) -> DataFrame:
@@ -113,7 +131,9 @@ def near_vectors(df: DataFrame, key: str, vector: str, threshold: float = 0.95)
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
     rows = df.select(F.col(key).alias("__key"), F.col(vector).alias("__vector"))
-    ok = rows.where(usable("__vector")).select("__key", F.transform("__vector", lambda x: x.cast("double") + F.lit(0.0)).alias("vector"))
+    # Single precision is kept until a task compares: half the bytes of a double.
+    kind = "float" if isinstance(rows.schema["__vector"].dataType.elementType, T.FloatType) else "double"
+    ok = rows.where(usable("__vector")).select("__key", F.transform("__vector", lambda x: x.cast(kind) + F.lit(0.0).cast(kind)).alias("vector"))
     mark = F.xxhash64("vector")
     folded = stored(ok.groupBy("vector").agg(F.min("__key").alias("low"), F.count(F.lit(1)).alias("copies"))
                     .select(mark.alias("v"), F.size("vector").alias("dims"), "low", "copies", "vector"), "vectors")
@@ -137,22 +157,31 @@ def near_vectors(df: DataFrame, key: str, vector: str, threshold: float = 0.95)
                                     F.coalesce(F.col("__key") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def _batches(row: np.ndarray, per: int) -> Iterator[np.ndarray]:
+    """Row numbers in runs of at most per."""
+    for i in range(0, len(row), per):
+        yield row[i:i + per]
+
+
 def _compare(folded: DataFrame, dims: int, threshold: float) -> DataFrame:
     """(kind, a, b): kind 0 adds b links to vector a; kind 1 is a link of a forest that spans the links found in a task."""
     mean, axes = principal_axes(folded, dims)
-    spread = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
+    spread = _spread(threshold)
     n = folded.count()
     first = axes[:, 0]
+    vector = folded.schema["vector"].dataType.simpleString()
+    width = 4 if "float" in vector else 8
 
     def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"v": batch.column(0), "place": _unit(_matrix(batch.column(2), dims)) @ first, "copies": batch.column(1), "vector": batch.column(2)})
 
-    placed = folded.select("v", "copies", "vector").mapInArrow(along, "v long, place double, copies long, vector array<double>")
-    blocks = max(1, -(-n // BLOCK))
+    placed = folded.select("v", "copies", "vector").mapInArrow(along, f"v long, place double, copies long, vector {vector}")
+    blocks = max(1, -(-n // max(1, BLOCK_BYTES // (width * dims))), min(BLOCKS, -(-n // BLOCK)))
     cuts = np.array(placed.approxQuantile("place", [i / blocks for i in range(1, blocks)], 0.2 / blocks)) if blocks > 1 else np.empty(0)
     # Block i holds places in (cuts[i-1], cuts[i]]; pairs reach as far as the spread.
     lows, highs = np.append(-np.inf, cuts), np.append(cuts, np.inf)
+    per = max(1, DEALT_BYTES // (width * dims + 48))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,28 +194,48 @@ def _compare(folded: DataFrame, dims: int, threshold: float) -> DataFrame:
             other = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times) + start[row]
             # Across blocks only those near the border can have a partner.
             go = (other == home[row]) | ((place[row] >= lows[other] - spread) & (place[row] <= highs[other] + spread))
-            row, other = row[go], other[go]
-            taken = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_pydict({
-                "i": np.minimum(home[row], other), "j": np.maximum(home[row], other), "home": home[row],
-                "v": taken.column(0), "copies": taken.column(2), "vector": taken.column(3)})
-
-    dealt = placed.mapInArrow(deal, "i long, j long, home long, v long, copies long, vector array<double>")
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        same = frame["i"].iloc[0] == frame["j"].iloc[0]
-        at_home = (frame["home"] == frame["i"]).to_numpy()
-        v, copies = frame["v"].to_numpy(), frame["copies"].to_numpy()
-        x = np.vstack(frame["vector"].to_numpy()).astype(np.float64)
-        left = np.flatnonzero(at_home)
-        right = left if same else np.flatnonzero(~at_home)
-        r, c = near(x[left], x[right], axes, threshold, bool(same)) if len(left) and len(right) else (np.empty(0, int),) * 2
-        r, c = left[r], right[c]
-        links = np.bincount(r, copies[c], len(v)) + np.bincount(c, copies[r], len(v))
+            for at in _batches(np.flatnonzero(go), per):
+                r, o = row[at], other[at]
+                taken = batch.take(pa.array(r))
+                i, j = np.minimum(home[r], o), np.maximum(home[r], o)
+                yield pa.RecordBatch.from_pydict({
+                    "pair": (i * blocks + j - i * (i + 1) // 2).astype(np.int32), "same": i == j, "at_home": home[r] == i,
+                    "v": taken.column(0), "place": taken.column(1), "copies": taken.column(2), "vector": taken.column(3)})
+
+    dealt = placed.mapInArrow(deal, f"pair int, same boolean, at_home boolean, v long, place double, copies long, vector {vector}")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        same, at_home, v, place, copies = (rows[c].to_numpy() for c in ("same", "at_home", "v", "place", "copies"))
+        x = _matrix(rows["vector"], dims)
+        order = np.argsort(place, kind="stable")
+        left = order[at_home[order]]
+        right = left if same[0] else order[~at_home[order]]
+        links, label = np.zeros(len(v), np.int64), np.arange(len(v))
+        if len(left) and len(right):
+            waiting: list[tuple[np.ndarray, np.ndarray]] = []
+            held = 0
+            for r, c in near(x[left], x[right], axes, threshold, bool(same[0])):
+                r, c = left[r], right[c]
+                np.add.at(links, r, copies[c])
+                np.add.at(links, c, copies[r])
+                waiting.append((r, c))
+                held += len(r)
+                if held >= FOLDED:
+                    label, waiting, held = _joined(label, waiting), [], 0
+            label = _joined(label, waiting)
         with_links = np.flatnonzero(links)
-        label = forest(len(v), r, c)
         joined = np.flatnonzero(label != np.arange(len(v)))
-        return pd.DataFrame({"kind": np.repeat([0, 1], [len(with_links), len(joined)]), "a": np.concatenate([v[with_links], v[joined]]),
-                             "b": np.concatenate([links[with_links].astype(np.int64), v[label[joined]]])})
+        return pa.table({"kind": np.repeat(np.array([0, 1], np.int64), [len(with_links), len(joined)]), "a": np.concatenate([v[with_links], v[joined]]),
+                         "b": np.concatenate([links[with_links], v[label[joined]]])})
+
+    # A task for every two blocks, none for two pairs of them.
+    return dealt.repartitionById(blocks * (blocks + 1) // 2, F.col("pair")).groupBy("pair").applyInArrow(compare, "kind long, a long, b long")
+
 
-    return dealt.groupBy("i", "j").applyInPandas(compare, "kind long, a long, b long")
+def _joined(label: np.ndarray, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The labels of a forest when more links are known."""
+    if not links:
+        return label
+    a, b = (label[np.concatenate(x)] for x in zip(*links, strict=True))
+    return forest(len(label), a[a != b], b[a != b])[label]

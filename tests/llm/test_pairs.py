@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -201,6 +203,45 @@ def test_vectors_by_brute_force(spark, monkeypatch):
     assert near_vectors.near_vectors(df.limit(0), "vec_id", "embedding").collect() == []
 
 
+def test_vectors_are_dealt_in_bounded_batches(spark, monkeypatch):
+    """A batch of rows that go to many blocks leaves in parts; before, it left as one batch of rows times blocks."""
+    for name, value in {"BLOCK": 10, "BLOCKS": 12, "DEALT_BYTES": 20_000}.items():
+        monkeypatch.setattr(near_vectors, name, value, raising=False)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=12).astype(np.float32).tolist()) for i in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    steps, own = [], type(df).mapInArrow
+
+    def kept(frame, step, *more):
+        steps.append(step)
+        return own(frame, step, *more)
+
+    monkeypatch.setattr(type(df), "mapInArrow", kept)
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in near_vectors.near_vectors(df, "vec_id", "embedding", 0.8).collect())
+    assert got == vectors_by_brute_force(rows, 0.8)
+    along, deal = steps[-2:]
+    batch = pa.RecordBatch.from_pydict({"v": np.arange(150), "copies": np.ones(150, int), "vector": pa.array([v for _, v in rows], pa.list_(pa.float32()))})
+    sizes = [b.num_rows for b in deal(along(iter([batch])))]
+    assert sum(sizes) > 1000 and max(sizes) * (12 * 4 + 48) <= 20_000
+
+
+def test_close_vectors_are_paired_in_bounded_memory():
+    """2,000 vectors that all link: their pairs are decided and given part by part, not a tile at a time."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=64) + rng.normal(size=(2000, 64)) * 0.05
+    x = x[np.argsort((x / np.linalg.norm(x, axis=1, keepdims=True))[:, 0])]
+    n = 0
+    tracemalloc.start()
+    try:
+        for r, c in near_vectors.near(x, x, np.eye(64), 0.95, True):
+            assert (r < c).all() and len(r) == len(c)
+            n += len(r)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 2000 * 1999 // 2 and peak < 200 << 20
+
+
 def test_vectors_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
     got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in queries.near_embeddings(spark, FOLDER).collect())
