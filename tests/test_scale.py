@@ -1,8 +1,13 @@
 """Plans and forms that keep work and memory in proportion to the input."""
 
+import itertools
+import random
+
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from tabularium.checks import registry
+from tabularium.checks import declared, registry
 from tabularium.checks.all import CHECKS
 from tabularium.checks.measures import first_of_name, matrices
 from tabularium.operators import ecology, enrichment, fits, multiple, network, quantiles, ranks, sequences
@@ -63,6 +68,46 @@ def test_bray_curtis_shuffles_samples_and_not_pairs(spark, monkeypatch):
     assert len(rows) == len(want) and {(r.a, r.b): (r.shared, r.distance) for r in rows} == want
 
 
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_bray_curtis_gives_pairs_strip_by_strip(spark, monkeypatch, kind):
+    """Common and rare taxa, blocks of several strips; before, a task gave all pairs of two blocks in one table."""
+    for name, value in {"BLOCK_SAMPLES": 20, "BLOCKS": 3, "STRIP_PAIRS": 64}.items():
+        monkeypatch.setattr(ecology, name, value, raising=False)
+    rng = random.Random(5)
+    counts = {s: {f"t{t}": rng.randrange(1, 40000) * (1 if kind == "long" else 0.25) for t in range(40) if rng.random() < (0.9 if t < 4 and s % 7 else 0.06)} for s in range(-30, 30)}
+    df = spark.createDataFrame([(s, t, n) for s, c in counts.items() for t, n in c.items()], f"sample long, taxon string, n {kind}").repartition(4)
+    steps, own = [], type(df.groupBy("sample")).applyInArrow
+
+    def kept(grouped, step, schema):
+        steps.append(step)
+        return own(grouped, step, schema)
+
+    monkeypatch.setattr(type(df.groupBy("sample")), "applyInArrow", kept)
+    found = ecology.bray_curtis(df)
+    want = {}
+    for a, b in itertools.combinations(sorted(counts), 2):
+        if shared := sum(min(n, counts[b].get(t, 0)) for t, n in counts[a].items()):
+            want[a, b] = (shared, 1 - 2 * shared / (sum(counts[a].values()) + sum(counts[b].values())))
+    rows = found.collect()
+    assert len(rows) == len(want) and {(r.a, r.b): (r.shared, r.distance) for r in rows} == want
+    dense = pa.RecordBatch.from_pydict({"id": list(range(40)), "sample": list(range(40)), "total": [3] * 40, "taxa": [["t"]] * 40, "ns": [[3]] * 40,
+                                        "at_home": [i < 20 for i in range(40)], "same": [False] * 40, "pair": [0] * 40})
+    given = [b.num_rows for b in steps[0](iter([dense]))]
+    assert sum(given) == 400 and max(given) <= 64
+
+
+def test_rounding_without_decimals(spark):
+    values = [0.0, -0.0, 1e-10, -1e-10, 5e-10, -5e-10, 0.1234567885, 0.1234567895, -0.1234567885, 2.5e-9, 1 / 3, -2 / 3, 1.0000000005, 123.4567890125, 1e5 + 1e-9, 1e20, -1e300, 2.0 ** 31 + 0.3, float("inf"), float("-inf"), float("nan"), None]
+    rng = random.Random(6)
+    values += [rng.uniform(-1, 1) for _ in range(3000)] + [round(rng.uniform(-9, 9), 9) + sign * 5e-10 for _ in range(1000) for sign in (1, -1)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (6, 9):
+        got = declared.rounded(df.withColumns({"w": F.col("v"), "x": F.col("v").cast("float")}), digits, "w", "x")
+        assert "rint" in plan(got).lower()
+        exact = got.select("w", "x", (F.round("v", digits) + F.lit(0.0)).alias("e"), (F.round(F.col("v").cast("float"), digits) + F.lit(0.0)).alias("f"))
+        assert exact.where("NOT w <=> e OR NOT x <=> f OR string(w) <> string(e)").collect() == []
+
+
 def test_windows_of_positions_beyond_exact_quotients(spark):
     first = 1000 * 2 ** 46
     df = spark.createDataFrame([("r", first + 999, first + 1000), ("r", first + 1001, first + 1001)], "r string, s long, e long")
